@@ -6,19 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
-from .common import table
+from . import langid, quality_knn, quality_rules
+from .common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.train(docs, held_out=(3, 1)))
+    return out.select("doc_id", (bucket_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "cosine", "rejected")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality_knn.score(docs, quality_knn.train(docs, table(spark, sf_dir, "labels"), held_out=(5, 0)))
+    return out.select("doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "nearest")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_language_id": op3_language_id,
         "op7_quality_rules": op7_quality_rules,
+        "op9_quality_classifier": op9_quality_classifier,
     }
 
 
