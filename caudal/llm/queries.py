@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality_knn, quality_rules
+from . import langid, neardup, quality_knn, quality_rules
 from .common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (bucket_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "cosine", "rejected")
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_language_id": op3_language_id,
+        "op4_minhash_neardup": op4_minhash_neardup,
         "op7_quality_rules": op7_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
     }
