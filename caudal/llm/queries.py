@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, neardup, quality_knn, quality_rules
+from . import decontam, langid, mixing, neardup, quality_knn, quality_rules
 from .common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,14 @@ def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weigh(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("posteriors")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -36,6 +44,8 @@ def queries() -> dict[str, Query]:
     return {
         "op3_language_id": op3_language_id,
         "op4_minhash_neardup": op4_minhash_neardup,
+        "op5_decontamination": op5_decontamination,
+        "op6_mixing": op6_mixing,
         "op7_quality_rules": op7_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
     }
