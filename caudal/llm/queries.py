@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, mixing, neardup, quality_knn, quality_rules
+from . import decontam, langid, lm, mixing, neardup, quality_knn, quality_rules
 from .common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.fit_and_score(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.predict(docs, langid.train(docs, held_out=(3, 1)))
@@ -42,6 +46,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_language_id": op3_language_id,
         "op4_minhash_neardup": op4_minhash_neardup,
         "op5_decontamination": op5_decontamination,
