@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lm, mixing, neardup, quality_knn, quality_rules
+from . import decontam, html_extract, langid, licenses, lm, mixing, neardup, quality_knn, quality_rules, urls
 from .common import bucket_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.fit_and_score(table(spark, sf_dir, "documents"))
 
@@ -38,21 +42,32 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality_knn.score(docs, quality_knn.train(docs, table(spark, sf_dir, "labels"), held_out=(5, 0)))
     return out.select("doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "nearest")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_lm_scoring": op2_lm_scoring,
         "op3_language_id": op3_language_id,
         "op4_minhash_neardup": op4_minhash_neardup,
         "op5_decontamination": op5_decontamination,
         "op6_mixing": op6_mixing,
         "op7_quality_rules": op7_quality_rules,
+        "op8_url_filters": op8_url_filters,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
