@@ -11,8 +11,9 @@
 4. Candidates come in three steps that lose no link between two components:
    each node against the first node of its buckets; then each node against a
    random node of a bucket that holds another component; then, for buckets that
-   still hold several components, every pair across components, in blocks of
-   nodes, compared inside a task. Pairs within a component are never made.
+   still hold several components, every pair across components, in blocks of a
+   few megabytes of nodes, compared and verified inside a task, which returns
+   one link of a node to each component. Pairs within a component are never made.
 
 Nulls and edge cases: texts that are null or have no word have an empty set and
 are linked with nothing; so are rows with a null id (component_id null, kept).
@@ -38,7 +39,7 @@ SHINGLE, THRESHOLD = 5, 0.75
 BANDS, ROWS, BATCH = 40, 4, 32
 N_HASHES = BANDS * ROWS
 MISS = 1e-7
-BLOCK = 128
+BLOCK_BYTES = 8_000_000
 _rng = np.random.default_rng(20240607)
 _A = (_rng.integers(1, 1 << 32, (N_HASHES, 1), dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
 _B = _rng.integers(0, 1 << 32, (N_HASHES, 1), dtype=np.uint32)
@@ -137,32 +138,46 @@ def verified(pairs: DataFrame, profiles: DataFrame, threshold: float, miss: floa
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def _across(blocks: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
-    """Pairs of nodes of different components that outlast the signature batches, from rows of one block or two of a bucket."""
+def _across(blocks: DataFrame, limits: list[tuple[int, int]], percent: int) -> DataFrame:
+    """Links between components, from rows of one block of a bucket's nodes or two: for each node one link to each component that it has any to."""
+
+    def side(rows: list[dict]) -> tuple:
+        sets = [np.frombuffer(x["set"], np.uint64) for x in rows]
+        ids, c = (np.array([x[k] for x in rows], np.int64) for k in ("node", "c"))
+        return ids, c, np.frombuffer(b"".join(x["sig"] for x in rows), np.uint32).reshape(-1, N_HASHES), sets, np.array([len(x) for x in sets])
 
     def run(batches):
         for b in batches:
             out_a, out_b = [], []
-            for r in b.to_pylist():
-                na, ca = (np.array([x[k] for x in r["left"]], np.int64) for k in ("node", "c"))
-                nb, cb = (np.array([x[k] for x in r["right"]], np.int64) for k in ("node", "c"))
-                sa, sb = (np.frombuffer(b"".join(x["sig"] for x in r[s]), np.uint32).reshape(-1, N_HASHES) for s in ("left", "right"))
-                ok = ca[:, None] != cb[None, :]
-                if r["i"] == r["j"]:
-                    ok &= na[:, None] < nb[None, :]
-                i, j = np.nonzero(ok)
-                for at in range(0, len(i), 4096):
-                    x, y = i[at : at + 4096], j[at : at + 4096]
-                    alive = _same(sa[x], sb[y], limits)
-                    out_a += na[x[alive]].tolist()
-                    out_b += nb[y[alive]].tolist()
+            for k in range(b.num_rows):
+                r = {n: b.column(n)[k].as_py() for n in ("band", "left", "right")}
+                na, ca, sa, xa, la = side(r["left"])
+                nb, cb, sb, xb, lb = side(r["right"]) if r["right"] is not None else (na, ca, sa, xa, la)
+                for i in range(len(na)):
+                    other = (ca[i] != cb) & (100 * np.minimum(la[i], lb) >= percent * np.maximum(la[i], lb))
+                    j = np.flatnonzero(other & (na[i] < nb) if r["right"] is None else other)
+                    j = j[_same(np.broadcast_to(sa[i], (len(j), N_HASHES)), sb[j], limits)]
+                    if not len(j):
+                        continue
+                    # A pair that shares an earlier band is looked at there.
+                    bands = (sb[j].reshape(-1, BANDS, ROWS) == sa[i].reshape(BANDS, ROWS)).all(2)
+                    j = j[bands.argmax(1) == r["band"]]
+                    if not len(j):
+                        continue
+                    y = np.concatenate([xb[q] for q in j])
+                    at = np.minimum(np.searchsorted(xa[i], y), la[i] - 1)
+                    both = np.add.reduceat((xa[i][at] == y).astype(np.int64), np.cumsum(lb[j]) - lb[j])
+                    j = j[100 * both >= percent * (la[i] + lb[j] - both)]
+                    for q in np.unique(cb[j], return_index=True)[1]:
+                        out_a.append(int(na[i]))
+                        out_b.append(int(nb[j[q]]))
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return blocks.mapInArrow(run, "a long, b long")
 
 
 def _labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
-    return members.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("c"))
+    return members.join(comp, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("c"))
 
 
 def groups(docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
@@ -193,7 +208,7 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESH
     usable = digests.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = usable.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"))
     classes = materialise(classes, "classes")
-    spread = classes.select("node", F.explode("bands").alias("bucket"))
+    spread = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(F.col("first") < F.col("last"))
     members = materialise(spread.join(shared.select("bucket", "first"), "bucket"), "members")
     profiles = materialise(_profiles(docs, members.select("node").distinct(), shingle), "profiles")
@@ -214,18 +229,23 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESH
         links = materialise(links.union(more), f"links{step}")
         comp = materialise(components(links), f"comp{step}")
 
-    # Step 3: all pairs across components that are left, in blocks inside tasks.
+    # Step 3: all pairs across components that are left, in blocks of a bounded size inside tasks.
     own = _labelled(members, comp)
-    mixed = own.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where(F.col("lo") < F.col("hi"))
-    left = own.join(mixed.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("nb")), "bucket")
-    left = left.join(profiles.select("node", "sig").dropDuplicates(["node"]), "node")
-    cells = left.groupBy("bucket", "nb", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("i")).agg(F.collect_list(F.struct("node", "c", "sig")).alias("left"))
+    mixed = own.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") < F.col("hi")).select("bucket")
+    left = own.join(mixed, "bucket").join(profiles.dropDuplicates(["node"]), "node")
+    left = materialise(left, "left")
+    sizes = left.groupBy("bucket").agg(F.ceil(F.sum(F.length("set") + F.length("sig")) / BLOCK_BYTES).cast("int").alias("nb"))
+    cells = left.join(sizes, "bucket").groupBy("bucket", "band", "nb", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("i")).agg(F.collect_list(F.struct("node", "c", "sig", "set")).alias("left"))
     cells = materialise(cells, "cells")
-    pairs = cells.withColumn("j", F.explode(F.sequence("i", F.col("nb") - 1))).join(cells.select("bucket", F.col("i").alias("j"), F.col("left").alias("right")), ["bucket", "j"])
-    pairs = materialise(_across(pairs.select("i", "j", "left", "right"), least_matches(threshold, miss)).distinct(), "across")
-    links = materialise(links.union(verified(pairs, profiles, threshold, miss)), "links4")
+    wide = cells.where("nb > 1")
+    pairs = wide.withColumn("j", F.explode(F.expr("filter(sequence(0, nb - 1), x -> x > i)"))).join(wide.select("bucket", F.col("i").alias("j"), F.col("left").alias("right")), ["bucket", "j"])
+    limits, percent = least_matches(threshold, miss), round(threshold * 100)
+    kind = cells.schema["left"].dataType
+    blocks = cells.select("band", "left", F.lit(None).cast(kind).alias("right")).union(pairs.select("band", "left", "right"))
+    more = materialise(_across(blocks, limits, percent), "across")
+    links = materialise(links.union(more), "links4")
     comp = materialise(components(links), "comp4")
-    for x in (cells, pairs, links, profiles, members):
+    for x in (left, cells, more, links, profiles, members):
         discard(x)
 
     named = classes.join(comp, "node", "left").select("n", "k1", "k2", F.coalesce("comp", "node").alias("component_id"))
