@@ -47,7 +47,7 @@ _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 _WORD = re.compile(r"[a-z]+")
 #: Words of class, id and role that the model tells apart (fixed values).
 _HINTS = frozenset("ad ads advert advertisement banner sponsor sponsored promo sidebar side menu nav navigation navbar footer header masthead comment comments reply cookie notice consent newsletter subscribe signup login form search related recommended share social breadcrumb pagination pager widget popup modal disclaimer copyright toolbar content article post entry story main body text".split())
-_KINDS = {"a": "link", "nav": "nav", "footer": "edge", "header": "edge", "aside": "edge", "form": "edge", "article": "article", "main": "main", "ul": "list", "ol": "list", "li": "item", "table": "table", "tr": "table", "td": "cell", "th": "cell", "p": "p", "div": "div", "section": "div", "html": "root", "body": "body"}
+_KINDS = {"a": "link", "nav": "nav", "footer": "edge", "header": "edge", "aside": "edge", "form": "edge", "article": "article", "main": "main", "ul": "list", "ol": "list", "li": "item", "table": "table", "tr": "table", "td": "cell", "th": "cell", "p": "p", "div": "div", "section": "div", "html": "root", "#page": "root", "body": "body"}
 
 
 class Node:
@@ -284,7 +284,10 @@ def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
                 el(tag, 1, content, attrs)
             around(False)
 
-        el("html", 0, lambda: (el("head", 0, lambda: el("title", 0, words(5))), el("body", 0, body)))
+        if rng.random() < 0.15:  # a fragment
+            rng.choice([body, lambda: el("article", 1, content)])()
+        else:
+            el("html", 0, lambda: (el("head", 0, lambda: el("title", 0, words(5))), el("body", 0, body)))
         out.append(("".join(html), "".join(marks)))
     return out
 
