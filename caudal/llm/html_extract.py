@@ -233,7 +233,7 @@ def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
         def content() -> None:
             if rng.random() < 0.85:
                 el(rng.choice(["h1", "h1", "h2"]), 1, words(rng.randint(1, 14)))
-            for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 12])):
+            for _ in range(rng.choice([0, 1, 1, 1, 2, 3, 5, 8, 12])):
                 x = rng.random()
                 if x < 0.72:
                     el("p", 1, lambda: (html.append(words(rng.choice([1, 1, 3, 12, 40, 120]))), [el(rng.choice(["b", "i", "em", "strong", "span", "a"]), 1, words(rng.randint(1, 12))) for _ in range(rng.choice([0, 0, 1, 2]))]))
@@ -251,7 +251,7 @@ def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
                 comments()
 
         def comments() -> None:
-            el(rng.choice(["div", "section", "ul", "ol"]), 0, lambda: [el(rng.choice(["div", "p", "li", "article"]), 0, lambda: (el("p", 0, words(rng.choice([2, 10, 30]))), html.append(words(2))), rng.choice(['class="comment"', 'class="reply"', ""])) for _ in range(rng.randint(1, 4))], rng.choice(['class="comments"', 'id="comments"', 'class="comment list"']))
+            el(rng.choice(["div", "section", "ul", "ol"]), 0, lambda: [el(rng.choice(["div", "div", "div", "p", "p", "p", "li", "li", "li", "article"]), 0, lambda: (el("p", 0, words(rng.choice([2, 10, 30]))), html.append(words(2))), rng.choice(['class="comment"', 'class="reply"', ""])) for _ in range(rng.randint(1, 4))], rng.choice(['class="comments"', 'id="comments"', 'class="comment list"']))
 
         def box(tag: str, hint: str) -> None:
             el(tag, 0, lambda: rng.choice([lambda: html.append(words(rng.choice([2, 8, 20]))), lambda: links("ul", rng.randint(1, 7)), lambda: el("p", 0, words(rng.choice([3, 15]))), lambda: (el("h3", 0, words(2)), el("p", 0, words(12)))])(), f'class="{hint}"' if hint else "")
@@ -274,7 +274,7 @@ def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
 
         def body() -> None:
             around(True)
-            tag, attrs = rng.choice([("article", ""), ("article", ""), ("article", 'class="post"'), ("div", 'class="content"'), ("div", 'id="article"'), ("div", 'class="entry content"'), ("main", ""), ("section", 'class="story"')])
+            tag, attrs = rng.choice([("article", ""), ("article", ""), ("article", ""), ("article", ""), ("article", 'class="post"'), ("div", 'class="content"'), ("div", 'id="article"'), ("div", 'class="entry content"'), ("main", ""), ("section", 'class="story"')])
             wrap = rng.random()
             if wrap < 0.2:
                 el("main" if tag != "main" else "div", 0, lambda: el(tag, 1, content, attrs))
