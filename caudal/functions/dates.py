@@ -84,7 +84,8 @@ def file_period(c: Column | str) -> Column:
 def period_end(tag: Column | str, year: Column | str) -> Column:
     """SF41: last day of the month that the tag names."""
     m = month_number(tag)
-    return F.last_day(F.concat_ws("-", col(year).cast("string"), F.lpad(m.cast("string"), 2, "0"), F.lit("01")).try_cast("date"))
+    first = F.concat_ws("-", col(year).cast("string"), F.lpad(m.cast("string"), 2, "0"), F.lit("01")).try_cast("date")
+    return F.when(m.isNotNull() & col(year).isNotNull(), F.last_day(first))
 
 
 def month_of(c: Column | str) -> Column:

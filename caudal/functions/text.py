@@ -49,7 +49,7 @@ def title_es(c: Column | str) -> Column:
         bare = swap(F.lower(w), ".", "")
         return F.when(bare.isin(*ACRONYMS), F.upper(w)).when((i > 0) & bare.isin(*CONNECTORS), F.lower(w)).otherwise(_capital(w))
 
-    return F.when(F.trim(col(c)) == "", col(c)).otherwise(F.concat_ws(" ", F.transform(words, word)))
+    return F.when(col(c).isNull() | (F.trim(col(c)) == ""), col(c)).otherwise(F.concat_ws(" ", F.transform(words, word)))
 
 
 def title_reserved(c: Column | str, reserved: tuple[str, ...] = ("BIS",)) -> Column:

@@ -12,6 +12,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import plain_lower, plain_upper
 from .spatial import connected
@@ -57,12 +58,12 @@ def similarity(a: str | None, b: str | None) -> float:
     return 0.4 * ratio(a, b) + 0.6 * token_set(a, b) if a and b else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     """0 to 1, by matching blocks."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() if x or y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
@@ -150,7 +151,7 @@ def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str
             g = g.sort_values("k")
             return pd.DataFrame({"k": g["k"], "cluster_fuzzy": greedy_groups(g, threshold)})
 
-        found = rows.groupBy(F.lit(1)).applyInPandas(run, "k long, cluster_fuzzy long")
+        found = rows.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(run, "k long, cluster_fuzzy long")
     else:
         close = fuzzy_pairs(rows, "k", "name", 0.7 * threshold)
         place = rows.select("k", F.col("address").alias("p"))

@@ -58,12 +58,12 @@ def global_ids(df: DataFrame, order: list[str], name: str = "id", start: int | C
     Rows are range-partitioned and numbered within each partition; the partitions' sizes, one row each, give the offsets.
     """
     cols = [F.col(c).asc_nulls_last() for c in order]
-    part = df.repartitionByRange(*cols).withColumn("_p", F.spark_partition_id())
-    part = part.withColumn("_n", F.row_number().over(W.partitionBy("_p").orderBy(*cols)))
-    sizes = part.groupBy("_p").agg(F.count("*").alias("_size"))
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
+    part = df.repartitionByRange(*cols).withColumn("_gid_part", F.spark_partition_id())
+    part = part.withColumn("_gid_n", F.row_number().over(W.partitionBy("_gid_part").orderBy(*cols)))
+    sizes = part.groupBy("_gid_part").agg(F.count("*").alias("_gid_size"))
+    offsets = sizes.withColumn("_gid_before", F.coalesce(F.sum("_gid_size").over(W.orderBy("_gid_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_gid_part", "_gid_before")
     first = start if isinstance(start, Column) else F.lit(start)
-    return part.join(F.broadcast(offsets), "_p").withColumn(name, first + F.col("_before") + F.col("_n")).drop("_p", "_n", "_before")
+    return part.join(F.broadcast(offsets), "_gid_part").withColumn(name, first + F.col("_gid_before") + F.col("_gid_n")).drop("_gid_part", "_gid_n", "_gid_before")
 
 
 def moving_average(df: DataFrame, value: str, order: str, n: int, name: str = "moving") -> DataFrame:

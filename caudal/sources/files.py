@@ -33,8 +33,8 @@ def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
 
 
 def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless reading it so gives replacement characters."""
-    bad = spark.read.text(path).where(F.col("value").contains("�")).limit(1).count()
+    """UTF-8 unless some line is not valid in it."""
+    bad = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
     return ENCODINGS[1] if bad else ENCODINGS[0]
 
 
