@@ -71,5 +71,17 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: op4 by brute force: every pair of documents that share a shingle. The other queries rest on trained models or edit distances; tests/llm holds them against brute force.
+_NEARDUP_SQL = r"""
+with recursive words as (select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) w from documents),
+shingles as (select distinct doc_id, s from (select doc_id, unnest(case when len(w) >= 5 then [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] when len(w) > 0 then [array_to_string(w, ' ')] else [] end) s from words)),
+sizes as (select d.doc_id, count(s) n from documents d left join shingles using (doc_id) group by 1),
+pairs as (select x.doc_id a, y.doc_id b, count(*) c from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by 1, 2),
+links as (select a, b from pairs join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 100 * c >= 75 * (p.n + q.n - c)),
+reach(k, c) as (select doc_id, doc_id from documents union select b, c from reach join links on a = k)
+select doc_id, n as n_shingles, component_id, doc_id = component_id as kept from sizes join (select k as doc_id, min(c) as component_id from reach group by 1) using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_minhash_neardup": _NEARDUP_SQL}
