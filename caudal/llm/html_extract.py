@@ -45,16 +45,18 @@ _STOPS = frozenset("ul ol dl table html body article section div nav aside main"
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_TELLING = frozenset("nav header footer aside form article main".split())
 #: Words of class, id and role that the model tells apart (fixed values).
 _HINTS = frozenset("ad ads advert advertisement banner sponsor sponsored promo sidebar side menu nav navigation navbar footer header masthead comment comments reply cookie notice consent newsletter subscribe signup login form search related recommended share social breadcrumb pagination pager widget popup modal disclaimer copyright toolbar content article post entry story main body text".split())
 _KINDS = {"a": "link", "nav": "nav", "footer": "edge", "header": "edge", "aside": "edge", "form": "edge", "article": "article", "main": "main", "ul": "list", "ol": "list", "li": "item", "table": "table", "tr": "table", "td": "cell", "th": "cell", "p": "p", "div": "div", "section": "div", "html": "root", "#page": "root", "body": "body"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "hints", "parts", "own", "text", "linked", "order")
+    __slots__ = ("tag", "parent", "hints", "under", "own", "text", "linked")
 
-    def __init__(self, tag: str, parent: int, hints: tuple[str, ...]) -> None:
-        self.tag, self.parent, self.hints = tag, parent, hints
+    def __init__(self, tag: str, parent: int, hints: tuple[str, ...], under: frozenset[str] = frozenset()) -> None:
+        """under: hints and telling tags of the elements around."""
+        self.tag, self.parent, self.hints, self.under = tag, parent, hints, under
         self.own = self.text = self.linked = 0
 
 
@@ -118,7 +120,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             events.append((stack[-1], None))
         if attrs.endswith("/") and tag not in _BLOCK:
             continue
-        nodes.append(Node(tag, stack[-1], hints))
+        around = nodes[stack[-1]]
+        under = around.under
+        if around.hints or around.tag in _TELLING:
+            under = under.union(around.hints, (around.tag,) if around.tag in _TELLING else ())
+        nodes.append(Node(tag, stack[-1], hints, under))
         stack.append(len(nodes) - 1)
         if tag in _SKIP:
             skip += 1
@@ -142,7 +148,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
 def features(n: Node) -> list[str]:
     dense = 4 * n.linked // max(1, n.text) if n.text else -1
     size = 0 if not n.text else min(5, 1 + int(math.log10(n.text) * 1.5))
-    return [f"tag {n.tag}", f"links {dense}", f"size {size}", *(f"hint {h}" for h in sorted(set(n.hints)))]
+    return [f"tag {n.tag}", f"links {dense}", f"size {size}", *(f"hint {h}" for h in sorted(set(n.hints))), *(f"under {h}" for h in sorted(n.under))]
 
 
 def kind(n: Node) -> str:
