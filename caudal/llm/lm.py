@@ -173,7 +173,7 @@ class Bilinear:
 
     @staticmethod
     def _add(table: np.ndarray, sums: np.ndarray, at: np.ndarray, g: np.ndarray) -> None:
-        order = np.argsort(at, kind="stable")
+        order = np.argsort(at.astype(np.uint16), kind="stable")  # a radix sort at this width
         s = at[order]
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         g, s = np.add.reduceat(g[order], first), s[first]
@@ -193,17 +193,18 @@ class Bilinear:
         return out
 
 
-def _classes(texts: list, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all tokens of the texts: class and place in heavy plus one; and where each text starts."""
-    codes, starts, n = [], [], 0
+def _classes(texts: list, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
+    """Of all tokens of the texts: class and place in heavy plus one; where each text starts; and the tokens."""
+    codes, starts, n, tokens = [], [], 0, []
     for t in texts:
         words = lower_words(t)
         words.append(END)
+        tokens.append(words)
         starts.append(n)
         n += len(words)
         codes.append(np.fromiter(map(lookup.__getitem__, words), np.int64, len(words)))
     code = np.concatenate(codes)
-    return code >> 24, code & 0xFFFFFF, np.array(starts)
+    return code >> 24, code & 0xFFFFFF, np.array(starts), tokens
 
 
 def _contexts(c: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +235,7 @@ def train(docs: DataFrame, v: Vocabulary, *, sweeps: int = SWEEPS) -> Bilinear:
             cdf = np.cumsum(v.noise)
             for b in batches:
                 for part in slices(b, 0):
-                    c, _, starts = _classes(part.column(0).to_pylist(), lookup)
+                    c, _, starts, _ = _classes(part.column(0).to_pylist(), lookup)
                     a, p = _contexts(c, starts)
                     tokens += len(c)
                     for _ in range(epochs):
@@ -270,7 +271,7 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: Bilinear) ->
         for b in batches:
             for part in slices(b, 1, rows=256):
                 texts = part.column(1).to_pylist()
-                c, place, starts = _classes(texts, lookup)
+                c, place, starts, tokens = _classes(texts, lookup)
                 a, p = _contexts(c, starts)
                 lp = (g1[a, c] + g2[p, c] + m.bias[c] - log_z[a, p]).astype(np.float64) / math.log(10)
                 known = place > 0
@@ -278,11 +279,10 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: Bilinear) ->
                 base = log_c[place] - log_n
                 ends = np.append(starts[1:], len(c))
                 hs, ns = [], []
-                for t, s, e in zip(texts, starts, ends, strict=True):
-                    rare = np.flatnonzero(~known[s:e])
-                    if len(rare):
-                        words = lower_words(t)
-                        left = Counter(words[i] if i < len(words) else END for i in rare)
+                for words, s, e in zip(tokens, starts, ends, strict=True):
+                    rare = np.flatnonzero(~known[s:e]).tolist()
+                    if rare:
+                        left = Counter([words[i] for i in rare])
                         hs.append([signed(w) for w in left])
                         ns.append(list(left.values()))
                     else:
