@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, annotate, discard, lower_words, materialise, mix, shingles
+from .common import WordHashes, annotate, discard, lower_words, materialise, mix, release, shingles, slices
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.75
 BANDS, ROWS, BATCH = 40, 4, 32
 N_HASHES = BANDS * ROWS
 MISS = 1e-7
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES, FILTER_BITS = 8_000_000, 24
 _rng = np.random.default_rng(20240607)
 _A = (_rng.integers(1, 1 << 32, (N_HASHES, 1), dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
 _B = _rng.integers(0, 1 << 32, (N_HASHES, 1), dtype=np.uint32)
@@ -89,17 +89,30 @@ def least_matches(threshold: float, miss: float, batch: int = BATCH, n: int = N_
     return out
 
 
-def _profiles(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(node, sig, set) of the documents whose id is in ids; of repeated ids any row of an equal set serves."""
+def _profiles(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, sig, set) of all documents whose id is in nodes, and of few others.
+
+    Ids are looked up in a bitmap of FILTER_BITS hashed slots, whose size is fixed; so texts are neither shuffled nor
+    computed in vain while nodes are few, and all is still right when they are many. Extra rows do no harm: profiles are joined by id.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+    words = nodes.select(slot(F.col("node")).alias("s")).groupBy(F.shiftright("s", 5).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    bitmap[words.column("w").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
     hashes = WordHashes()
 
-    def run(texts: list) -> list[pa.Array]:
-        sets = [set_of(t, hashes, k) for t in texts]
-        return [pa.array([signature(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+    def run(batches):
+        for batch in batches:
+            s = batch.column(2).to_numpy(zero_copy_only=False)
+            wanted = (bitmap[s >> 5] >> (s & 31).astype(np.uint32)) & 1
+            for b in slices(batch.filter(pa.array(wanted == 1)), 1):
+                sets = [set_of(t, hashes, k) for t in b.column(1).to_pylist()]
+                some = pa.array([len(x) > 0 for x in sets])
+                out = pa.RecordBatch.from_arrays([b.column(0), pa.array([signature(x).tobytes() for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "sig", "set"])
+                yield out.filter(some)
 
-    own = docs.select(F.col("doc_id").alias("node"), "text").join(ids, "node", "left_semi")
-    out, (sig, full) = annotate(own, "text", run, [T.StructField("sig", T.BinaryType()), T.StructField("set", T.BinaryType())])
-    return out.select("node", F.col(sig).alias("sig"), F.col(full).alias("set")).where(F.length("set") > 0)
+    own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("node"), "text", slot(F.col("doc_id").cast("long")).alias("slot"))
+    return own.mapInArrow(run, "node long, sig binary, set binary")
 
 
 def _same(a: np.ndarray, b: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
@@ -150,8 +163,9 @@ def _across(blocks: DataFrame, limits: list[tuple[int, int]], percent: int) -> D
         for b in batches:
             out_a, out_b = [], []
             for k in range(b.num_rows):
-                r = {n: b.column(n)[k].as_py() for n in ("band", "left", "right")}
+                r = {n: b.column(n)[k].as_py() for n in ("bucket", "left", "right")}
                 na, ca, sa, xa, la = side(r["left"])
+                band = int((band_keys(sa[0]) == r["bucket"]).argmax())
                 nb, cb, sb, xb, lb = side(r["right"]) if r["right"] is not None else (na, ca, sa, xa, la)
                 for i in range(len(na)):
                     other = (ca[i] != cb) & (100 * np.minimum(la[i], lb) >= percent * np.maximum(la[i], lb))
@@ -161,7 +175,7 @@ def _across(blocks: DataFrame, limits: list[tuple[int, int]], percent: int) -> D
                         continue
                     # A pair that shares an earlier band is looked at there.
                     bands = (sb[j].reshape(-1, BANDS, ROWS) == sa[i].reshape(BANDS, ROWS)).all(2)
-                    j = j[bands.argmax(1) == r["band"]]
+                    j = j[bands.argmax(1) == band]
                     if not len(j):
                         continue
                     y = np.concatenate([xb[q] for q in j])
@@ -177,7 +191,7 @@ def _across(blocks: DataFrame, limits: list[tuple[int, int]], percent: int) -> D
 
 
 def _labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
-    return members.join(comp, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("c"))
+    return members.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("c"))
 
 
 def groups(docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
@@ -206,47 +220,53 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, threshold: float = THRESH
 
     # A class is named by its smallest id; its bands are those of any member, as all are equal.
     usable = digests.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = usable.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"))
-    classes = materialise(classes, "classes")
-    spread = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    classes = usable.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("node"))
+    banded = usable.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"))
+    spread = banded.select("node", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(F.col("first") < F.col("last"))
     members = materialise(spread.join(shared.select("bucket", "first"), "bucket"), "members")
     profiles = materialise(_profiles(docs, members.select("node").distinct(), shingle), "profiles")
 
+    del banded, spread, shared  # so that their shuffle files can go
+    release(docs.sparkSession)
+
     # Step 1: each node against the smallest of all first nodes of its buckets.
     pairs = members.where(F.col("node") != F.col("first")).groupBy("node").agg(F.min("first").alias("b")).select(F.col("node").alias("a"), "b")
     links = materialise(verified(pairs, profiles, threshold, miss), "links1")
+    del pairs
+    release(docs.sparkSession)
     comp = materialise(components(links), "comp1")
 
     # Step 2: a random node of each bucket that still holds several components, against the nodes of the others.
     c = F.col("c")
-    order = lambda salt: F.xxhash64("node", F.lit(salt))
-    for step in (2, 3):
-        own = _labelled(members, comp)
-        lead = own.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("node", "c"), order(step)).alias("lead")).where(F.col("lo") < F.col("hi"))
-        pairs = own.join(lead, "bucket").where(c != F.col("lead.c")).groupBy("node").agg(F.min_by(F.col("lead.node"), F.xxhash64(F.col("lead.node"), F.lit(step))).alias("b")).select(F.col("node").alias("a"), "b")
-        more = verified(pairs, profiles, threshold, miss)
-        links = materialise(links.union(more), f"links{step}")
-        comp = materialise(components(links), f"comp{step}")
+    own = _labelled(members, comp)
+    lead = own.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("node", "c"), F.xxhash64("node")).alias("lead")).where(F.col("lo") < F.col("hi"))
+    pairs = own.join(lead, "bucket").where(c != F.col("lead.c")).groupBy("node").agg(F.min_by(F.col("lead.node"), F.xxhash64(F.col("lead.node"))).alias("b")).select(F.col("node").alias("a"), "b")
+    links = materialise(links.union(verified(pairs, profiles, threshold, miss)), "links2")
+    comp = materialise(components(links), "comp2")
+    del pairs, lead, own
+    release(docs.sparkSession)
 
     # Step 3: all pairs across components that are left, in blocks of a bounded size inside tasks.
     own = _labelled(members, comp)
     mixed = own.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") < F.col("hi")).select("bucket")
-    left = own.join(mixed, "bucket").join(profiles.dropDuplicates(["node"]), "node")
-    left = materialise(left, "left")
-    sizes = left.groupBy("bucket").agg(F.ceil(F.sum(F.length("set") + F.length("sig")) / BLOCK_BYTES).cast("int").alias("nb"))
-    cells = left.join(sizes, "bucket").groupBy("bucket", "band", "nb", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("i")).agg(F.collect_list(F.struct("node", "c", "sig", "set")).alias("left"))
+    # Blocks are settled on sizes alone; signatures and sets travel once, to their block.
+    left = materialise(own.join(mixed, "bucket").join(profiles.groupBy("node").agg(F.max(F.length("set") + F.length("sig")).alias("bytes")), "node"), "left")
+    sizes = left.groupBy("bucket").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("nb"))
+    left = left.join(sizes, "bucket").withColumn("i", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    cells = left.join(profiles.dropDuplicates(["node"]), "node").groupBy("bucket", "nb", "i").agg(F.collect_list(F.struct("node", "c", "sig", "set")).alias("left"))
     cells = materialise(cells, "cells")
     wide = cells.where("nb > 1")
     pairs = wide.withColumn("j", F.explode(F.expr("filter(sequence(0, nb - 1), x -> x > i)"))).join(wide.select("bucket", F.col("i").alias("j"), F.col("left").alias("right")), ["bucket", "j"])
     limits, percent = least_matches(threshold, miss), round(threshold * 100)
     kind = cells.schema["left"].dataType
-    blocks = cells.select("band", "left", F.lit(None).cast(kind).alias("right")).union(pairs.select("band", "left", "right"))
+    blocks = cells.select("bucket", "left", F.lit(None).cast(kind).alias("right")).union(pairs.select("bucket", "left", "right"))
     more = materialise(_across(blocks, limits, percent), "across")
     links = materialise(links.union(more), "links4")
     comp = materialise(components(links), "comp4")
-    for x in (left, cells, more, links, profiles, members):
+    for x in (cells, more, links, profiles, members):
         discard(x)
+    release(docs.sparkSession)
 
     named = classes.join(comp, "node", "left").select("n", "k1", "k2", F.coalesce("comp", "node").alias("component_id"))
     alone = digests.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
