@@ -1,16 +1,19 @@
 """Licence scans: a trained paragraph classifier, by DataFrame functions only.
 
-Paragraphs are lines. Sparse logistic regression over word uni- and bigrams gives
-each licence family and an unknown class a probability; the model is trained on
-the driver, in numpy, on perturbed licence notices and on other text, and its
-temperature and threshold are calibrated on a part of them that it has not seen.
-A prediction is confirmed if the paragraph holds enough of the words of one of
-the family's templates.
-
-Only paragraphs with one of ANCHORS, words of which every template has one, are
-looked at; others are unknown by definition. The weights, a few thousand rows
-whatever the corpus, are broadcast; n-grams are joined to them and summed by
-paragraph. No Python runs on executors.
+Sparse logistic regression over word uni- and bigrams gives each licence family
+and an unknown class a probability; the model is trained on the driver, in numpy,
+on perturbed licence notices and on other text, and its temperature and threshold
+are calibrated on a part of them that it has not seen. A prediction is confirmed
+if the paragraph holds enough of the words of one of the family's templates.
+
+Every line is classified, and so that wrapped notices are found, so is from each
+line on the shortest run of lines that holds as many words as the longest template
+or ends at a line without words. Of a family's overlapping runs the best is
+reported, unless a line of theirs shows the family by itself.
+
+Nothing is left out before the model. Its weights are a literal of the plan, in
+SLOTS buckets by a hash of the n-gram, so that texts are neither exploded nor
+shuffled. No Python runs on executors.
 
 Nulls and edge cases: null and empty texts have no paragraphs. Documents with a
 null id are reported with it, repeated rows each. Ties of probability go to the
@@ -19,19 +22,22 @@ family first by name. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import random
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 UNKNOWN = "unknown"
-ANCHORS = r"(?i)licen[cs]|copyright|permission|warrant|redistribut|public domain|creative commons|spdx|cc by|cc0"
+#: What a line must have to be looked at: a word.
+ANCHORS = r"(?i)[a-z0-9]"
 TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
-CONFIRM, MOST_FALSE = 0.6, 0.005
+CONFIRM, MOST_FALSE, SLOTS = 0.6, 0.005, 1024
 
 #: Notices by family (fixed values: customary wordings).
 TEMPLATES = {
@@ -105,7 +111,7 @@ TEMPLATES = {
     ],
     "Unlicense": [
         "This is free and unencumbered software released into the public domain under the Unlicense.",
-        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, without license.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
         "SPDX-License-Identifier: Unlicense",
     ],
 }
@@ -128,6 +134,8 @@ OTHERS = [
     "The licensed version of the game includes source code and free updates.",
     "We were granted permission to use the building free of charge.",
 ]
+#: Words of any text, in no order of a notice (fixed values); "mit" is a German one.
+COMMON = "the of and to in a is that for it as was with be by on not this are or from at which but have an had you all can has if when will other its may no any one work use after see has been were new free name public general international open include including so do must copy person subject charge without law either into above following list can mit found should along".split()
 
 
 def tokens(text: str) -> list[str]:
@@ -165,6 +173,8 @@ def _samples(rng: random.Random, n: int) -> list[tuple[str, str]]:
             text = " ".join(w)
         else:
             y, text = UNKNOWN, rng.choice(OTHERS)
+            if x < 0.75:
+                text = " ".join(rng.choice(COMMON) for _ in range(rng.choice([1, 2, 4, 8, 16, 40])))
             if x > 0.85:
                 text = " ".join(v for v in text.split() if rng.random() > 0.3) + " " + rng.choice(OTHERS)
         before, after = (noise(rng.choice([0, 0, 0, 2, 6])) for _ in range(2))
@@ -217,26 +227,54 @@ def _words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), F.lit(0))
 
 
+def _weights(m: Model):
+    """The weights of an n-gram, or null."""
+    slots = [{} for _ in range(SLOTS)]
+    for g, w in sorted(m.weights.items()):
+        slots[zlib.crc32(g.encode()) % SLOTS][g] = w
+    table = F.from_json(F.lit(json.dumps(slots)), "array<map<string, array<double>>>")
+    return lambda g: F.try_element_at(F.get(table, F.pmod(F.crc32(g), F.lit(SLOTS)).cast("int")), g)
+
+
 def scan(docs: DataFrame, model: Model | None = None, *, confirm: float = CONFIRM) -> DataFrame:
-    """doc_id, paragraph (line, from 0), family, probability, similarity (share of a template's words) and confirmed,
+    """doc_id, paragraph (its first line, from 0), family, probability, similarity (share of a template's words) and confirmed,
     for each paragraph of docs (doc_id, text) that the classifier gives to a family."""
     m = train() if model is None else model
-    spark = docs.sparkSession
-    schema = T.StructType([T.StructField("gram", T.StringType()), T.StructField("w", T.ArrayType(T.DoubleType()))])
-    weights = F.broadcast(spark.createDataFrame(sorted(m.weights.items()), schema))
-    lines = docs.select("doc_id", "text").where(F.col("text").rlike(ANCHORS)).withColumn("row", F.monotonically_increasing_id())
-    lines = lines.select("row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line")).where(F.col("line").rlike(ANCHORS))
-    lines = lines.select("row", "doc_id", "paragraph", _words(F.col("line")).alias("words"))
-    pairs = F.zip_with(F.col("words"), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+    longest = max(len(tokens(t)) for ts in TEMPLATES.values() for t in ts)
+    weight = _weights(m)
+    once = lambda df, *keep, **made: df.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in made.items())))))  # noqa: E731  a generator's row, so that no lambda computes it again
+    empty = F.array().cast("array<string>")
+    rows = docs.select("doc_id", "text").where(F.col("text").rlike(ANCHORS)).withColumn("row", F.monotonically_increasing_id())
+    rows = once(rows, "row", "doc_id", lines=F.transform(F.split("text", "\n", -1), lambda x: F.when(x.rlike(ANCHORS), _words(x)).otherwise(empty)))
+    pairs = lambda w: F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
     # zip_with pads the shorter array with null, so the last "pair" is the last word alone: array_distinct drops it.
-    hits = lines.select("row", "paragraph", F.explode(F.array_distinct(F.concat("words", pairs))).alias("gram")).join(weights, "gram")
-    sums = hits.groupBy("row", "paragraph").agg(*(F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(len(m.families))))
-    z = [(F.col(f"z{i}") + F.lit(b)) / F.lit(m.temperature) for i, b in enumerate(m.bias)]
-    top = F.greatest(*z)
-    best = F.array_max(F.array(*(F.struct(v.alias("z"), F.lit(-i).alias("order"), F.lit(f).alias("family")) for i, (v, f) in enumerate(zip(z, m.families, strict=True)))))
-    sums = sums.select("row", "paragraph", best["family"].alias("family"), (F.lit(1.0) / sum((F.exp(v - top) for v in z), F.lit(0.0))).alias("probability"))
-    sums = sums.where((F.col("family") != UNKNOWN) & (F.col("probability") >= m.threshold))
+    own = lambda w: F.filter(F.array_distinct(F.concat(w, pairs(w))), lambda g: weight(g).isNotNull())
+    joint = lambda w, i: F.filter(F.array(F.concat_ws(" ", F.element_at(F.get("lines", i - 1), -1), w[0])), lambda g: weight(g).isNotNull())
+    line = lambda w, i: F.struct(F.size(w).alias("n"), F.when(F.size(w) > 0, own(w)).otherwise(empty).alias("own"), F.when((i > 0) & (F.size(w) > 0) & (F.size(F.get("lines", i - 1)) > 0), joint(w, i)).otherwise(empty).alias("joint"))
+    rows = once(rows, "row", "doc_id", "lines", marks=F.transform("lines", line))
+    # A line of a run has a word at least, so a run of so many words has no more lines than words.
+    more = lambda s, x: F.when(s["open"] & (x["n"] > 0) & (s["n"] < longest), F.struct((s["size"] + 1).alias("size"), (s["n"] + x["n"]).alias("n"), F.lit(True).alias("open"))).otherwise(F.struct(s["size"].alias("size"), s["n"].alias("n"), F.lit(False).alias("open")))
+    run = lambda i: F.aggregate(F.slice("marks", i + 1, F.lit(longest)), F.struct(F.lit(0).alias("size"), F.lit(0).alias("n"), F.lit(True).alias("open")), more)["size"]
+    places = F.filter(F.transform("marks", lambda x, i: F.struct(i.alias("first"), run(i).alias("size"), x["own"].alias("own"))), lambda u: u["size"] > 0)
+    rows = once(rows, "row", "doc_id", "lines", "marks", places=places)
+    whole = lambda u: F.array_distinct(F.concat(u["own"], F.flatten(F.transform(F.slice("marks", u["first"] + 2, F.greatest(u["size"] - 1, F.lit(0))), lambda x: F.concat(x["joint"], x["own"])))))
+    score = lambda grams: F.aggregate(grams, F.array(*(F.lit(float(b)) for b in m.bias)), lambda z, g: F.zip_with(z, weight(g), lambda x, y: x + y), lambda z: F.transform(z, lambda x: x / F.lit(m.temperature)))
+    single = F.transform("places", lambda u: F.struct(u["first"].alias("first"), F.lit(1).alias("size"), score(u["own"]).alias("z")))
+    several = F.transform(F.filter("places", lambda u: u["size"] > 1), lambda u: F.struct(u["first"].alias("first"), u["size"].alias("size"), score(whole(u)).alias("z")))
+    # Only what is more probable than unknown goes on.
+    likely = F.filter(F.concat(single, several), lambda u: F.array_max(u["z"]) > u["z"][len(m.families) - 1])
+    found = rows.select("row", "doc_id", "lines", F.inline(likely))
+    top = F.array_max("z")
+    found = found.select("row", "doc_id", "lines", "first", "size", F.element_at(F.array(*(F.lit(f) for f in m.families)), F.array_position("z", top).cast("int")).alias("family"), (F.lit(1.0) / F.aggregate("z", F.lit(0.0), lambda s, x: s + F.exp(x - top))).alias("probability"))
+    found = found.where(F.col("probability") >= m.threshold)
     known = F.create_map(*(x for f in sorted(TEMPLATES) for x in (F.lit(f), F.array(*(F.array(*(F.lit(w) for w in sorted(set(tokens(t))))) for t in TEMPLATES[f])))))
-    share = F.array_max(F.transform(known[F.col("family")], lambda t: F.size(F.array_intersect(t, F.col("words"))) / F.size(t)))
-    out = lines.join(sums, ["row", "paragraph"])
-    return out.select("doc_id", "paragraph", "family", "probability", share.alias("similarity")).withColumn("confirmed", F.col("similarity") >= confirm)
+    words = F.flatten(F.slice("lines", F.col("first") + 1, F.col("size")))
+    share = F.array_max(F.transform(known[F.col("family")], lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
+    found = found.select("row", "doc_id", "first", "size", "family", "probability", share.alias("similarity"))
+    of = W.partitionBy("row", "family")
+    before = F.max(F.col("first") + F.col("size")).over(of.orderBy("first", "size").rowsBetween(W.unboundedPreceding, -1))
+    found = found.withColumn("opens", F.when(F.col("first") < before, 0).otherwise(1)).withColumn("island", F.sum("opens").over(of.orderBy("first", "size").rowsBetween(W.unboundedPreceding, 0)))
+    group = W.partitionBy("row", "family", "island")
+    found = found.withColumn("alone", F.min("size").over(group) == 1).withColumn("place", F.row_number().over(group.orderBy(F.desc("similarity"), F.desc("probability"), F.desc("first"))))
+    found = found.where(F.when(F.col("alone"), F.col("size") == 1).otherwise(F.col("place") == 1))
+    return found.select("doc_id", F.col("first").alias("paragraph"), "family", "probability", "similarity").withColumn("confirmed", F.col("similarity") >= confirm)

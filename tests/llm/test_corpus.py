@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -441,6 +442,17 @@ def test_licence_probabilities_match_brute_force(spark, notices):
         assert abs(p - (e / e.sum()).max()) < 1e-9
 
 
+def test_licences_without_customary_words_and_wrapped(spark, notices):
+    unlicense = "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    mit = licenses.TEMPLATES["MIT"][2]
+    rng = random.Random(9)
+    want = {0: ("GPL", {0}), 1: ("GPL", {0}), 2: ("GPL", {0}), 3: ("Unlicense", {0}), 4: ("Unlicense", set(range(8))), 5: ("Unlicense", {2, 3, 4}), 6: ("MIT", set(range(1, 10)))}
+    texts = ["This software is under the GNU GPL v3.", "Distributed under the terms of the GNU GPL, version 3.", "GPL-3.0-or-later", unlicense, textwrap.fill(unlicense, 30), f"{words(rng, 200)}\n\n{textwrap.fill(unlicense, 72)}\n\n{words(rng, 200)}", f"{words(rng, 90)}\n{textwrap.fill(mit, 40)}\n{words(rng, 90)}"]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), notices).collect()
+    assert {(r.doc_id, r.family) for r in got} == {(i, f) for i, (f, _) in want.items()}
+    assert all(r.paragraph in want[r.doc_id][1] for r in got)
+
+
 def test_licence_plan_runs_no_python(spark, notices):
     df = spark.createDataFrame([(1, "Released under the MIT License.")], "doc_id long, text string")
     plan = licenses.scan(df, notices)._jdf.queryExecution().toString()
