@@ -6,6 +6,7 @@ candidate pairs, or over distinct values only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -108,16 +109,57 @@ def _upper(text: str) -> str:
     return " ".join(text.translate(str.maketrans(MARKED, PLAIN)).upper().split())
 
 
-def fuzzy_pairs(df: DataFrame, key: str, text: str, least: float, most: float = 100.1, shared: int = 1) -> DataFrame:
-    """JN15 and JN22: pairs (a, b, similarity), a < b, with least <= similarity < most, among texts that share `shared` words at least.
+def letter_keys(text: str, least: float) -> list[str]:
+    """Keys of which two texts share one if their ratio can be least (> 0) or more.
 
-    A pair of texts without a common word cannot reach 60, since its word-set part is then its letter part; so for least >= 60 sharing a word is close to no restriction, but it is one: see README.
+    Letters, numbered by occurrence, form a set, and the longest common subsequence is no longer than what two such sets share. A text of n letters must share at least n * least / (200 - least) of them, so of its letters in one order for all texts those before that many last ones hold a common one.
+    """
+    seen: dict[str, int] = {}
+    marks = []
+    for ch in text:
+        seen[ch] = seen.get(ch, 0) + 1
+        marks.append((-seen[ch], ch))
+    must = max(1, math.ceil(len(text) * least / (200.0 - least) - 1e-9))
+    return [f"{ch}{-n}" for n, ch in sorted(marks)[: len(text) - must + 1]]
+
+
+def letter_pairs(texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, of texts (k, t), of which none is left out whose ratio is least (over 0) or more."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def keys(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: letter_keys(x, least))
+
+    own = texts.select("k", F.length("t").alias("n"), F.explode(keys("t")).alias("w"))
+    both = own.select(F.col("k").alias("a"), F.col("n").alias("na"), "w").join(own.select(F.col("k").alias("b"), F.col("n").alias("nb"), "w"), "w").where("a < b")
+    return both.where(F.least("na", "nb") * (200.0 - least) >= F.greatest("na", "nb") * least - 1e-6).select("a", "b").distinct()
+
+
+def _with_texts(pairs: DataFrame, t: DataFrame) -> DataFrame:
+    return pairs.join(t.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").join(t.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
+
+
+def fuzzy_pairs(df: DataFrame, key: str, text: str, least: float, most: float = 100.1, shared: int = 0) -> DataFrame:
+    """JN15: pairs (a, b, similarity), a < b, with least <= similarity < most; with shared, only among texts that share so many words.
+
+    Texts without a common word have the ratio of their words in order as word-set part, so one of the two ratios reaches least if the similarity does: such pairs are looked for by letters, in both forms.
     """
     t = df.select(F.col(key).alias("k"), plain_lower(text).alias("t")).where("t != ''")
     words = t.select("k", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
-    pairs = words.select(F.col("k").alias("a"), "w").join(words.select(F.col("k").alias("b"), "w"), "w").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= shared)
-    both = pairs.join(t.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").join(t.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
-    return both.select("a", "b", similarity_udf("ta", "tb").alias("similarity")).where((F.col("similarity") >= least) & (F.col("similarity") < most))
+    pairs = words.select(F.col("k").alias("a"), "w").join(words.select(F.col("k").alias("b"), "w"), "w").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= shared).select("a", "b")
+    if shared < 1 and least <= 0:
+        pairs = t.select(F.col("k").alias("a")).crossJoin(t.select(F.col("k").alias("b"))).where("a < b")  # all pairs are asked for
+    elif shared < 1:
+        ordered = t.select("k", F.array_join(F.array_sort(F.array_distinct(F.split("t", " "))), " ").alias("t"))
+        pairs = pairs.union(letter_pairs(t, least)).union(letter_pairs(ordered, least)).distinct()
+    return _with_texts(pairs, t).select("a", "b", similarity_udf("ta", "tb").alias("similarity")).where((F.col("similarity") >= least) & (F.col("similarity") < most))
+
+
+def potential_duplicates(df: DataFrame, key: str, text: str, least: float = 0.8) -> DataFrame:
+    """JN22: pairs (a, b, similarity), a < b, of texts in lower case whose block ratio is over least (over 0) and under 1. Null and empty texts have no pairs."""
+    t = df.select(F.col(key).alias("k"), F.lower(text).alias("t")).where("t != ''")
+    # Matching blocks are a common subsequence.
+    return _with_texts(letter_pairs(t, 100.0 * least), t).select("a", "b", sequence_ratio_udf("ta", "tb").alias("similarity")).where((F.col("similarity") > least) & (F.col("similarity") < 1))
 
 
 def greedy_groups(rows: pd.DataFrame, threshold: float) -> list[int]:
@@ -141,7 +183,7 @@ def greedy_groups(rows: pd.DataFrame, threshold: float) -> list[int]:
 def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str, threshold: float = 85.0, mode: str = "blocked") -> DataFrame:
     """GE15: df with cluster_fuzzy.
 
-    mode 'exact': the order-dependent greedy grouping, in one task by its nature (a row's group depends on all rows before); for thousands of rows. mode 'blocked': connected components of similar pairs that share a word; scales, and differs from 'exact' where similarity is not transitive. A null name or detail counts as the word 'nan', as in the sources.
+    mode 'exact': the order-dependent greedy grouping, in one task by its nature (a row's group depends on all rows before); for thousands of rows. mode 'blocked': connected components of similar pairs, by distinct name and address; scales, and differs from 'exact' where similarity is not transitive. A null name or detail counts as the word 'nan', as in the sources.
     """
     text = lambda c: F.coalesce(F.col(c), F.lit("nan"))
     rows = df.select(F.col(key).alias("k"), plain_lower(F.concat_ws(" ", text(name), text(detail))).alias("name"), plain_lower(address).alias("address"))
@@ -153,12 +195,14 @@ def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str
 
         found = rows.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(run, "k long, cluster_fuzzy long")
     else:
-        close = fuzzy_pairs(rows, "k", "name", 0.7 * threshold)
-        place = rows.select("k", F.col("address").alias("p"))
+        same = rows.where("name != ''").groupBy("name", "address").agg(F.min("k").alias("k"))
+        close = fuzzy_pairs(same, "k", "name", 0.7 * threshold)
+        place = same.select("k", F.col("address").alias("p"))
         close = close.join(place.withColumnsRenamed({"k": "a", "p": "pa"}), "a").join(place.withColumnsRenamed({"k": "b", "p": "pb"}), "b")
         links = close.where((F.col("similarity") >= threshold) | (similarity_udf("pa", "pb") >= 0.7 * threshold)).select("a", "b")
         comp = connected(links)
-        found = rows.select("k").join(comp, F.col("k") == F.col("node"), "left").select("k", F.coalesce("comp", "k").alias("cluster_fuzzy"))
+        named = same.join(comp, F.col("k") == F.col("node"), "left").select(F.col("name").alias("_n"), F.col("address").alias("_p"), F.coalesce("comp", "k").alias("c"))
+        found = rows.join(named, F.col("name").eqNullSafe(F.col("_n")) & F.col("address").eqNullSafe(F.col("_p")), "left").select("k", F.coalesce("c", "k").alias("cluster_fuzzy"))
     return df.join(found.withColumnRenamed("k", key), key, "left")
 
 

@@ -3,6 +3,7 @@
 import json
 import random
 from datetime import datetime
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -150,6 +151,27 @@ def test_fuzzy_clusters(spark):
     assert dict(rows(m)) == {"construcion": "Construcción", "Salud": "SALUD", "zzz": None, None: None}
 
 
+def test_fuzzy_pairs_without_a_common_word(spark):
+    texts = ["colegio", "colegios", "parque central", "parques centrales", "centrales parques", "cold widget", "old ring", "red bolt", "bolt rod", "a a a b", "b aa", "plaza", "x"]
+    rng = random.Random(3)
+    texts += sorted({" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 3))) for _ in range(40)})
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    for least in (0.0, 30.0, 60.0, 85.0):
+        want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if fuzzy.similarity(texts[i], texts[j]) >= least}
+        got = [(r.a, r.b) for r in fuzzy.fuzzy_pairs(df, "k", "t", least).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert any(not set(texts[i].split()) & set(texts[j].split()) for i, j in want)
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if 0.8 < SequenceMatcher(None, texts[i], texts[j]).ratio() < 1}
+    assert want and {(r.a, r.b) for r in fuzzy.potential_duplicates(df, "k", "t").collect()} == want
+
+
+def test_fuzzy_clusters_without_a_common_word(spark):
+    data = [(1, "colegio", "sur", "CR 1"), (2, "colegios", "surs", "CR 1"), (3, "museo", "x", None), (4, "museo", "x", None), (5, "", "", "y"), (6, "", "", "y")]
+    df = spark.createDataFrame(data, "k long, n string, d string, p string")
+    c = {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(df, "k", "n", "d", "p").collect()}
+    assert c == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6}
+
+
 def raw_units(spark):
     base = {"nombre_up": "ips norte", "nombre_up_detalle": "sede 1", "direccion": "calle 1", "clase_up": None, "tipo_equipamiento": None, "nombre_centro_gestor": "Obras", "comuna_corregimiento": "comuna 7", "barrio_vereda": "b", "tipo_intervencion": "Obra nueva", "estado": "", "bpin": "2.024.760", "referencia_contrato": "a, b", "ano": "2025", "fecha_inicio": "15/01/2025"}
     data = [base | {"_row_id": 1, "lat": "3,45", "lon": "76.53", "presupuesto_base": "1.000.000", "avance_obra": "50%"}, base | {"_row_id": 2, "lat": "3.45", "lon": "-76.53", "presupuesto_base": "$3,000,000", "avance_obra": "cero"}, base | {"_row_id": 3, "lat": None, "lon": None, "nombre_up": "Parque", "presupuesto_base": "-", "avance_obra": "100"}]
