@@ -7,14 +7,17 @@ words) of max_share of the item's length from the whole item.
 2. Windows worth a look follow from the q-gram lemma, which loses nothing: an
    item of L words within distance k shares at least L - 1 - 2k word pairs with
    the L + k words from the true start on.
-3. Each such window of the item's length, and the item, are embedded by CGK
-   random walks: step j shows the current word and moves on by a random bit of
-   (j, word), so a small edit distance becomes a small Hamming distance. Each of
-   `repeats` walks samples `bits` places of the embedding; windows that agree
-   with an item in all sampled places of a walk are candidates.
+3. Each such window of an item of at most WALKED words, and the item, are
+   embedded by CGK random walks: step j shows the current word and moves on by a
+   random bit of (j, word), so a small edit distance becomes a small Hamming
+   distance. Each of `repeats` walks samples `bits` places of the embedding;
+   windows that agree with an item in all sampled places of a walk are candidates.
+   The walks of longer texts drift apart, so all windows of longer items are
+   candidates.
 4. Candidates are verified by exact edit distance, with free ends.
 
-At the threshold about 0.65 of the places agree, so a leak is missed with a
+Items of over WALKED words are so found without loss. Of a shorter item at the
+threshold about 0.65 of the places agree, by which a leak would be missed with a
 probability of (1 - 0.65 ** bits) ** repeats: 8e-5 with the defaults. A window
 is only held against items of which it has the pairs of step 2.
 
@@ -41,7 +44,7 @@ from pyspark.sql import types as T
 
 from .common import M1, WordHashes, annotate, mix, slices
 
-MAX_SHARE, REPEATS, BITS, BLOCK = 0.2, 48, 4, 4000
+MAX_SHARE, REPEATS, BITS, BLOCK, WALKED = 0.2, 48, 4, 4000, 100
 _PLAIN = bytes(b if (48 <= b <= 57 or 97 <= b <= 122 or b >= 0x80) else 32 for b in range(256))
 _FILTER_BITS = 22
 PAD = np.uint64(0)
@@ -154,15 +157,19 @@ def several(starts: list[int], at: list[int], pairs: list[int], span: int, need:
     return out
 
 
-def fit_distance(item: np.ndarray, text: np.ndarray) -> int:
-    """Least edit distance between item and any run of text."""
+def fit(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """Least edit distance between item and any run of text, and where such a run ends."""
     row = np.zeros(len(text) + 1, np.int64)
     steps = np.arange(len(text) + 1)
     for i, w in enumerate(item, 1):
         best = np.minimum(row[1:] + 1, row[:-1] + (text != w))
         new = np.concatenate([[i], best]) - steps
         row = np.minimum.accumulate(new) + steps
-    return int(row.min())
+    return int(row.min()), int(row.argmin())
+
+
+def fit_distance(item: np.ndarray, text: np.ndarray) -> int:
+    return fit(item, text)[0]
 
 
 def leaks(w: np.ndarray, items: Items) -> dict[int, tuple[int, int]]:
@@ -197,7 +204,14 @@ def leaks(w: np.ndarray, items: Items) -> dict[int, tuple[int, int]]:
         for f, t in zip(first[close].tolist(), last[close].tolist(), strict=True):
             own.update(range(max(0, t - length - k + 1), f + 1))
         own = several(sorted(own), at, [int(pairs[p]) for p in at], length + k, items.kinds(i))
-        if own:
+        if length > WALKED:
+            for group in np.split(s := np.array(sorted(own), np.int64), np.flatnonzero(np.diff(s) > length) + 1) if own else ():
+                base = max(0, int(group[0]) - 2 * k)
+                d, end = fit(items.words[i], w[base : int(group[-1]) + length + 2 * k + 1])
+                hit = (d, max(0, base + end - length))
+                if d <= k and hit < found.get(i, (k + 1, 0)):
+                    found[i] = hit
+        elif own:
             windows[i] = own
             lengths[length] |= own
     for length, starts in lengths.items():

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caudal.llm import decontam, html_extract, langid, licenses, lm, mixing, neardup, quality_knn, quality_rules, urls
+from caudal.llm.common import WordHashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -294,6 +295,22 @@ def test_leaky_documents_go(leaky):
     assert kept == {r.doc_id for r in docs.collect()} - bad
 
 
+@pytest.mark.parametrize("kind", ["delete", "insert", "replace"])
+def test_leaks_of_long_items(kind):
+    rng = random.Random(8)
+    hashes = WordHashes()
+    for length in (120, 200, 400, 1000):
+        item = words(rng, length, "abcdefghijklmnopqrst").split()
+        items = decontam.Items([7], [hashes.of(decontam.plain_words(" ".join(item)))], 0.2, decontam.REPEATS, decontam.BITS)
+        for _ in range(8):
+            at = set(rng.sample(range(length), length // 5))
+            other = lambda: words(rng, 1, "uvwxyz")
+            leak = [v for i, u in enumerate(item) for v in ([u] if i not in at else {"delete": [], "insert": [u, other()], "replace": [other()]}[kind])]
+            text = " ".join([*words(rng, 300, "uvwxyz").split(), *leak, *words(rng, 200, "uvwxyz").split()])
+            got = decontam.leaks(hashes.of(decontam.plain_words(text)), items)
+            assert set(got) == {0} and got[0][0] <= length // 5 and abs(got[0][1] - 300) <= length // 5
+
+
 # --- mixing ------------------------------------------------------------------------
 
 
