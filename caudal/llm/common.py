@@ -8,7 +8,7 @@ an executor, so a lost executor only costs the re-run of its tasks.
 from __future__ import annotations
 
 import atexit
-import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,16 +31,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where the session names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or what SparkContext.setCheckpointDir got.
+
+    Where neither is set, as in tests, a local master gets a folder of its own; on a cluster, whose machines would not see each other's, that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        java = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if java.isDefined():
-            return java.get()
-        folder = tempfile.mkdtemp(prefix="caudal-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return folder
+    if folder:
+        return folder
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="caudal-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
@@ -62,12 +65,6 @@ def discard(df: DataFrame) -> None:
         _written[:] = [x for x in _written if x[1] != path]
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished jobs now: it does so when the driver's garbage is collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -84,6 +81,32 @@ def _tidy() -> None:
             return
 
 
+class IdFilter:
+    """A bitmap of hashed 64-bit ids. It has no false negatives; what it lets through in excess is for the join that follows to drop.
+
+    16 to 32 bits for each id, but never over 2 ** MOST_BITS (16 MB, the proven bound of what travels); beyond, it only lets more through.
+    """
+
+    LEAST_BITS, MOST_BITS = 16, 27
+
+    def __init__(self, ids: DataFrame) -> None:
+        """ids: one long column."""
+        c = F.col(ids.columns[0])
+        n = ids.count()
+        self.bits = min(self.MOST_BITS, max(self.LEAST_BITS, (16 * n).bit_length()))
+        slot = F.pmod(F.xxhash64(c), F.lit(1 << self.bits))
+        words = ids.select(slot.alias("s")).groupBy(F.shiftright("s", 5).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("bits")).toArrow()
+        self.map = np.zeros(1 << (self.bits - 5), np.uint32)
+        self.map[words.column("w").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+
+    def slot(self, c: Column) -> Column:
+        """What has() wants of an id."""
+        return F.pmod(F.xxhash64(c), F.lit(1 << self.bits))
+
+    def has(self, slots: np.ndarray) -> np.ndarray:
+        return (self.map[slots >> 5] >> (slots & 31).astype(np.uint32)) & 1 == 1
+
+
 def bucket_of(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
