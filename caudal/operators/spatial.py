@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.coords import haversine_m
-from ..shared import cut
+from ..shared import cut, drop
 
 CELL = 0.02  # degrees
 
@@ -108,8 +108,10 @@ def connected(links: DataFrame) -> DataFrame:
         jump = new.join(label.select(F.col("a").alias("c"), F.col("comp").alias("j")), "c", "left").select("a", F.least("c", F.coalesce("j", "c")).alias("comp"))
         jump = cut(jump, "label")
         moved = jump.join(label.withColumnRenamed("comp", "old"), "a").where(F.col("old") != F.col("comp")).limit(1).count()
+        drop(label)
         label = jump
         if not moved:
+            drop(both)
             return label.select(F.col("a").alias("node"), "comp")
 
 

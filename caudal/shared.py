@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,19 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or one of our own where the session names none (as in tests)."""
+    """spark.checkpoint.dir, or what SparkContext.setCheckpointDir got; a local master without either, as in tests, gets a folder of its own, a cluster an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    java = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not java.isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="caudal-"))
-        java = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return java.get()
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="caudal-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: what follows neither recomputes it nor loses it with an executor."""
     path = f"{shared_folder(df.sparkSession)}/caudal-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._caudal_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes what cut() wrote, once nothing reads it any more."""
+    path = getattr(df, "_caudal_path", None)
+    if path:
+        spark = df.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
