@@ -6,12 +6,18 @@ variable-order Markov models of characters, one of accepted and one of rejected
 URLs, give the difference of log-likelihoods by character; beyond a calibrated
 threshold a URL is blocked.
 
-The models are smoothed from order ORDER down to the uniform one: each order's
-estimate is drawn to that of the order below by STRENGTH imagined counts. They
-learn from all URLs of the table that rules decide, one fifth (by hash) left out
-to calibrate the threshold: it is the one that separates best, among those that
-block at most MOST_FALSE of the accepted ones (on at most about CALIBRATE URLs of
-either kind). Counts are kept in SLOTS hashed slots, so their size is bounded.
+A model keeps the exact counts of characters after contexts of up to ORDER bytes.
+Contexts are of variable order: one stays if it is at least 1 / CONTEXTS of its
+side's characters, so each order has CONTEXTS of them at most, however large the
+table; where a longer context is not kept, the next shorter one speaks. Each kept
+context's estimate is drawn to that of the context one shorter by STRENGTH
+imagined counts, down to the uniform one, so the probabilities of the characters
+after any context sum to one.
+
+The models learn from all URLs of the table that rules decide, one fifth (by
+hash) left out to calibrate the threshold: all of it is scored, in steps of STEP,
+and the threshold is the one that separates best among those that block at most
+MOST_FALSE of the accepted URLs.
 
 Nulls and edge cases: a null URL, or one without ://, has an empty host and path
 and fits no rule; a null or empty URL is allowed, as nothing speaks against it.
@@ -29,11 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, lower_ascii, mix, slices
+from .common import annotate, discard, lower_ascii, materialise, slices
 
-ORDER, STRENGTH, SLOT_BITS = 4, 4.0, 18
-SLOTS = 1 << SLOT_BITS
-CALIBRATE, MOST_FALSE = 4000, 0.01
+ORDER, STRENGTH, CONTEXTS = 4, 4.0, 1 << 14
+STEP, MOST_FALSE = 1e-3, 0.01
 #: (verdict, host, path prefix) of the query's contract.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
@@ -55,87 +60,134 @@ def deciding_rule(host: Column, path: Column, rules) -> Column:
     return F.array_max(F.transform(fits, lambda r: r["rule"]))
 
 
-def _keys(urls: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """For each order the slots of (context, character) and of the context, for all characters and the end of all URLs; and where each URL starts."""
+def _keys(urls: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each order a number that is exact for order, context and character (the last byte), for all bytes and the end of all URLs; and where each URL starts."""
     raw = [u.encode("utf-8", "surrogatepass") for u in urls]
-    a = np.frombuffer(b"".join(b"\0" * ORDER + r + b"\1" for r in raw), np.uint8).astype(np.uint64)
+    a = np.frombuffer(b"".join(b"\0" * ORDER + r + b"\1" for r in raw), np.uint8).astype(np.int64)
     lengths = np.array([len(r) + 1 for r in raw])
     starts = np.cumsum(lengths) - lengths
     pos = np.arange(lengths.sum()) + np.repeat((np.arange(len(raw)) + 1) * ORDER, lengths)
-    grams, contexts = [], []
-    c = np.zeros(len(pos), np.uint64)
+    keys, context = [], np.zeros(len(pos), np.int64)
     for k in range(ORDER + 1):
         if k:
-            c = c | (a[pos - k] << np.uint64(8 * k))
-        tag = np.uint64(k + 1) << np.uint64(48)
-        contexts.append((mix(c | tag) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-        grams.append((mix(c | a[pos] | tag) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-    return grams, contexts, starts
+            context = context | (a[pos - k] << (8 * k))
+        keys.append((k << 8 * (ORDER + 1)) | context | a[pos])
+    return keys, starts
+
+
+def _count(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """The counts of keys in a table of sorted keys and their counts; 0 where they are missing."""
+    known, n = table
+    if not len(known):
+        return np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, n[at], 0.0)
 
 
 @dataclass
 class Model:
-    grams: np.ndarray  # 2 x SLOTS: accepted, rejected
-    contexts: np.ndarray
+    grams: list  # of accepted and rejected URLs: sorted keys, counts
+    contexts: list
     threshold: float
 
+    def log_p(self, side: int, urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of each byte and end under the model of that side, and where each URL starts."""
+        keys, starts = _keys(urls)
+        p = np.full(len(keys[0]), 1 / 256)
+        for key in keys:
+            n = _count(self.contexts[side], key >> 8)
+            p = np.where(n > 0, (_count(self.grams[side], key) + STRENGTH * p) / (n + STRENGTH), p)
+        return np.log(p), starts
+
     def ratio(self, urls: list[str]) -> np.ndarray:
         """Log-likelihood of each URL as a rejected one less that as an accepted one, by character."""
-        grams, contexts, starts = _keys(urls)
-        log = np.zeros(len(grams[0]))
-        for side, sign in ((0, -1.0), (1, 1.0)):
-            p = np.full(len(log), 1 / 256)
-            for g, c in zip(grams, contexts, strict=True):
-                p = (self.grams[side][g] + STRENGTH * p) / (self.contexts[side][c] + STRENGTH)
-            log += sign * np.log(p)
-        return np.add.reduceat(log, starts) / np.diff(np.append(starts, len(log)))
+        good, starts = self.log_p(0, urls)
+        bad, _ = self.log_p(1, urls)
+        return np.add.reduceat(bad - good, starts) / np.diff(np.append(starts, len(good)))
 
 
-def train(decided: DataFrame) -> Model | None:
-    """From (url, verdict) rows that rules decide; None if one of the verdicts is missing."""
-    kept = decided.where(F.col("url").isNotNull() & (F.length("url") > 0)).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(5)))
+SIDES = ("allow", "block")
+
+
+def _gram_counts(decided: DataFrame) -> DataFrame:
+    """(side, key, n) over all URLs of (url, verdict)."""
 
     def count(batches):
-        total = np.zeros(4 * SLOTS, np.int64)
+        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+
+        def rows(side: int):
+            keys, n = (np.concatenate(x) for x in zip(*held[side], strict=True))
+            held[side].clear()
+            kinds, at = np.unique(keys, return_inverse=True)
+            return kinds, np.bincount(at, n).astype(np.int64)
+
+        def batch(side: int, kinds: np.ndarray, n: np.ndarray):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), side, np.int32)), pa.array(kinds), pa.array(n)], names=["side", "key", "n"])
+
         for b in batches:
             for part in slices(b, 0):
                 urls, verdicts = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for side, v in enumerate(("allow", "block")):
+                for side, v in enumerate(SIDES):
                     own = [u for u, w in zip(urls, verdicts, strict=True) if w == v]
                     if own:
-                        grams, contexts, _ = _keys(own)
-                        total[side * SLOTS : (side + 1) * SLOTS] += np.bincount(np.concatenate(grams), minlength=SLOTS)
-                        total[(2 + side) * SLOTS : (3 + side) * SLOTS] += np.bincount(np.concatenate(contexts), minlength=SLOTS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["slot", "n"])
-
-    got = kept.where("fold != 0").select("url", "verdict").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(4 * SLOTS, np.float32)
-    flat[got.column("slot").to_numpy()] = got.column("n").to_numpy()
-    model = Model(flat[: 2 * SLOTS].reshape(2, SLOTS), flat[2 * SLOTS :].reshape(2, SLOTS), np.inf)
-    if not model.contexts[0].any() or not model.contexts[1].any():
+                        held[side].append(np.unique(np.concatenate(_keys(own)[0]), return_counts=True))
+                    if sum(len(k) for k, _ in held[side]) > 1_000_000:
+                        kinds, n = rows(side)
+                        if len(kinds) > 500_000:
+                            yield batch(side, kinds, n)
+                        else:
+                            held[side].append((kinds, n))
+        for side in (0, 1):
+            if held[side]:
+                yield batch(side, *rows(side))
+
+    return decided.select("url", "verdict").mapInArrow(count, "side int, key long, n long").groupBy("side", "key").agg(F.sum("n").alias("n"))
+
+
+def _threshold(model: Model, held: DataFrame) -> float:
+    """Of the URLs left out: the threshold that separates best; 0 if a side is missing."""
+
+    def bins(batches):
+        for b in batches:
+            for part in slices(b, 0):
+                at = np.floor(model.ratio(part.column(0).to_pylist()) / STEP).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(at)], names=["verdict", "bin"])
+
+    got = held.select("url", "verdict").mapInArrow(bins, "verdict string, bin long").groupBy("verdict", "bin").count().collect()
+    at = np.unique([r.bin for r in got]) if got else np.zeros(0)
+    n = np.zeros((2, len(at)))
+    for r in got:
+        n[SIDES.index(r.verdict), np.searchsorted(at, r.bin)] += r["count"]
+    if not len(at) or not n.sum(1).all():
+        return 0.0
+    false, caught = 1 - np.cumsum(n, 1) / n.sum(1, keepdims=True)
+    best = int(np.where(false <= MOST_FALSE, caught - false, -1).argmax())
+    return float((at[best] + 1 + (at[best + 1] if best + 1 < len(at) else at[best] + 1)) / 2 * STEP)  # halfway to the next URL
+
+
+def train(decided: DataFrame) -> Model | None:
+    """From (url, verdict) rows that rules decide; None if one of the verdicts is missing."""
+    kept = decided.where(F.col("url").isNotNull() & (F.length("url") > 0)).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(5)))
+    counts = materialise(_gram_counts(kept.where("fold != 0")), "grams")
+    context = F.shiftright("key", 8).alias("context")
+    totals = counts.groupBy("side", context).agg(F.sum("n").alias("total"))
+    mass = {r.side: r.total for r in totals.where("context = 0").collect()}
+    if len(mass) < 2:
+        discard(counts)
         return None
-    # The side with more URLs counts less, else anything new would look like the other side.
-    mass = model.contexts.sum(1)
-    for side in (0, 1):
-        model.grams[side] *= mass.min() / mass[side]
-        model.contexts[side] *= mass.min() / mass[side]
-    sides = []
-    for v in ("allow", "block"):
-        own = kept.where((F.col("fold") == 0) & (F.col("verdict") == v))
-        share = min(1.0, CALIBRATE / max(1, own.count()))
-        urls = sorted(r.url for r in own.where(F.pmod(F.xxhash64("url", F.lit(8)), F.lit(1 << 30)) < share * (1 << 30)).select("url").collect())
-        sides.append(np.sort(model.ratio(urls)) if urls else np.zeros(0))
-    good, bad = sides
-    if not len(good) or not len(bad):
-        model.threshold = 0.0
-        return model
-    cuts = np.unique(np.concatenate(sides))
-    false = 1 - np.searchsorted(good, cuts, "right") / len(good)
-    caught = 1 - np.searchsorted(bad, cuts, "right") / len(bad)
-    ok = false <= MOST_FALSE
-    best = int(np.where(ok, caught - false, -1).argmax())
-    model.threshold = float((cuts[best] + cuts[min(best + 1, len(cuts) - 1)]) / 2)  # halfway to the next URL
+    least = F.when(F.col("side") == 0, mass[0] / CONTEXTS).otherwise(mass[1] / CONTEXTS)
+    known = counts.withColumn("context", context).join(totals.where(F.col("total") >= least), ["side", "context"]).select("side", "key", "n").toArrow()
+    discard(counts)
+    side, key, n = (known.column(c).to_numpy() for c in ("side", "key", "n"))
+    model = Model([], [], np.inf)
+    for s in (0, 1):
+        order = np.argsort(key[side == s])
+        # The side with more URLs counts less, else anything new would look like the other side.
+        k, c = key[side == s][order], n[side == s][order] * (min(mass.values()) / mass[s])
+        model.grams.append((k, c))
+        first = np.flatnonzero(np.append(True, (k[1:] >> 8) != (k[:-1] >> 8)))
+        model.contexts.append((k[first] >> 8, np.add.reduceat(c, first)))
+    model.threshold = _threshold(model, kept.where("fold = 0"))
     return model
 
 

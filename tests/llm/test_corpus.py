@@ -364,6 +364,60 @@ def test_url_models_tell_what_rules_taught(spark):
     assert len(free) > 200 and np.mean([(r.verdict == "block") == r.path.startswith("/de/") for r in free]) > 0.95
 
 
+def brute_ratio(learned, url, order=4, strength=4.0):
+    """By counting in plain dictionaries, without leaving out any context."""
+    grams = [Counter(), Counter()]
+    split = lambda u: [(k, raw[i - k : i], raw[i : i + 1]) for raw in [b"\0" * order + u.encode() + b"\1"] for i in range(order, len(raw)) for k in range(order + 1)]
+    for u, v in learned:
+        grams[v == "block"].update(split(u))
+    mass = [sum(n for (k, _, _), n in g.items() if k == 0) for g in grams]
+    total = 0.0
+    for side, sign in ((0, -1), (1, 1)):
+        contexts = Counter()
+        for (k, c, _), n in grams[side].items():
+            contexts[k, c] += n
+        w = min(mass) / mass[side]
+        p = 1 / 256
+        for k, c, x in split(url):
+            p = 1 / 256 if k == 0 else p
+            p = (w * grams[side][k, c, x] + strength * p) / (w * contexts[k, c] + strength)
+            total += sign * math.log(p) if k == order else 0
+    return total / (len(url.encode()) + 1)
+
+
+@pytest.fixture(scope="module")
+def decided(spark):
+    rng = random.Random(4)
+    rows = [(f"https://h{rng.randrange(40)}.example.com/{('fr', 'de')[i % 3 == 0]}/{rng.randrange(999)}é", ("allow", "block")[i % 3 == 0]) for i in range(600)]
+    return rows, spark.createDataFrame(rows, "url string, verdict string")
+
+
+def test_url_ratio_matches_plain_counting(decided):
+    rows, df = decided
+    model = urls.train(df)
+    fold = {r.url for r in df.select("url").distinct().where("pmod(xxhash64(url), 5) = 0").collect()}
+    learned = [r for r in rows if r[0] not in fold]
+    for url in (rows[0][0], "https://h1.example.com/de/77", "ftp://elsewhere/ü", "x"):
+        assert abs(model.ratio([url])[0] - brute_ratio(learned, url)) < 1e-9
+
+
+@pytest.mark.parametrize("contexts", [1 << 14, 40])
+def test_url_probabilities_sum_to_one(decided, monkeypatch, contexts):
+    """Also where most contexts are left out."""
+    monkeypatch.setattr(urls, "CONTEXTS", contexts)
+    model = urls.train(decided[1])
+    assert all(len(k[k >> 32 == o]) <= contexts for k, _ in model.contexts for o in range(5))
+    for before in ("", "https://h1.example.com/d", "zzzz"):
+        for side in (0, 1):
+            keys, _ = urls._keys([before])  # the last position is the end: put each byte there
+            p = np.full(256, 1 / 256)
+            for key in keys:
+                n = urls._count(model.contexts[side], key[-1:] >> 8)
+                if n[0]:
+                    p = (urls._count(model.grams[side], (key[-1] >> 8 << 8) + np.arange(256)) + urls.STRENGTH * p) / (n + urls.STRENGTH)
+            assert abs(p.sum() - 1) < 1e-9 and abs(np.log(p[1]) - model.log_p(side, [before])[0][-1]) < 1e-9
+
+
 # --- HTML ---------------------------------------------------------------------------------
 
 
