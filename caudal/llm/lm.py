@@ -1,28 +1,36 @@
 """Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
 
-Counts of all words of the training documents come first. The end and the most
-frequent words, WORDS together, are classes of their own; every other word,
-known or not, belongs to one of TAILS tail classes by its last letters. The model
-predicts the class of a token from the classes of the two before:
+Counts of all words of the training documents come first. The end, the frequent
+words (LEAST occurrences or more, as many as UNITS leaves room for) and TAILS
+tails, to which all other words, known or not, belong by their last letters, are
+the units of the neural model. Its softmax is factored: units of near frequency
+form a class, and
 
+    P(unit | a, b) = P(class | a, b) P(unit | class, a, b)
     log P(class | a, b) = (C1[a] + C2[b]) . R[class] + bias[class] - log Z[a, b]
+    log P(unit | class, a, b) = (C1[a] + C2[b]) . S[unit] + bias[unit] - log Z[class, a, b]
 
-and a word within its tail class by its smoothed count. log Z is exact: batched
-matrix products over all pairs of contexts, so token probabilities sum to one.
+for the units a and b before; a word within its tail counts by its smoothed
+share. Both normalisers are exact, by batched matrix products over all classes
+and over all units of the token's class, so token probabilities sum to one. The
+model starts as the unigram one.
 
-Training reads every training token. Each task runs stochastic gradient steps of
-noise-contrastive estimation over its own documents, with noise samples shared
-by a batch; the tasks' parameters are averaged by a distributed sum, weighted by
-tokens, and the next sweep (over the other half of the documents) starts there.
+Training reads every training token EPOCHS times (once), at any size.
+A hash deals the documents to ROUNDS rounds and, within a round, to shards of
+about SHARD tokens. A shard's documents come together, in order of id, and take
+gradient steps of noise-contrastive estimation at both levels; then each row of
+parameters becomes the mean over the shards, weighted by the shard's use of the
+row, and the next round starts there. Shards depend on the number of tokens
+alone, so scores are the same, but for rounding, however the table is laid out.
 
-Words with at least N / HEAVY occurrences, which are at most HEAVY, travel to the
-tasks; the counts of all others are joined by hash. Words are told apart by
-64-bit hashes.
+The most frequent words, HEAVY at most (a histogram of the counts says from which
+count on), travel to the tasks; the counts of all others are joined by hash. Words
+are told apart by 64-bit hashes.
 
 Nulls and edge cases: a null text is empty: one token, the end. A null id counts
 as the empty text for the split. Without training documents N and V are 0, so
-every base probability is 1, and the model gives all classes the same
-probability. Repeated rows are scored each. Extra columns are ignored.
+every base probability is 1, and the model gives all units the same probability.
+Repeated rows are scored each. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,27 +45,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, lower_words, materialise, slices
+from .common import bucket_of, lower_words, materialise, mix, slices
 
-WORDS, TAILS, DIMS, NOISE, BATCH = 832, 192, 24, 48, 2048
-CLASSES = WORDS + TAILS  # class 0 is the end, class CLASSES stands before the first token
-HEAVY, SWEEPS, RATE = 1 << 20, 2, 0.12
-#: Corpora of fewer tokens are read several times in a sweep, up to MOST_EPOCHS.
-ENOUGH, MOST_EPOCHS = 6_000_000, 8
+#: Units at most (so the model has a bound), how often a word of its own occurs at least, dimensions, noise samples for classes and for units, tokens of a step.
+UNITS, TAILS, LEAST, DIMS, NOISE, WITHIN, BATCH = 1 << 15, 192, 8, 15, 24, 1, 1024
+ROUNDS, EPOCHS, SHARD, RATE = 4, 1, 4_000_000, 0.3
+HEAVY = 1 << 19
 END = b""
 
 
-def signed(word: bytes) -> int:
-    h = xxhash.xxh64_intdigest(word)
-    return h - (1 << 64) if h >= 1 << 63 else h
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def tail_of(word: bytes) -> int:
-    """The tail class of a word, by its last three bytes."""
-    h = 0
-    for b in word[-3:]:
-        h = (h * 257 + b + 1) & 0xFFFFFFFF
-    return ((h * 2654435761) & 0xFFFFFFFF) * TAILS >> 32
+def tails_of(words: list[bytes]) -> np.ndarray:
+    """The tail of each word, by its last three bytes."""
+    x = np.frombuffer(b"".join([w[-3:].rjust(3, b"\0") for w in words]), np.uint8).reshape(-1, 3).astype(np.uint32)
+    return (((x[:, 0] << 16 | x[:, 1] << 8 | x[:, 2]) * np.uint32(2654435761)).astype(np.uint64) * np.uint64(TAILS) >> np.uint64(32)).astype(np.int32)
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -68,7 +72,10 @@ def word_counts(train: DataFrame) -> DataFrame:
 
         def rows():
             ws = list(left)
-            out = pa.RecordBatch.from_arrays([pa.array([signed(w) for w in ws], pa.int64()), pa.array([tail_of(w) if w else -1 for w in ws], pa.int32()), pa.array(left.values(), pa.int64())], names=["h", "tail", "n"])
+            tail = tails_of(ws)
+            if END in left:
+                tail[ws.index(END)] = -1
+            out = pa.RecordBatch.from_arrays([pa.array(hashes(ws).view(np.int64)), pa.array(tail), pa.array(left.values(), pa.int64())], names=["h", "tail", "n"])
             left.clear()
             return out
 
@@ -77,7 +84,7 @@ def word_counts(train: DataFrame) -> DataFrame:
                 for t in part.column(0).to_pylist():
                     left.update(lower_words(t))
                 left[END] += part.num_rows
-                if len(left) > 300_000:
+                if len(left) > 600_000:
                     yield rows()
         if left:
             yield rows()
@@ -91,221 +98,368 @@ class Vocabulary:
     kinds: int  # V
     heavy: np.ndarray  # sorted hashes of the frequent words
     n: np.ndarray  # their counts
-    cls: np.ndarray  # their classes
-    noise: np.ndarray  # share of each class in the training tokens
-    tails: np.ndarray  # smoothed mass of each tail class
-
-    def lookup(self) -> "Lookup":
-        return Lookup(self)
-
+    unit: np.ndarray  # their units
+    level: int  # level() of the least of them
+    end: int  # unit of the end
+    tail: np.ndarray  # unit of each tail
+    within: np.ndarray  # by unit: for tails the log10 of their smoothed mass, else 0
+    mass: np.ndarray  # smoothed count of each unit, falling
+    first: np.ndarray  # first unit of each class, and the number of units
+
+    @property
+    def units(self) -> int:
+        return len(self.mass)
+
+    @property
+    def classes(self) -> int:
+        return len(self.first) - 1
+
+    @property
+    def of(self) -> np.ndarray:
+        """The class of each unit."""
+        return np.repeat(np.arange(self.classes), np.diff(self.first))
+
+
+class Places:
+    """Where hashes are in a sorted array of hashes: open addressing over twice as many slots."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = hashes.view(np.uint64)
+        self.shift = np.uint64(64 - max(4, (2 * len(hashes)).bit_length()))
+        self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        left, at = np.arange(len(hashes)), (mix(self.hashes) >> self.shift).astype(np.int64)
+        while len(left):
+            free = np.flatnonzero(self.slots[at] == 0)
+            got = free[np.unique(at[free], return_index=True)[1]]
+            self.slots[at[got]] = left[got] + 1
+            stay = np.ones(len(left), bool)
+            stay[got] = False
+            left, at = left[stay], (at[stay] + 1) & (len(self.slots) - 1)
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        out, left, at = np.full(len(h), -1), np.arange(len(h)), (mix(h) >> self.shift).astype(np.int64)
+        while len(left):
+            found = self.slots[at] - 1
+            right = (found >= 0) & (self.hashes[found] == h[left]) if len(self.hashes) else found >= 0
+            out[left[right]] = found[right]
+            on = ~right & (found >= 0)
+            left, at = left[on], (at[on] + 1) & (len(self.slots) - 1)
+        return out
 
-class Lookup(dict):
-    """word -> (class, place in heavy or -1)."""
 
-    def __init__(self, v: Vocabulary) -> None:
-        super().__init__()
-        self.v = v
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        h = signed(word)
-        i = int(np.searchsorted(self.v.heavy, h))
-        if i < len(self.v.heavy) and self.v.heavy[i] == h:
-            out = (int(self.v.cls[i]), i)
-        else:
-            out = (WORDS + tail_of(word), -1)
-        out = self[word] = out[0] << 24 | (out[1] + 1)
-        return out
+def level(n):
+    """Which step of the histogram a count is in: eight to each doubling."""
+    return F.floor(8 * F.log2(n)).cast("int")
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     got = counts.agg(F.sum("n"), F.count("*")).first()
     total, kinds = int(got[0] or 0), int(got[1])
-    least = max(1, math.ceil(total / HEAVY))
-    rows = counts.where(F.col("n") >= least).toArrow()  # HEAVY rows at most
+    least, many = 0, kinds
+    for r in counts.groupBy(level("n").alias("level")).count().orderBy("level").collect():
+        if many <= HEAVY:
+            break
+        least, many = r.level + 1, many - r["count"]
+    rows = counts.where(level("n") >= least).toArrow()  # HEAVY rows at most
     h, tail, n = (rows.column(k).to_numpy() for k in ("h", "tail", "n"))
     order = np.argsort(h)
     h, tail, n = h[order], tail[order], n[order]
-    cls = np.where(tail >= 0, WORDS + tail, 0).astype(np.int64)
-    words = np.flatnonzero(tail >= 0)
-    top = words[np.lexsort((h[words], -n[words]))[: WORDS - 1]]
-    cls[top] = np.arange(1, len(top) + 1)
+    words = np.flatnonzero((tail >= 0) & (n >= LEAST))
+    top = words[np.lexsort((h[words], -n[words]))[: UNITS - TAILS - 1]]
     sums = {r.tail: (r.n, r.k) for r in counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()}
-    mass, tails = np.zeros(CLASSES), np.zeros(TAILS)
-    mass[cls[top]] = n[top]
-    mass[0] = sums.get(-1, (0, 0))[0]
+    # The end, the words and the tails, before they are ordered.
+    mass = np.concatenate([[sums.get(-1, (0, 0))[0]], n[top], np.zeros(TAILS)]).astype(float)
+    smooth = np.zeros(TAILS)
     for t in range(TAILS):
         own = top[tail[top] == t]
         s, k = sums.get(t, (0, 0))
-        mass[WORDS + t] = s - n[own].sum()
-        tails[t] = mass[WORDS + t] + 0.1 * (k - len(own) + 1)  # one more for the unknown word
-    noise = (mass + 0.1) / (mass + 0.1).sum()
-    return Vocabulary(total, kinds, h, n, cls, noise, tails)
+        mass[1 + len(top) + t] = s - n[own].sum()
+        smooth[t] = mass[1 + len(top) + t] + 0.1 * (k - len(own) + 1)  # one more for the unknown word
+    falling = np.argsort(-mass, kind="stable")
+    unit = np.empty(len(mass), np.int64)
+    unit[falling] = np.arange(len(mass))
+    ends = np.flatnonzero(tail < 0)
+    of_heavy = unit[1 + len(top) + np.maximum(tail, 0)]
+    of_heavy[top], of_heavy[ends] = unit[1 : 1 + len(top)], unit[0]
+    within = np.zeros(len(mass))
+    within[unit[1 + len(top) :]] = np.log10(smooth)
+    mass = mass[falling] + 0.1
+    # Classes: units of near frequency, each with the same sum of the roots of their counts.
+    roots = np.cumsum(np.sqrt(mass))
+    cls = np.minimum((roots / roots[-1] * math.isqrt(len(mass))).astype(np.int64), math.isqrt(len(mass)) - 1)
+    first = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
+    return Vocabulary(total, kinds, h, n.astype(np.int64), of_heavy.astype(np.uint16), least, int(unit[0]), unit[1 + len(top) :], within, mass, np.append(first, len(mass)))
 
 
 class Bilinear:
-    """The parameters, as one float32 vector with views."""
-
-    SIZE = 2 * (CLASSES + 1) * DIMS + CLASSES * DIMS + CLASSES
+    """The parameters: `rows` has C1 (and its row of the start), C2 and S below one another, `classes` has R; each row ends in its bias, and `seen` holds each row's mean squared gradient so far."""
 
-    def __init__(self, flat: np.ndarray) -> None:
-        self.flat = flat
-        a, b = (CLASSES + 1) * DIMS, 2 * (CLASSES + 1) * DIMS
-        self.c1, self.c2 = flat[:a].reshape(-1, DIMS), flat[a:b].reshape(-1, DIMS)
-        self.r, self.bias = flat[b : b + CLASSES * DIMS].reshape(-1, DIMS), flat[b + CLASSES * DIMS :]
+    def __init__(self, v: Vocabulary, rows: np.ndarray, seen: np.ndarray, classes: np.ndarray, seen_classes: np.ndarray) -> None:
+        self.v, self.rows, self.seen, self.classes, self.seen_classes = v, rows, seen, classes, seen_classes
+        n = v.units + 1
+        self.c1, self.c2, self.s, self.bias = rows[:n, :DIMS], rows[n : 2 * n, :DIMS], rows[2 * n :, :DIMS], rows[2 * n :, DIMS]
+        self.r, self.class_bias = classes[:, :DIMS], classes[:, DIMS]
 
     @classmethod
-    def start(cls, noise: np.ndarray) -> "Bilinear":
-        m = cls(np.random.default_rng(5).normal(0, 0.1, cls.SIZE).astype(np.float32))
-        m.bias[:] = np.log(noise)
-        return m
-
-    def step(self, a: np.ndarray, b: np.ndarray, w: np.ndarray, noise: np.ndarray, log_q: np.ndarray, past: "Bilinear") -> None:
-        """One step of noise-contrastive estimation on tokens w after contexts a (nearest) and b; past: sums of squared gradients."""
-        q, rw, rn, k = self.c1[a] + self.c2[b], self.r[w], self.r[noise], math.log(len(noise))
-        e = 1 / (1 + np.exp(np.clip((q * rw).sum(1) + self.bias[w] - log_q[w] - k, -30, 30)))  # 1 - P(data)
-        en = -1 / (1 + np.exp(-np.clip(q @ rn.T + self.bias[noise] - log_q[noise] - k, -30, 30)))
-        dq = e[:, None] * rw + en @ rn
-        for table, sums, at, g in ((self.c1, past.c1, a, dq), (self.c2, past.c2, b, dq), (self.r, past.r, np.concatenate([w, noise]), np.concatenate([e[:, None] * q, en.T @ q]))):
-            self._add(table, sums, at, g / len(w))
-        self._add(self.bias[:, None], past.bias[:, None], np.concatenate([w, noise]), np.concatenate([e, en.sum(0)])[:, None] / len(w))
-
-    @staticmethod
-    def _add(table: np.ndarray, sums: np.ndarray, at: np.ndarray, g: np.ndarray) -> None:
+    def start(cls, v: Vocabulary) -> "Bilinear":
+        n = v.units
+        rows = np.zeros((3 * n + 2, DIMS + 1), np.float32)
+        rows[: 2 * n + 2, :DIMS] = np.random.default_rng(5).normal(0, 0.1, (2 * n + 2, DIMS))
+        sums = np.add.reduceat(v.mass, v.first[:-1])
+        rows[2 * n + 2 :, DIMS] = np.log(v.mass / sums[v.of])
+        classes = np.zeros((v.classes, DIMS + 1), np.float32)
+        classes[:, DIMS] = np.log(sums / sums.sum())
+        return cls(v, rows, np.full(len(rows), 1e-6, np.float32), classes, np.full(len(classes), 1e-6, np.float32))
+
+    def copy(self) -> "Bilinear":
+        return Bilinear(self.v, self.rows.copy(), self.seen.copy(), self.classes.copy(), self.seen_classes.copy())
+
+    def _add(self, base: int, at: np.ndarray, g: np.ndarray) -> None:
+        """Adds the gradients g to the rows base + at, summed where a row occurs several times; a row's step falls with its gradients so far."""
         order = np.argsort(at.astype(np.uint16), kind="stable")  # a radix sort at this width
         s = at[order]
         first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-        g, s = np.add.reduceat(g[order], first), s[first]
-        sums[s] += g * g
-        table[s] += RATE * g / np.sqrt(sums[s] + 1e-9)
-
-    def log_z(self) -> np.ndarray:
-        """log of the normaliser for each pair of contexts."""
-        out = np.empty((CLASSES + 1, CLASSES + 1), np.float32)
-        u2 = self.c2 @ self.r.T + self.bias
-        top = u2.max(1, keepdims=True)
-        e2 = np.exp(u2 - top).astype(np.float32)  # exp(x + y) as a product: one matrix product instead of as many exponentials
-        u1 = self.c1 @ self.r.T
-        t1 = u1.max(1, keepdims=True)
-        e1 = np.exp(u1 - t1).astype(np.float32)
-        out[:] = np.log(np.maximum(e1.astype(np.float64) @ e2.T.astype(np.float64), 1e-300)) + t1 + top.T
+        g, s = np.add.reduceat(g[order], first), base + s[first]
+        self.seen[s] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+        self.rows[s] += (RATE / np.sqrt(self.seen[s]))[:, None] * g
+
+    def step(self, a: np.ndarray, b: np.ndarray, w: np.ndarray, rng: np.random.Generator, noise: "Noise") -> None:
+        """One step of noise-contrastive estimation on units w after a (nearest) and b: first which class, then which unit of the class."""
+        n, units = len(w), self.v.units
+        q = self.rows[a] + self.rows[units + 1 + b]
+        q[:, DIMS] = 1
+        cls = noise.of[w]
+        drawn, often = np.unique(np.minimum(np.searchsorted(noise.class_sums, rng.random(NOISE) * noise.class_sums[-1], "right"), len(self.classes) - 1), return_counts=True)
+        theirs = self.classes[drawn]
+        e = -often.astype(np.float32) / (1 + np.exp(np.clip(noise.class_log[drawn] + np.float32(math.log(NOISE)) - q @ theirs.T, -30, 30)))
+        own = self.classes[cls]
+        p = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, own) - noise.class_log[cls] - np.float32(math.log(NOISE)), -30, 30)))
+        dq = e @ theirs + p[:, None] * own
+        order = np.argsort(cls, kind="stable")
+        s = cls[order]
+        first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+        g = np.zeros_like(self.classes)
+        g[s[first]] = np.add.reduceat((p[:, None] * q)[order], first)
+        g[drawn] += e.T @ q
+        # Units of the class, if it has several.
+        words = np.concatenate([w, *(np.searchsorted(noise.sums, noise.low[cls] + rng.random(n) * noise.span[cls], "right").astype(w.dtype) for _ in range(WITHIN))])
+        s = self.rows[2 * units + 2 + words].reshape(1 + WITHIN, n, -1)
+        x = np.einsum("ij,kij->ki", q, s) - noise.log[words].reshape(1 + WITHIN, n) - np.float32(math.log(WITHIN))
+        x[0] = 1 / (1 + np.exp(np.clip(x[0], -30, 30)))
+        x[1:] = -1 / (1 + np.exp(np.clip(-x[1:], -30, 30)))
+        x *= noise.several[cls]
+        dq += np.einsum("ki,kij->ij", x, s)
+        x /= n
+        np.multiply(q, x[:, :, None], out=s)
+        self._add(2 * units + 2, words, s.reshape(-1, DIMS + 1))
+        g /= n
+        self.seen_classes += np.einsum("ij,ij->i", g, g) / g.shape[1]
+        self.classes += (RATE / np.sqrt(self.seen_classes))[:, None] * g
+        dq /= n
+        dq[:, DIMS] = 0  # contexts have no bias
+        self._add(0, a, dq)
+        self._add(units + 1, b, dq)
+
+    def log_p(self, a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Natural log of P(unit | a, b), normalised over all classes and all units of the class."""
+        cls, units = self.v.of[w], self.v.units
+        q = self.rows[a] + self.rows[units + 1 + b]
+        q[:, DIMS] = 1
+        out = np.empty(len(w))
+        for i in range(0, len(w), 1024):
+            z = q[i : i + 1024] @ self.classes.T
+            at = z[np.arange(len(z)), cls[i : i + 1024]]
+            out[i : i + 1024] = at - _log_sum(z)
+        order = np.argsort(cls, kind="stable")
+        for same in np.split(order, np.flatnonzero(np.diff(cls[order])) + 1):
+            lo, hi = self.v.first[cls[same[0]]], self.v.first[cls[same[0]] + 1]
+            step = max(64, 200_000 // (hi - lo)) if hi - lo > 1 else len(same)
+            for i in range(0, len(same), step) if hi - lo > 1 else ():
+                rows = same[i : i + step]
+                z = q[rows] @ self.rows[2 * units + 2 + lo : 2 * units + 2 + hi].T
+                at = z[np.arange(len(rows)), w[rows] - lo]
+                out[rows] += at - _log_sum(z)
         return out
 
 
-def _classes(texts: list, lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Of all tokens of the texts: class and place in heavy plus one; where each text starts; and the tokens."""
-    codes, starts, n, tokens = [], [], 0, []
-    for t in texts:
-        words = lower_words(t)
-        words.append(END)
-        tokens.append(words)
-        starts.append(n)
-        n += len(words)
-        codes.append(np.fromiter(map(lookup.__getitem__, words), np.int64, len(words)))
-    code = np.concatenate(codes)
-    return code >> 24, code & 0xFFFFFF, np.array(starts), tokens
+def _log_sum(z: np.ndarray) -> np.ndarray:
+    """log of the sum of exp over each row of z, which is overwritten."""
+    top = z.max()  # one for all rows, unless they are far apart
+    rows = None if top - z.min() < 60 else z.max(1, keepdims=True)
+    z -= top if rows is None else rows
+    np.exp(z, out=z)
+    return np.log(z @ np.ones(z.shape[1], np.float32)) + (top if rows is None else rows[:, 0])
+
 
+class Noise:
+    """What the noise samples are drawn from: the smoothed counts."""
 
-def _contexts(c: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, v: Vocabulary) -> None:
+        self.of, sums = v.of.astype(np.uint16), np.add.reduceat(v.mass, v.first[:-1])
+        self.class_sums, self.class_log = np.cumsum(sums), np.log(sums / sums.sum()).astype(np.float32)
+        self.sums = np.cumsum(v.mass)
+        self.low = np.append(0.0, self.sums[v.first[1:-1] - 1])
+        self.span = (self.sums[v.first[1:] - 1] - self.low) * (1 - 1e-9)
+        self.log = np.log(v.mass / sums[self.of]).astype(np.float32)
+        self.several = (np.diff(v.first) > 1).astype(np.float32)
+
+
+def _contexts(c: np.ndarray, starts: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """The units before and two before each; `before` where a text starts."""
     a, b = np.empty_like(c), np.empty_like(c)
     a[1:], b[2:] = c[:-1], c[:-2]
-    a[starts] = CLASSES
-    b[:2] = CLASSES
-    b[starts] = CLASSES
-    b[np.minimum(starts + 1, len(c) - 1)] = CLASSES
-    b[starts] = CLASSES
+    b[:2] = before
+    a[starts] = before
+    b[np.minimum(starts + 1, len(c) - 1)] = before
+    b[starts] = before
     return a, b
 
 
-def train(docs: DataFrame, v: Vocabulary, *, sweeps: int = SWEEPS) -> Bilinear:
-    """Parameters after so many sweeps; each reads the documents whose hash falls to it, so together they read each once (small corpora several times)."""
-    model = Bilinear.start(v.noise)
+def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
+    """doc_id, row, train, n_tokens, known and base (over the frequent words), codes (16-bit units), tail (log10 of the shares within tails) and the other words (hs) with their counts (ns), from docs (doc_id, text, train)."""
+    log_n = math.log10(v.total + 0.1 * (v.kinds + 1))
+
+    def run(batches):
+        places, log_c = Places(v.heavy), np.append(0.0, np.log10(v.n + 0.1)) - log_n  # by place plus one
+        share = np.where(v.within[v.unit] > 0, log_c[1:] + log_n - v.within[v.unit], 0.0)
+        for b in batches:
+            for part in slices(b, 1, rows=256):
+                tokens: list[bytes] = []
+                ends = []
+                for t in part.column(1).to_pylist():
+                    tokens += lower_words(t)
+                    tokens.append(END)
+                    ends.append(len(tokens))
+                ends = np.array(ends)
+                starts = np.append(0, ends[:-1])
+                place = places.of(hashes(tokens))
+                known = place >= 0
+                unit, tail = np.zeros(len(tokens), np.uint16), np.zeros(len(tokens))
+                unit[known], tail[known] = v.unit[place[known]], share[place[known]]
+                left: list[Counter] = [Counter() for _ in starts]
+                rare = np.flatnonzero(~known)
+                if len(rare):
+                    words = [tokens[i] for i in rare.tolist()]
+                    for w, doc in zip(words, np.searchsorted(ends, rare, "right").tolist(), strict=True):
+                        left[doc][w] += 1
+                    unit[rare] = np.where(np.array([w == END for w in words]), v.end, v.tail[tails_of(words)])
+                    tail[rare] = -v.within[unit[rare]]
+                arrays = [part.column(0), part.column(2), pa.array(ends - starts), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(log_c[place + 1], starts)), pa.array(np.add.reduceat(tail, starts))]
+                arrays += [pa.array([unit[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary()), pa.array([hashes(list(c)).view(np.int64) for c in left], pa.list_(pa.int64())), pa.array([list(c.values()) for c in left], pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "train", "n_tokens", "known", "base", "tail", "codes", "hs", "ns"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    coded = docs.select("doc_id", "text", "train").mapInArrow(run, f"doc_id {kind}, train boolean, n_tokens long, known long, base double, tail double, codes binary, hs array<long>, ns array<int>")
+    return coded.withColumn("row", F.monotonically_increasing_id())
+
+
+#: Rows of parameters that are summed together, and shards.
+CHUNK, FAN = 1024, 64
+
+
+def train(coded: DataFrame, v: Vocabulary, *, rounds: int = ROUNDS, epochs: int = EPOCHS, shard: int = SHARD) -> Bilinear:
+    """Parameters after so many rounds over the training rows of encode()."""
+    model = Bilinear.start(v)
     if not v.total:
-        model.flat[:] = 0
+        model.rows[:], model.classes[:] = 0, 0
         return model
-    log_q = np.log(v.noise).astype(np.float32)
-    epochs = int(min(MOST_EPOCHS, max(1, math.ceil(ENOUGH / v.total))))
-    for sweep in range(sweeps):
-        start = model.flat
-
-        def run(batches, start=start, sweep=sweep):
-            own, past, lookup = Bilinear(start.copy()), Bilinear(np.full(Bilinear.SIZE, 1e-6, np.float32)), v.lookup()
-            rng, tokens = np.random.default_rng(70 + sweep), 0
-            cdf = np.cumsum(v.noise)
-            for b in batches:
-                for part in slices(b, 0):
-                    c, _, starts, _ = _classes(part.column(0).to_pylist(), lookup)
-                    a, p = _contexts(c, starts)
-                    tokens += len(c)
-                    for _ in range(epochs):
-                        order = rng.permutation(len(c))
-                        for i in range(0, len(c), BATCH):
-                            at = order[i : i + BATCH]
-                            noise = np.minimum(np.searchsorted(cdf, rng.random(NOISE)), CLASSES - 1)
-                            own.step(a[at], p[at], c[at], noise, log_q, past)
-            values = np.append(own.flat.astype(np.float64) * tokens, tokens)
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values)], names=["k", "v"])
-
-        share = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(sweeps)) == sweep).select("text")
-        got = share.mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
-        if got.num_rows:
-            flat = np.zeros(Bilinear.SIZE + 1)
-            flat[got.column("k").to_numpy()] = got.column("v").to_numpy()
-            model = Bilinear((flat[:-1] / flat[-1]).astype(np.float32))
+    shards = max(1, math.ceil(v.total / (rounds * shard)))
+    at = F.xxhash64("doc_id", "codes", F.lit(23))
+    dealt = coded.where("train").select("codes", "doc_id", at.alias("h"), F.pmod(at, F.lit(rounds)).alias("round"), F.pmod(F.xxhash64("doc_id", "codes", F.lit(29)), F.lit(shards)).cast("int").alias("shard"))
+    for turn in range(rounds):
+
+        def run(batches, start=model, turn=turn):
+            held, held_n, now, part = [], 0, None, 0
+            noise = Noise(v)
+
+            def learn():
+                """The steps on what is held; yields the rows that changed, in chunks."""
+                own, rng = start.copy(), np.random.default_rng((turn, now, part))
+                starts = np.cumsum([0] + [len(c) for c in held[:-1]])
+                w = np.concatenate(held).astype(np.int32)
+                a, b = _contexts(w, starts, v.units)
+                for _ in range(epochs):
+                    order = rng.permutation(len(w))
+                    for i in range(0, len(w), BATCH):
+                        x = order[i : i + BATCH]
+                        own.step(a[x], b[x], w[x], rng, noise)
+                parts = []
+                for k, (rows, seen, old, before) in enumerate(((own.rows, own.seen, start.rows, start.seen), (own.classes, own.seen_classes, start.classes, start.seen_classes))):
+                    use = (seen - before).astype(float)
+                    at = np.flatnonzero(use > 0)
+                    x = np.concatenate([rows[at] - old[at], use[at, None], np.ones((len(at), 1))], 1) * use[at, None]
+                    chunks = np.full(len(at), -1) if k else at // CHUNK
+                    parts += [(int(c), at[p].astype(np.int32).tobytes(), x[p].astype(np.float32).tobytes()) for c in np.unique(chunks) for p in [chunks == c]]
+                return pa.RecordBatch.from_arrays([pa.array([now] * len(parts), pa.int32()), *(pa.array([r[i] for r in parts], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary())))], names=["shard", "chunk", "at", "v"])
+
+            for batch in batches:
+                for codes, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if held and (s != now or held_n >= 2 * shard):  # rows without end in one shard make several
+                        yield learn()
+                        held, held_n, part = [], 0, part + 1 if s == now else 0
+                    now = s
+                    held.append(np.frombuffer(codes, np.uint16))
+                    held_n += len(held[-1])
+            if held:
+                yield learn()
+
+        own = dealt.where(F.col("round") == turn).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "doc_id", "h").select("codes", "shard")
+        sums, left = own.mapInArrow(run, "shard int, chunk int, at binary, v binary"), shards
+        while left > FAN:  # a group never holds more than about FAN shards
+            left = math.ceil(left / FAN)
+            sums = _summed(sums.withColumn("shard", F.pmod("shard", F.lit(left)).cast("int")))
+        model = model.copy()
+        for r in _summed(sums.withColumn("shard", F.lit(0))).collect():
+            at, x = np.frombuffer(r.at, np.int32), np.frombuffer(r.v, np.float32).reshape(-1, DIMS + 3)
+            x = (x[:, :-1] / np.maximum(x[:, -1:], 1e-300)).astype(np.float32)
+            rows, seen = (model.classes, model.seen_classes) if r.chunk < 0 else (model.rows, model.seen)
+            rows[at] += x[:, :-1]
+            seen[at] += x[:, -1]
     return model
 
 
-def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, model: Bilinear) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score for each row of docs (doc_id, text)."""
-    log_z, flat = model.log_z(), model.flat
-    log_n = math.log10(v.total + 0.1 * (v.kinds + 1))
-    least = max(1, math.ceil(v.total / HEAVY))
+def _summed(parts: DataFrame) -> DataFrame:
+    """The sums by row over each shard and chunk of (shard, chunk, at, v)."""
+
+    def add(t: pa.Table) -> pa.Table:
+        at = np.concatenate([np.frombuffer(x, np.int32) for x in t.column("at").to_pylist()])
+        x = np.concatenate([np.frombuffer(v, np.float32) for v in t.column("v").to_pylist()]).reshape(len(at), -1).astype(float)
+        order = np.argsort(at, kind="stable")
+        at, x = at[order], x[order]
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        return pa.table({"shard": t.column("shard").slice(0, 1), "chunk": t.column("chunk").slice(0, 1), "at": pa.array([at[first].tobytes()], pa.binary()), "v": pa.array([np.add.reduceat(x, first).astype(np.float32).tobytes()], pa.binary())})
+
+    return parts.groupBy("shard", "chunk").applyInArrow(add, "shard int, chunk int, at binary, v binary")
+
+
+def score(coded: DataFrame, counts: DataFrame, v: Vocabulary, model: Bilinear) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score for each row of encode()."""
 
     def run(batches):
-        lookup, m = v.lookup(), Bilinear(flat)
-        g1, g2 = m.c1 @ m.r.T, m.c2 @ m.r.T
-        log_c = np.append(0.0, np.log10(v.n + 0.1))  # by place in heavy plus one
-        within = np.append(np.zeros(WORDS), -np.log10(v.tails))
         for b in batches:
-            for part in slices(b, 1, rows=256):
-                texts = part.column(1).to_pylist()
-                c, place, starts, tokens = _classes(texts, lookup)
-                a, p = _contexts(c, starts)
-                lp = (g1[a, c] + g2[p, c] + m.bias[c] - log_z[a, p]).astype(np.float64) / math.log(10)
-                known = place > 0
-                lp += np.where(c >= WORDS, within[c] + log_c[place], 0.0)
-                base = log_c[place] - log_n
-                ends = np.append(starts[1:], len(c))
-                hs, ns = [], []
-                for words, s, e in zip(tokens, starts, ends, strict=True):
-                    rare = np.flatnonzero(~known[s:e]).tolist()
-                    if rare:
-                        left = Counter([words[i] for i in rare])
-                        hs.append([signed(w) for w in left])
-                        ns.append(list(left.values()))
-                    else:
-                        hs.append([])
-                        ns.append([])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ends - starts), pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(lp, starts)), pa.array(hs, pa.list_(pa.int64())), pa.array(ns, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "known", "base", "lp", "hs", "ns"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, known long, base double, lp double, hs array<long>, ns array<int>")
-    scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("hs", "ns")).alias("x")).select("row", F.col("x.hs").alias("h"), F.col("x.ns").alias("k"))
-    rare = rare.join(counts.where(F.col("n") < least).select("h", "n"), "h", "left")
+            for part in slices(b, 2, rows=256):
+                own = [np.frombuffer(x, np.uint16) for x in part.column(2).to_pylist()]
+                starts = np.cumsum([0] + [len(x) for x in own[:-1]])
+                w = np.concatenate(own).astype(np.int64)
+                lp = model.log_p(*_contexts(w, starts, v.units), w) / math.log(10)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.add.reduceat(lp, starts))], names=["row", "tail", "lp"])
+
+    lp = coded.select("row", "tail", "codes").mapInArrow(run, "row long, tail double, lp double").select("row", (F.col("lp") + F.col("tail")).alias("lp"))
+    rare = coded.select("row", F.explode(F.arrays_zip("hs", "ns")).alias("x")).select("row", F.col("x.hs").alias("h"), F.col("x.ns").alias("k"))
+    rare = rare.join(counts.where(level("n") < v.level).select("h", "n"), "h", "left")
     rare = rare.groupBy("row").agg(F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("also"))
     more = F.coalesce("more", F.lit(0.0))
-    out = scored.drop("hs", "ns").join(rare, "row", "left")
-    return out.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"), (F.col("base") + more).alias("base_score"), (F.col("lp") + more).alias("score"))
+    out = coded.select("doc_id", "row", "train", "n_tokens", "known", "base").join(lp, "row").join(rare, "row", "left")
+    return out.select("doc_id", "train", "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"), (F.col("base") + more).alias("base_score"), (F.col("lp") + more).alias("score"))
 
 
-def fit_and_score(docs: DataFrame, *, held_out: tuple[int, int] = (10, 0), sweeps: int = SWEEPS) -> DataFrame:
+def fit_and_score(docs: DataFrame, *, held_out: tuple[int, int] = (10, 0), **params) -> DataFrame:
     """Learns from the documents whose crc32(doc_id) modulo held_out[0] is not held_out[1], and scores all."""
     remainder = bucket_of("doc_id", held_out[0]) == held_out[1]
-    training = docs.where(~remainder).select("doc_id", "text")
-    counts = materialise(word_counts(training), "counts")
+    split = docs.select("doc_id", "text", (~remainder).alias("train"))
+    counts = materialise(word_counts(split.where("train")), "counts")
     v = vocabulary(counts)
-    out = score(docs, counts, v, train(training, v, sweeps=sweeps))
-    return out.select("doc_id", remainder.alias("held_out"), "n_tokens", "n_known", F.lit(v.total).cast("long").alias("train_tokens"), "base_score", "score")
+    coded = materialise(encode(split, v), "coded")
+    out = score(coded, counts, v, train(coded, v, **params))
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(v.total).cast("long").alias("train_tokens"), "base_score", "score")

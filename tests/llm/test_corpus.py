@@ -228,12 +228,56 @@ def test_rare_words_are_joined(docs, rows, monkeypatch):
         assert r.n_known == want[r.doc_id][0] and abs(r.base_score - want[r.doc_id][1]) < 1e-6
 
 
-def test_class_probabilities_sum_to_one():
-    m = lm.Bilinear.start(np.full(lm.CLASSES, 1 / lm.CLASSES))
-    z = m.log_z()
-    for a, b in ((0, 0), (5, lm.CLASSES), (lm.CLASSES, lm.CLASSES)):
-        p = np.exp((m.c1[a] + m.c2[b]) @ m.r.T + m.bias - z[a, b])
-        assert abs(p.sum() - 1) < 1e-4
+def trained(docs, **params):
+    """What fit_and_score learns from all of docs."""
+    split = docs.select("doc_id", "text", F.lit(True).alias("train"))
+    counts = lm.word_counts(split)
+    v = lm.vocabulary(counts)
+    return v, lm.train(lm.encode(split, v), v, **params)
+
+
+@pytest.fixture(scope="module")
+def language_model(docs):
+    return trained(docs)
+
+
+def test_unit_probabilities_sum_to_one(language_model):
+    v, m = language_model
+    assert v.classes > 5 and v.units == v.first[-1]
+    for a, b in ((0, 0), (5, v.units), (v.units, v.units), (v.units - 1, 3)):
+        every = np.arange(v.units)
+        assert abs(np.exp(m.log_p(np.full_like(every, a), np.full_like(every, b), every)).sum() - 1) < 1e-4
+
+
+def test_scores_of_a_trained_model_match_a_plain_sum(spark, language_model, rows):
+    v, m = language_model
+    docs = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", F.lit(True).alias("train"))
+    coded = lm.encode(docs, v).cache()
+    got = {r.doc_id: r.score for r in lm.score(coded, lm.word_counts(docs), v, m).collect()}
+    counts = Counter(x for _, t, *_ in rows for x in [*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), b""])
+    place = {int(h): i for i, h in enumerate(v.heavy)}
+    soft = lambda z: np.exp(z.astype(float)) / np.exp(z.astype(float)).sum()
+    for i, t, *_ in rows[:40]:
+        total, a, b = 0.0, v.units, v.units
+        for w in [*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), b""]:
+            h = int(lm.hashes([w]).view(np.int64)[0])
+            u = int(v.unit[place[h]]) if h in place else int(v.tail[lm.tails_of([w])[0]])
+            k = int(np.searchsorted(v.first, u, "right")) - 1
+            q = m.c1[a] + m.c2[b]
+            own = slice(v.first[k], v.first[k + 1])
+            total += math.log10(soft(m.r @ q + m.class_bias)[k]) + math.log10(soft(m.s[own] @ q + m.bias[own])[u - v.first[k]])
+            if u in v.tail:
+                total += math.log10((counts[w] + 0.1)) - v.within[u]
+            a, b = u, a
+        assert abs(got[i] - total) < 1e-3 * max(1, abs(total) / 100)
+
+
+def test_scores_do_not_depend_on_the_layout(docs, monkeypatch):
+    monkeypatch.setattr(lm, "FAN", 3)  # sums in several levels
+    scores = [{(r.doc_id, r.n_tokens): r.score for r in lm.fit_and_score(docs.repartition(n), shard=300).collect()} for n in (1, 6, 32)]
+    assert len(scores[0]) > 100
+    for other in scores[1:]:
+        assert all(abs(other[k] - x) < 1e-3 * max(1, abs(x)) for k, x in scores[0].items())
 
 
 # --- decontamination -------------------------------------------------------------
