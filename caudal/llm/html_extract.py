@@ -5,8 +5,8 @@ says how likely a child is content given its parent, by the parent's kind; node
 potentials say how likely an element's tag, class and id words, link density and
 text length are in either state. Sum-product messages, upward and then downward,
 give each element's marginal; text counts if the marginal of its element is over
-one half. All potentials are counts over labelled pages, which `labelled_pages`
-writes: made-up articles in the usual surroundings.
+one half. All potentials come from one logistic regression on labelled pages, which
+`labelled_pages` writes: made-up articles in the usual surroundings.
 
 Text: character references are decoded; white space inside a block becomes one
 space; blocks are trimmed, empty ones left out, and the others joined in page
@@ -25,9 +25,11 @@ import html as _html
 import math
 import random
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,12 +44,15 @@ _BLOCK = frozenset("address article aside blockquote body caption center dd deta
 #: A start tag of the key closes an open element of the values that is not beyond one of the stops.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody"), "tfoot": ("tbody",)}
 _STOPS = frozenset("ul ol dl table html body article section div nav aside main".split())
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_MARK = re.compile(r"""[>"']""")
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _TELLING = frozenset("nav header footer aside form article main".split())
 #: Words of class, id and role that the model tells apart (fixed values).
 _HINTS = frozenset("ad ads advert advertisement banner sponsor sponsored promo sidebar side menu nav navigation navbar footer header masthead comment comments reply cookie notice consent newsletter subscribe signup login form search related recommended share social breadcrumb pagination pager widget popup modal disclaimer copyright toolbar content article post entry story main body text".split())
+#: Elements that hold text of their own only where a page has no other markup.
+_ROOTS = frozenset("#page html body".split())
 _KINDS = {"a": "link", "nav": "nav", "footer": "edge", "header": "edge", "aside": "edge", "form": "edge", "article": "article", "main": "main", "ul": "list", "ol": "list", "li": "item", "table": "table", "tr": "table", "td": "cell", "th": "cell", "p": "p", "div": "div", "section": "div", "html": "root", "#page": "root", "body": "body"}
 
 
@@ -60,77 +65,147 @@ class Node:
         self.own = self.text = self.linked = 0
 
 
+class _Tags:
+    """The tags of a page one after another, in time that grows with its length alone, however broken they are."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.none: dict[str, int] = {}  # from where on a string does not occur any more
+        self.open: set[int] = set()  # quotes after which no tag ends
+
+    def find(self, what: str, at: int) -> int:
+        if at >= self.none.get(what, len(self.page) + 1):
+            return -1
+        i = self.page.find(what, at)
+        if i < 0:
+            self.none[what] = at
+        return i
+
+    def end(self, at: int) -> int:
+        """Where the tag ends whose name ends at `at`: at a > outside of quotes, or else at the first > at all; -1 without one."""
+        i, passed = at, []
+        while m := _MARK.search(self.page, i):
+            if m[0] == ">":
+                return m.start()
+            if m.start() in self.open:
+                break
+            passed.append(m.start())
+            close = self.find(m[0], m.end())
+            if close < 0:
+                break
+            i = close + 1
+        self.open.update(passed)
+        return self.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, str, str] | None:
+        """(start, end, name, attributes) of the next tag from `at` on; the name has a slash before it if the tag closes, and is empty for comments and declarations."""
+        while (i := self.find("<", at)) >= 0:
+            if self.page.startswith("!--", i + 1):
+                end = self.find("-->", i + 4)
+                return i, end + 3 if end >= 0 else len(self.page), "", ""
+            m = _NAME.match(self.page, i + 1)
+            end = self.end(m.end()) if m else self.find(">", i) if self.page[i + 1 : i + 2] in ("!", "?") else -1
+            if end >= 0:
+                return i, end + 1, m[0].lower() if m else "", self.page[m.end() : end] if m else ""
+            at = i + 1
+        return None
+
+
+class _Stack:
+    """The open elements; for each tag, for blocks and for stops also where in the stack they are."""
+
+    def __init__(self, nodes: list[Node]) -> None:
+        self.nodes, self.ids, self.of = nodes, [0], defaultdict(list)
+
+    def keys(self, tag: str):
+        yield tag
+        if tag in _BLOCK:
+            yield "#block"
+        if tag in _STOPS:
+            yield "#stop"
+
+    def push(self, node: int) -> None:
+        for k in self.keys(self.nodes[node].tag):
+            self.of[k].append(len(self.ids))
+        self.ids.append(node)
+
+    def pop(self) -> Node:
+        n = self.nodes[self.ids.pop()]
+        for k in self.keys(n.tag):
+            self.of[k].pop()
+        return n
+
+    def last(self, key: str) -> int:
+        """The depth of the innermost one, or 0."""
+        at = self.of.get(key)
+        return at[-1] if at else 0
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     """Elements, parents first, and what they hold in page order: (element, text), or (element, None) where a block ends."""
     nodes, events = [Node("#page", -1, ())], []
-    stack, at, skip = [0], 0, 0
+    stack, tags, at, skip = _Stack(nodes), _Tags(page), 0, 0
 
     def close(depth: int) -> None:
         nonlocal skip
-        while len(stack) > depth:
-            n = nodes[stack.pop()]
+        while len(stack.ids) > depth:
+            n = stack.pop()
             if n.tag in _SKIP:
                 skip -= 1
             elif n.tag in _BLOCK:
-                events.append((stack[-1], None))
+                events.append((stack.ids[-1], None))
 
     def say(text: str) -> None:
         if text and not skip:
-            events.append((stack[-1], text))
+            events.append((stack.ids[-1], text))
 
     while True:
-        m = _TAG.search(page, at)
-        if not m:
+        found = tags.next(at)
+        if not found:
             say(page[at:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        start, end, tag, attrs = found
+        say(page[at:start])
+        at = end
         if not tag:
             continue
-        if m[1] or m[4]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if nodes[stack[i]].tag == tag), 0)
-            if depth:
+        if tag[0] == "/":
+            tag = tag[1:]
+            if depth := stack.last(tag):
                 close(depth)
             elif tag in ("p", "br"):
-                events.append((stack[-1], None))
+                events.append((stack.ids[-1], None))
             continue
         if tag == "br":
-            events.append((stack[-1], None))
+            events.append((stack.ids[-1], None))
             continue
         if tag in _VOID:
             continue
         if tag in _BLOCK:
-            p = next((i for i in range(len(stack) - 1, 0, -1) if nodes[stack[i]].tag == "p"), 0)
-            if p and not any(nodes[i].tag in _STOPS for i in stack[p:]):
-                close(p)
-        elif tag == "a":
-            old = next((i for i in range(len(stack) - 1, 0, -1) if nodes[stack[i]].tag == "a" or nodes[stack[i]].tag in _BLOCK), 0)
-            if old and nodes[stack[old]].tag == "a":
-                close(old)
-        for i in range(len(stack) - 1, 0, -1):
-            t = nodes[stack[i]].tag
-            if t in _CLOSES.get(tag, ()):
-                close(i)
-            elif t in _STOPS:
-                break
-        attrs = m[3] or m[6] or ""
+            if stack.last("p") > stack.last("#stop"):
+                close(stack.last("p"))
+        elif tag == "a" and stack.last("a") > stack.last("#block"):
+            close(stack.last("a"))
+        if tag in _CLOSES:
+            inner = [stack.of[t][k] for t in _CLOSES[tag] if (k := bisect_right(stack.of[t], stack.last("#stop"))) < len(stack.of[t])]
+            if inner:
+                close(min(inner))
         hints = tuple(w for a in _ATTR.finditer(attrs) for w in _WORD.findall((a[1] or a[2] or a[3] or "").lower()) if w in _HINTS) if "=" in attrs else ()
         if tag in _BLOCK:
-            events.append((stack[-1], None))
+            events.append((stack.ids[-1], None))
         if attrs.endswith("/") and tag not in _BLOCK:
             continue
-        around = nodes[stack[-1]]
+        around = nodes[stack.ids[-1]]
         under = around.under
         if around.hints or around.tag in _TELLING:
             under = under.union(around.hints, (around.tag,) if around.tag in _TELLING else ())
-        nodes.append(Node(tag, stack[-1], hints, under))
-        stack.append(len(nodes) - 1)
+        nodes.append(Node(tag, stack.ids[-1], hints, under))
+        stack.push(len(nodes) - 1)
         if tag in _SKIP:
             skip += 1
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
-            at = end.start() if end else len(page)
+            over = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
+            at = over.start() if over else len(page)
     for i, text in events:
         if text is not None:
             n = len(text.strip())
@@ -145,10 +220,21 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     return nodes, events
 
 
+def _size(n: int) -> int:
+    return 0 if not n else min(5, 1 + int(math.log10(n) * 1.5))
+
+
+def look(n: Node) -> tuple:
+    """What features() rests on; elements that look alike share their potential."""
+    return n.tag, 4 * n.linked // max(1, n.text) if n.text else -1, _size(n.text), _size(n.own), n.hints, n.under
+
+
 def features(n: Node) -> list[str]:
-    dense = 4 * n.linked // max(1, n.text) if n.text else -1
-    size = 0 if not n.text else min(5, 1 + int(math.log10(n.text) * 1.5))
-    return [f"tag {n.tag}", f"links {dense}", f"size {size}", *(f"hint {h}" for h in sorted(set(n.hints))), *(f"under {h}" for h in sorted(n.under))]
+    return _features(*look(n))
+
+
+def _features(tag: str, dense: int, size: int, own: int, hints: tuple[str, ...], under: frozenset[str]) -> list[str]:
+    return ["element", f"tag {tag}", f"links {dense}", f"size {size}", *((f"{tag} holds {own}",) if tag in _ROOTS else ()), *(f"hint {h}" for h in sorted(set(hints))), *(f"under {h}" for h in sorted(under))]
 
 
 def kind(n: Node) -> str:
@@ -157,14 +243,19 @@ def kind(n: Node) -> str:
 
 @dataclass
 class Model:
-    node: dict = field(default_factory=dict)  # feature -> log ratio of the states
-    edge: dict = field(default_factory=dict)  # kind of parent -> P(child state | parent state)
-    root: float = 0.02
+    node: dict = field(default_factory=dict)  # feature -> log potential of content
+    edge: dict = field(default_factory=dict)  # kind of parent -> potential by its state and the child's
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """P(content) of each element, by sum-product messages up and down the tree."""
-        odds = [math.exp(max(-30.0, min(30.0, sum(self.node.get(f, 0.0) for f in features(n))))) for n in nodes]
-        edges = [self.edge.get(kind(n), self.edge["other"]) for n in nodes]
+        known: dict[tuple, float] = {}
+        odds = []
+        for n in nodes:
+            k = look(n)
+            if k not in known:
+                known[k] = math.exp(max(-30.0, min(30.0, sum(self.node.get(f, 0.0) for f in features(n)))))
+            odds.append(known[k])
+        edges = [self.edge.get(kind(n), self.edge["any"]) for n in nodes]
         up0, up1 = [1.0] * len(nodes), [1.0] * len(nodes)  # belief from below: products of messages, and the node's own potential
         to0, to1 = [1.0] * len(nodes), [1.0] * len(nodes)  # messages of a node to its parent
         for i in range(len(nodes) - 1, -1, -1):
@@ -180,7 +271,6 @@ class Model:
                 s = x0 + x1
                 up0[p], up1[p] = x0 / s, x1 / s
         out, d0, d1 = [0.0] * len(nodes), [1.0] * len(nodes), [1.0] * len(nodes)
-        d0[0], d1[0] = 1 - self.root, self.root
         for i in range(len(nodes)):
             if i:
                 p = nodes[i].parent
@@ -193,30 +283,39 @@ class Model:
         return out
 
 
-def train(pages: list[tuple[str, str]], smooth: float = 0.5) -> Model:
-    """From (html, id of the element that is the article); elements within it are content, unless within an element marked data-off."""
-    seen = [defaultdict(lambda: smooth), defaultdict(lambda: smooth)]
-    total, edges = [0.0, 0.0], defaultdict(lambda: [[smooth, smooth], [smooth, smooth]])
+def train(pages: list[tuple[str, str]], *, shrink: float = 0.3, rounds: int = 12) -> Model:
+    """From (html, a mark for each element in page order: 1 for content).
+
+    The log odds of an element, given its parent's state, are the sum of its features' weights and of one for the
+    parent's kind and state: one ridge-penalised logistic regression, by Newton's method over the distinct elements.
+    The features' weights are node potentials; those of a kind, as probabilities of the child's state, are edge potentials.
+    """
+    at: dict = {}
+    seen: dict[tuple, list[int]] = {}
     for page, marks in pages:
         nodes, _ = parse(page)
-        state = [0] * len(nodes)
         for i, n in enumerate(nodes):
-            if i:
-                state[i] = 1 if marks[i] == "1" else 0
-                edges[kind(nodes[n.parent])][state[n.parent]][state[i]] += 1
-                edges["other"][state[n.parent]][state[i]] += 0.05
-            total[state[i]] += 1
-            for f in features(n):
-                seen[state[i]][f] += 1
-    m = Model()
-    for f in set(seen[0]) | set(seen[1]):
-        m.node[f] = math.log((seen[1][f] / (total[1] + 1)) / (seen[0][f] / (total[0] + 1)))
-    for k, e in edges.items():
-        m.edge[k] = tuple(tuple(x / sum(row) for x in row) for row in e)
+            k = (look(n), (kind(nodes[n.parent]), int(marks[n.parent])) if i else None)
+            seen.setdefault(k, [0, 0])[marks[i] == "1"] += 1
+    rows = [[at.setdefault(k, len(at)) for k in (*_features(*shape), *((above, ("any", above[1])) if above else ()))] for shape, above in seen]
+    x = np.zeros((len(rows), len(at)))
+    for i, row in enumerate(rows):
+        np.add.at(x[i], row, 1)
+    counts = np.array(list(seen.values()), float).reshape(-1, 2)
+    n, w = counts.sum(1), np.zeros(len(at))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (n * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + shrink * np.eye(len(at))
+        w += np.linalg.solve(h, x.T @ (counts[:, 1] - n * p) - shrink * w)
+    m = Model(node={k: float(w[i]) for k, i in at.items() if isinstance(k, str)})
+    weight = lambda k: float(w[at[k]]) if k in at else 0.0
+    for k in {k[0] for k in at if not isinstance(k, str)}:
+        on = [1 / (1 + math.exp(-weight(("any", s)) - (weight((k, s)) if k != "any" else 0.0))) for s in (0, 1)]
+        m.edge[k] = tuple((1 - p, p) for p in on)
     return m
 
 
-def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
+def labelled_pages(n: int = 800, seed: int = 10) -> list[tuple[str, str]]:
     """Made-up pages, each with a mark for each element in page order: 1 for content."""
     rng = random.Random(seed)
     out = []
@@ -236,6 +335,9 @@ def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
         def links(tag: str, k: int, on: int = 0) -> None:
             el(tag, on, lambda: [el("li", on, lambda: el("a", on, words(rng.randint(1, 3)), 'href="/x"')) for _ in range(k)])
 
+        def furniture() -> None:
+            rng.choice([lambda: el("nav", 0, lambda: [el("a", 0, words(1), 'href="/x"') for _ in range(rng.randint(1, 4))]), lambda: links("nav", rng.randint(1, 5)), lambda: el("form", 0, lambda: (el("label", 0, words(1)), el("p", 0, words(4)) if rng.random() < 0.3 else None)), lambda: el("div", 0, lambda: [el("a", 0, words(1), 'href="/x"') for _ in range(rng.randint(1, 4))], 'class="share"')])()
+
         def content() -> None:
             if rng.random() < 0.85:
                 el(rng.choice(["h1", "h1", "h2"]), 1, words(rng.randint(1, 14)))
@@ -249,10 +351,21 @@ def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
                     el(rng.choice(["ul", "ol"]), 1, lambda: [el("li", 1, words(rng.choice([1, 4, 12]))) for _ in range(rng.randint(1, 6))])
                 elif x < 0.88:
                     el(rng.choice(["blockquote", "pre", "div", "figure", "section"]), 1, lambda: el("p", 1, words(20)) if rng.random() < 0.5 else html.append(words(15)))
+                elif x < 0.895:
+                    el("figure", 1, lambda: el("figcaption", 1, words(rng.choice([3, 8, 15]))))
                 elif x < 0.91:
                     el("table", 1, lambda: [el("tr", 1, lambda: [el("td", 1, words(2)) for _ in range(3)]) for _ in range(2)])
+                elif x < 0.925:
+                    furniture()
                 elif x < 0.95:
                     el(rng.choice(["div", "aside"]), 0, words(rng.choice([4, 12, 25])), f'class="{rng.choice(["ad", "ads", "advert", "promo", "related", "share", "newsletter", "notice", "sponsored", "social"])}"')
+            if rng.random() < 0.3:
+                for _ in range(rng.randint(1, 4)):
+                    furniture()
+            if rng.random() < 0.25:  # sources and further reading
+                if rng.random() < 0.6:
+                    el(rng.choice(["h2", "h3", "p"]), 1, words(rng.randint(1, 3)))
+                el(rng.choice(["ul", "ol", "ul", "p", "div"]), 1, lambda: [rng.choice([lambda: el("li", 1, lambda: el("a", 1, words(rng.randint(1, 6)), 'href="/x"')), lambda: el("li", 1, lambda: (html.append(words(rng.randint(1, 6))), el("a", 1, words(rng.randint(1, 6)), 'href="/x"')))])() for _ in range(rng.randint(1, 7))])
             if rng.random() < 0.3:
                 comments()
 
@@ -290,8 +403,28 @@ def labelled_pages(n: int = 400, seed: int = 10) -> list[tuple[str, str]]:
                 el(tag, 1, content, attrs)
             around(False)
 
-        if rng.random() < 0.15:  # a fragment
+        def flat(tag: str, on: int) -> None:
+            """An article that no element of its own encloses."""
+            el(tag, on, lambda: (around(True) if rng.random() < 0.6 else None, content(), around(False) if rng.random() < 0.6 else None))
+
+        def bare() -> None:
+            for _ in range(rng.choice([1, 1, 2, 4])):
+                html.append(words(rng.choice([3, 12, 40, 120])))
+                html.append(rng.choice(["", "<br>", "<br><br>"]))
+                if rng.random() < 0.3:
+                    el(rng.choice(["b", "i", "a", "em", "p"]), 1, words(rng.randint(1, 12)))
+
+        x = rng.random()
+        if x < 0.12:  # a fragment
             rng.choice([body, lambda: el("article", 1, content)])()
+        elif x < 0.18:  # text with hardly any markup
+            marks[0] = "1"
+            bare()
+        elif x < 0.28:
+            rng.choice([lambda: flat("div", 1), lambda: flat("body", 0), lambda: el("html", 0, lambda: (el("head", 0, lambda: el("title", 0, words(5))), flat("body", 0)))])()
+        elif x < 0.34:
+            shape = rng.random()
+            el("html", 0, lambda: (el("head", 0, lambda: el("title", 0, words(5))) if rng.random() < 0.8 else None, el("body", 1, lambda: (around(True) if shape < 0.4 else None, bare(), around(False) if shape < 0.4 else None))))
         else:
             el("html", 0, lambda: (el("head", 0, lambda: el("title", 0, words(5))), el("body", 0, body)))
         out.append(("".join(html), "".join(marks)))

@@ -4,6 +4,7 @@ import math
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -489,12 +490,12 @@ def test_marginals_are_exact(model):
     total, on = 0.0, [0.0] * n
     for bits in range(1 << n):
         s = [bits >> i & 1 for i in range(n)]
-        p = model.root if s[0] else 1 - model.root
+        p = 1.0
         for i, x in enumerate(nodes):
             if s[i]:
                 p *= math.exp(sum(model.node.get(f, 0.0) for f in html_extract.features(x)))
             if i:
-                p *= model.edge.get(html_extract.kind(nodes[x.parent]), model.edge["other"])[s[x.parent]][s[i]]
+                p *= model.edge.get(html_extract.kind(nodes[x.parent]), model.edge["any"])[s[x.parent]][s[i]]
         total += p
         for i in range(n):
             on[i] += p * s[i]
@@ -508,6 +509,30 @@ def test_extraction(model):
     assert html_extract.extract(page, model) == "The title & more\nFirst text <b> with bold and a link.\nSecond line\nThird line of some length here"
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><h1>Title here</h1><p>One sentence of text that is long enough.</p><ul><li><a href='/a'>First source</a></li><li><a href='/b'>Second source</a></li><li><a href='/c'>Third</a></li></ul></article>", "Title here\nOne sentence of text that is long enough.\nFirst source\nSecond source\nThird"),
+        ("<html><body>Just some bare text without any tags inside.</body></html>", "Just some bare text without any tags inside."),
+        ("plain text only", "plain text only"),
+        ("<html><head><title>x</title></head><body><nav><ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul></nav><p>A first paragraph of the text.</p><p>A second paragraph of the text, longer.</p><footer>c 2020</footer></body></html>", "A first paragraph of the text.\nA second paragraph of the text, longer."),
+        ("<body><div class='content'><p>Hello world this is text.</p><figure><img src=x><figcaption>A caption</figcaption></figure><dl><dt>Term</dt><dd>Meaning of it</dd></dl></div><div class='sidebar'><ul><li><a href=x>More</a></li></ul></div></body>", "Hello world this is text.\nA caption\nTerm\nMeaning of it"),
+        ("<main><h1>Title</h1><p>Text text text text text.</p><h2>References</h2><ol><li>Author: <a href=x>Book</a>, 1990.</li></ol></main><aside>ad</aside>", "Title\nText text text text text.\nReferences\nAuthor: Book, 1990."),
+        ("<div><p>First paragraph of a page without any telling name.</p><p>Second one with a <a href=x>link</a> in it.</p></div>", "First paragraph of a page without any telling name.\nSecond one with a link in it."),
+        ("<article><p>Text of the article is here and goes on.</p><nav><a href=1>prev</a><a href=2>next</a></nav><div class='share'><a href=t>Tweet</a></div><form><input><label>Mail</label></form></article>", "Text of the article is here and goes on."),
+    ],
+)
+def test_hand_written_pages(model, page, text):
+    assert html_extract.extract(page, model) == text
+
+
+@pytest.mark.parametrize("page", ["<div>" * 200_000 + "x", '<a "' * 250_000, "<a '\"" * 200_000, "<" * 1_000_000, "<li>" * 200_000, "<p>x" * 100_000, "<div>" * 100_000 + "</span>" * 100_000, "<!-" * 300_000, "<!x " * 200_000, "<table><tr><td>" * 60_000, "<a " + 'class="' * 150_000 + ">x"])
+def test_broken_pages_take_linear_time(model, page):
+    began = time.process_time()
+    html_extract.extract(page, model)
+    assert time.process_time() - began < 5
+
+
 @pytest.mark.parametrize("page", [None, "", "plain", "<", "<p", "<p>" * 3000, "</div>" * 50, "<!-- never closed", "<script>x", "<p a='b>c", "<div>" * 2000 + "x", "\x00<p>\x00", "&#xD800;&bogus;", "<table><tr><td>a<td>b<tr><td>c</table>"])
 def test_odd_pages(model, page):
     assert isinstance(html_extract.extract(page, model), str)
