@@ -176,12 +176,16 @@ def fit(membership: DataFrame, domains: list[str], targets: dict[str, float], *,
 FIELDS = [T.StructField("n_tokens", T.LongType()), T.StructField("p", T.BinaryType())]
 
 
-def _membership(docs: DataFrame, model: Model) -> DataFrame:
+def _scorer(model: Model):
     def run(texts: list) -> list[pa.Array]:
         n, p = model.posteriors(texts)
         return [pa.array(n), pa.array([r.tobytes() for r in p], pa.binary())]
 
-    out, names = annotate(docs.select("doc_id", "text"), "text", run, FIELDS)
+    return run
+
+
+def _membership(docs: DataFrame, model: Model) -> DataFrame:
+    out, names = annotate(docs.select("doc_id", "text"), "text", _scorer(model), FIELDS)
     return out.select("doc_id", *(F.col(n).alias(f.name) for n, f in zip(names, FIELDS, strict=True)))
 
 
@@ -215,6 +219,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     member = materialise(_membership(docs, model), "membership")
     duals = fit(member, model.domains, TARGETS if targets is None else targets)
     discard(member)
+    # Scoring the texts again is cheaper than a second copy of them beside their posteriors.
     out, (rate,) = annotate(docs, "text", lambda texts: [pa.array(rates(model.posteriors(texts)[1], duals))], [T.StructField("rate", T.DoubleType())])
     names = [fresh(docs.columns, "rate"), fresh(docs.columns, "copies")]
     out = out.select(*docs.columns, F.col(rate).alias(names[0]), _copies(F.col("doc_id"), F.col(rate)).alias(names[1]))

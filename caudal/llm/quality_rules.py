@@ -1,13 +1,14 @@
 """Quality rules by distribution divergence.
 
 A document's character-class histogram and its common-word histogram are
-compared with references of each language by Jensen-Shannon divergence (bits).
+compared with references of each language by Jensen-Shannon distance, the root of
+the divergence in bits.
 The references are sums over all documents that name a language; the common
 words of a language are its most frequent ones over all documents.
 
 Nulls and edge cases: a null text has no words (all counts 0, base_failed). A
 document of no reference language (no lang anywhere in the table) is judged by
-the base rules alone. Divergences count only from min_chars characters and
+the base rules alone. Distances count only from min_chars characters and
 min_words words on; below, they are null. Repeated rows are judged each on its
 own. Extra columns are ignored, or passed through by keep().
 """
@@ -28,8 +29,8 @@ from .common import annotate, slices
 #: Character classes of the first histogram.
 CLASSES = ("lower", "upper", "digit", "letter beyond ASCII", "white space", "sentence mark", "symbol", "other")
 SYMBOLS = b"#*$%&|<>"
-#: Divergences beyond these reject; ordinary prose of such lengths stays a quarter below either.
-MAX_CHAR_DIVERGENCE, MAX_WORD_DIVERGENCE = 0.10, 0.25
+#: Distances beyond these reject; ordinary prose of such lengths stays well below either.
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.32, 0.5
 MIN_CHARS, MIN_WORDS, COMMON = 200, 100, 64
 
 
@@ -63,15 +64,15 @@ def char_histogram(raw: bytes) -> np.ndarray:
     return np.bincount(np.frombuffer(raw.translate(_TABLE), np.uint8), minlength=9)[:8]
 
 
-def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Jensen-Shannon divergence in bits between each row of p (counts) and q (one histogram)."""
+def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distance (root of bits) between each row of p (counts) and q (one histogram)."""
     p = p / np.maximum(p.sum(1, keepdims=True), 1e-300)
     q = q / max(q.sum(), 1e-300)
     m = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
         a = np.where(p > 0, p * np.log2(p / m), 0).sum(1)
         b = np.where(q > 0, q * np.log2(q / m), 0).sum(1)
-    return np.clip((a + b) / 2, 0, 1)
+    return np.sqrt(np.clip((a + b) / 2, 0, 1))
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -159,8 +160,8 @@ FIELDS = [
     *(T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
     T.StructField("base_failed", T.BooleanType()),
     T.StructField("kept", T.BooleanType()),
-    T.StructField("char_divergence", T.DoubleType()),
-    T.StructField("word_divergence", T.DoubleType()),
+    T.StructField("char_distance", T.DoubleType()),
+    T.StructField("word_distance", T.DoubleType()),
 ]
 
 
@@ -192,7 +193,7 @@ def _scorer(refs, max_char: float, max_word: float, min_chars: int, min_words: i
             both = []
             for c, wr, at in zip(chars, word_refs, cols, strict=True):
                 own = wh[:, at]
-                both.append((divergence(ch, c), divergence(np.column_stack([own, wh.sum(1) - own.sum(1)]), wr)))
+                both.append((distance(ch, c), distance(np.column_stack([own, wh.sum(1) - own.sum(1)]), wr)))
             sums = np.stack([a + b for a, b in both])
             best = sums.argmin(0)  # the language that it is nearest to, whatever lang says
             jc = np.stack([a for a, _ in both])[best, np.arange(len(texts))]
@@ -210,7 +211,7 @@ def _scorer(refs, max_char: float, max_word: float, min_chars: int, min_words: i
     return score
 
 
-def judge(docs: DataFrame, refs: dict | None = None, *, max_char: float = MAX_CHAR_DIVERGENCE, max_word: float = MAX_WORD_DIVERGENCE, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
+def judge(docs: DataFrame, refs: dict | None = None, *, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id and the columns of FIELDS for each row of docs (doc_id, text, lang). refs: as references() gives them, else from docs."""
     refs = references(docs) if refs is None else refs
     out, names = annotate(docs.select("doc_id", "text"), "text", _scorer(refs, max_char, max_word, min_chars, min_words), FIELDS)
@@ -219,6 +220,6 @@ def judge(docs: DataFrame, refs: dict | None = None, *, max_char: float = MAX_CH
 
 def keep(docs: DataFrame, **params) -> DataFrame:
     """The rows of docs that judge() keeps, with all their columns and in one pass over them."""
-    score = _scorer(references(docs), *(params.get(k, v) for k, v in (("max_char", MAX_CHAR_DIVERGENCE), ("max_word", MAX_WORD_DIVERGENCE), ("min_chars", MIN_CHARS), ("min_words", MIN_WORDS))))
+    score = _scorer(references(docs), *(params.get(k, v) for k, v in (("max_char", MAX_CHAR_DISTANCE), ("max_word", MAX_WORD_DISTANCE), ("min_chars", MIN_CHARS), ("min_words", MIN_WORDS))))
     out, names = annotate(docs, "text", lambda texts: [score(texts)[6]], [FIELDS[6]])
     return out.where(F.col(names[0])).select(*docs.columns)

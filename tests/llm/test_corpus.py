@@ -154,9 +154,40 @@ def test_quality_rules_reject_what_is_far_from_prose(spark, docs):
     assert not got[1000].kept and not got[1001].kept and not got[1000].base_failed
 
 
-def test_divergence():
+def test_distance():
     p = np.array([[1.0, 1.0], [1.0, 0.0]])
-    assert np.allclose(quality_rules.divergence(p, np.array([5.0, 5.0])), [0, 0.3112781], atol=1e-6)
+    assert np.allclose(quality_rules.distance(p, np.array([5.0, 5.0])), [0, 0.3112781**0.5], atol=1e-6)
+
+
+def test_distances_and_verdicts_match_brute_force(docs, rows):
+    def classes(t):
+        out = [0] * 8
+        for c in t:
+            out[0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 if ord(c) > 127 else 4 if c in " \t\n\r\x0b\x0c" else 5 if c in ".,;:!?'\"-()" else 6 if c in "#*$%&|<>" else 7] += 1
+        return out
+
+    def js(p, q):
+        p, q = ([x / max(sum(v), 1e-300) for x in v] for v in (p, q))
+        side = lambda u: sum(x * math.log2(2 * x / (a + b)) for x, a, b in zip(u, p, q, strict=True) if x)
+        return max(0.0, (side(p) + side(q)) / 2) ** 0.5
+
+    low = lambda t: re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+    refs = {}
+    for lang in {r[2] for r in rows if r[2]}:
+        own = [r[1] for r in rows if r[2] == lang]
+        n = Counter(w for t in own for w in low(t))
+        top = sorted(n, key=lambda w: (-n[w], w))[:64]
+        refs[lang] = ([sum(x) for x in zip(*map(classes, own), strict=True)], top, [n[w] for w in top] + [sum(n.values()) - sum(n[w] for w in top)])
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    for i, t, *_ in rows:
+        n = Counter(low(t))
+        both = [(js(classes(t or ""), c), js([n[w] for w in top] + [sum(n.values()) - sum(n[w] for w in top)], ref)) for c, top, ref in (refs[k] for k in sorted(refs))]
+        c, w = min(both, key=sum)
+        use_c, use_w = len(t or "") >= 200, sum(n.values()) >= 100
+        assert (got[i].char_distance is not None, got[i].word_distance is not None) == (use_c, use_w)
+        assert not use_c or abs(got[i].char_distance - c) < 1e-9
+        assert not use_w or abs(got[i].word_distance - w) < 1e-9
+        assert got[i].kept == (not got[i].base_failed and not (use_c and c > 0.32) and not (use_w and w > 0.5))
 
 
 # --- language identification -------------------------------------------------
@@ -171,6 +202,23 @@ def test_language_identification(docs, rows):
         assert got[i].lang_pred == "und" and got[i].score == 0 and got[i].rejected
 
 
+def test_language_predictions_match_plain_cosines(docs, rows):
+    m = langid.train(docs)
+    got = {r.doc_id: r for r in langid.predict(docs, m).collect()}
+    for i, t, *_ in rows[:20] + rows[60:80]:
+        raw = b" " + b" ".join(re.findall(rb"[a-z\x80-\xff]+", t.encode().lower())) + b" "
+        v = [0.0] * langid.DIMS
+        for k in range(1, 5):
+            for j in range(len(raw) - k + 1):
+                v[(int.from_bytes(raw[j : j + k], "big") + k * 0x3C6EF372) % 2**32 * 2654435761 % 2**32 >> 19] += 1
+        v = [math.log1p(x) * float(w) for x, w in zip(v, m.idf, strict=True)]
+        size = sum(x * x for x in v) ** 0.5
+        cosines = [sum(x * float(y) for x, y in zip(v, c, strict=True)) / size for c in m.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert abs(got[i].cosine - cosines[best]) < 1e-4 and got[i].lang_pred == m.langs[m.owner[best]]
+        assert got[i].rejected == (cosines[best] < m.floor[m.owner[best]])
+
+
 def test_language_rejection(spark, docs):
     m = langid.train(docs)
     odd = spark.createDataFrame([(1, "ЖЗИ ЙКЛ МНО ПРС ТУФ ХЦЧ ШЩЪ ЫЬЭ ЮЯА БВГ", "xx", "s", 0), (2, "123 456 ...", "xx", "s", 0)], SCHEMA)
@@ -371,6 +419,22 @@ def test_rates_reach_the_targets(spark, docs, rows):
     assert mixed.columns[-2:] == ["_rate", "copies"] and mixed.where("copies < 1").count() == 0
 
 
+def test_rates_match_a_plain_solver(docs, rows, spark):
+    labels = spark.createDataFrame([(i, int(i >= 60), 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    target = {"quality=0,toxic=0": 0.4, "quality=1,toxic=0": 0.6}
+    out = mixing.weigh(docs, labels, target).collect()
+    names = sorted(out[0].posteriors)
+    p, n = np.array([[r.posteriors[k] for k in names] for r in out]), np.array([r.n_tokens for r in out], float)
+    want = np.ones(len(out))
+    weight = np.linalg.inv((p * n[:, None]).T @ p / n.sum() + 1e-7 * np.eye(len(names)))
+    for _ in range(mixing.STEPS):
+        residual = (n * want) @ p / n.sum() - np.array([target[k] for k in names])
+        if np.abs(residual).max() < mixing.TOLERANCE:
+            break
+        want = np.maximum(0, want - p @ (weight @ residual))
+    assert np.allclose([r.rate for r in out], want, atol=1e-6)
+
+
 def test_without_labels_all_rates_are_one(spark, docs, none):
     out = mixing.weigh(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()
     assert {r.rate for r in out} == {1.0} and {r.copies for r in out} == {1}
