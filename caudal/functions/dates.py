@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .numbers import col, number, without
 
+# Spanish month names, and the formats in the order they are tried.
 MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")
 
 
@@ -38,6 +39,7 @@ def first_format(c: Column | str, formats: tuple[str, ...]) -> Column:
     return F.coalesce(*(F.try_to_timestamp(F.trim(col(c)), F.lit(f)) for f in formats))
 
 
+# Formats in the order they are tried.
 ORDERED = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd", "dd-MM-yyyy")
 TEXTUAL = ("yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy", "MM/dd/yyyy", "yyyy/MM/dd", "dd.MM.yyyy", "dd/MM/yy", "yyyy-MM-dd HH:mm:ss")
 

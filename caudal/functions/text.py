@@ -84,7 +84,7 @@ def contract_reference(c: Column | str) -> Column:
     return F.nullif(F.regexp_replace(s, r"\s+(20\d{2})$", "-$1"), F.lit(""))
 
 
-#: What UTF-8 letters look like when read as Latin-1: a rule, so no table is needed.
+#: What UTF-8 letters look like when read as Latin-1; their pairs come from decoding the right letter wrongly.
 _MOJIBAKE = {c.encode().decode("latin-1"): c for c in "áéíóúñüÁÉÍÓÚÑÜ°¿¡"}
 
 

@@ -233,3 +233,20 @@ def cross_counts(df: DataFrame, key: str, state: str) -> DataFrame:
 def rollup(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """AG41 (an extension): sums and counts at every level."""
     return df.rollup(*keys).agg(sum0(value).alias("total"), F.count("*").alias("n"), F.grouping_id().alias("level"))
+
+
+def correction_audit(df: DataFrame, match: str, before: str, after: str) -> DataFrame:
+    """AG38: rows and the sum of differences by kind of match."""
+    return df.groupBy(match).agg(F.count("*").alias("n"), sum0(F.col(after) - F.col(before)).alias("difference"))
+
+
+def zero_progress(df: DataFrame, state: str, progress: str) -> DataFrame:
+    """AG47: rows by state and progress as written, and whether that is a spelling of zero."""
+    s = F.lower(F.trim(F.col(progress).cast("string")))
+    zero = F.coalesce(s.isin("cero", "") | (s.rlike(r"^0+([.,]0+)?\s*%?$")), F.lit(False))
+    return df.groupBy(state, progress).agg(F.count("*").alias("n")).withColumn("is_zero", zero)
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """AG42: the different values that are not blank."""
+    return df.select(F.trim(F.col(column).cast("string")).alias(column)).where(F.coalesce(F.col(column), F.lit("")) != "").distinct()

@@ -17,6 +17,7 @@ from ..functions.numbers import number
 from ..functions.status import DONE, PREPARING, STATES
 from ..functions.text import valid_url
 from .relational import SEVERITIES, severity_rank, top_k_per_group
+from .spatial import ring_problem
 from .windows import change
 
 CRITICAL, HIGH, MEDIUM, LOW, INFO = SEVERITIES
@@ -72,8 +73,8 @@ def work_rules() -> list[Rule]:
     ]
 
 
-def strict_rules(catalogs: dict[str, list[str]], today: Column) -> list[Rule]:
-    """The declared rules that the live path never calls, as an optional set over flat records; LC008, PA002 and TA010 are declared but never reported."""
+def strict_rules(catalogs: dict[str, list[str]], today: Column, ring: str | None = None) -> list[Rule]:
+    """The declared rules that the live path never calls, as an optional set over flat records; LC008, PA002 and TA010 are declared but never reported. ring: a column with a polygon's outer ring, for LC006."""
     p, state = number(_text("avance_obra")), F.lower(F.trim("estado"))
     start, end = F.col("fecha_inicio").try_cast("date"), F.col("fecha_fin").try_cast("date")
     begun = state.isin("en ejecución", "terminado")
@@ -93,6 +94,7 @@ def strict_rules(catalogs: dict[str, list[str]], today: Column) -> list[Rule]:
         Rule("LC003", "logical_consistency", CRITICAL, "avance_obra", ~blank("avance_obra") & p.isNull(), _text("avance_obra")),
         Rule("LC004", "logical_consistency", HIGH, "presupuesto_base", ~blank("presupuesto_base") & F.coalesce(number(_text("presupuesto_base")) < 0, F.lit(True)), _text("presupuesto_base")),
         Rule("LC005", "logical_consistency", HIGH, "cantidad", ~blank("cantidad") & F.coalesce(number(_text("cantidad")) <= 0, F.lit(True)), _text("cantidad")),
+        *([Rule("LC006", "logical_consistency", HIGH, "geometry", ring_problem(F.col(ring)).isNotNull(), ring_problem(F.col(ring)))] if ring else []),
         Rule("LC007", "logical_consistency", HIGH, "ano", ~blank("ano") & ~F.coalesce(number(_text("ano")).between(2020, 2030), F.lit(False)), _text("ano")),
         *(Rule("CO001", "completeness", CRITICAL, f, blank(f), null) for f in ("nombre_up", "estado", "clase_up", "tipo_intervencion", "tipo_equipamiento", "nombre_centro_gestor", "comuna_corregimiento", "barrio_vereda")),
         Rule("CO002", "completeness", HIGH, "geometry", ~blank("direccion") & (lat.isNull() | lon.isNull()), null),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -182,6 +183,41 @@ def tagged(frames: dict[str, DataFrame], column: str = "tipo_instrumento") -> Da
     return union_all(*(f.withColumn(column, F.lit(k)) for k, f in frames.items()))
 
 
+def at_most(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """TK4: the first n rows by order, for a service that takes so many requests; order should end in a key."""
+    return df.orderBy(*order).limit(n)
+
+
+def first_value(df: DataFrame, column: str, order: str):
+    """SF16: the first value by order that is not null, on the driver: what tells a programme column is that it is 4599."""
+    return df.agg(F.min_by(column, F.when(F.col(column).isNotNull(), F.col(order)))).first()[0]
+
+
+def is_program_column(df: DataFrame, column: str, order: str) -> bool:
+    """SF16."""
+    v = first_value(df, column, order)
+    return v is not None and str(v).removesuffix(".0") == "4599"
+
+
+def logged(name: str, log: Callable[[str], None]):
+    """UD6: a step that tells when it is declared and how long that took; it runs nothing."""
+
+    def wrap(step: Step) -> Step:
+        def run(df: DataFrame) -> DataFrame:
+            began = time.monotonic()
+            try:
+                out = step(df)
+            except Exception as e:
+                log(f"{name}: failed after {time.monotonic() - began:.2f} s: {e}")
+                raise
+            log(f"{name}: {len(out.columns)} columns, {time.monotonic() - began:.2f} s")
+            return out
+
+        return run
+
+    return wrap
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """TK1: order should end in a key, so that ties are settled."""
     return df.orderBy(*order).limit(k)

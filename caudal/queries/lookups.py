@@ -107,9 +107,9 @@ def cdc_upsert(t):
     return C.upsert(old, C.changed(C.classify(new, old, "o_orderkey")).drop("change"), "o_orderkey").select("o_orderkey", "o_orderstatus")
 
 
-@query("select o_orderkey, case when o_orderkey % 5 = 0 then null else o_orderstatus end as stored, coalesce(case when o_orderkey % 5 = 0 then null else o_orderstatus end, 'Z') merged from orders where o_orderkey % 3 = 0")
+@query("select o_orderkey, case when o_orderkey % 5 = 0 then null else o_orderstatus end as stored, coalesce(case when o_orderkey % 5 = 0 then null else o_orderstatus end, 'Z') merged from orders")
 def cdc_merge_fields(t):
-    base = t("orders").where("o_orderkey % 3 = 0")
+    base = t("orders")
     new = base.select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("s"))
     merged = C.merge_fields(base.select("o_orderkey", F.lit("Z").alias("s")), new, "o_orderkey")
     return merged.join(new.withColumnRenamed("s", "stored"), "o_orderkey").select("o_orderkey", "stored", F.col("s").alias("merged"))

@@ -125,9 +125,11 @@ def union_dedup_last(t):
     return R.keep_last(both.withColumn("_o", F.col("src")), ["k"], "_o").drop("_o")
 
 
-@query("select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select distinct o_custkey as c_custkey from orders where o_custkey not in (select o_custkey from orders where o_orderstatus = 'F')")
 def set_diff(t):
-    return R.missing_from(t("customer").select("c_custkey"), t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    """SO3: customers of whose orders none is finished."""
+    o = t("orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus")
+    return R.missing_from(o.select("c_custkey").distinct(), o.where("o_orderstatus = 'F'"), "c_custkey")
 
 
 @query("select 'contrato' tipo_instrumento, count(*) n from orders union all select 'pago', count(*) from lineitem")

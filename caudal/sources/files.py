@@ -13,15 +13,16 @@ from ..functions import dates
 from ..functions.text import header_budget
 from ..operators.relational import union_all
 
-READERS: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {
+READERS: dict[str, Callable[[SparkSession, list[str], str], DataFrame]] = {
     "csv": lambda s, p, enc: s.read.options(header=True, encoding=enc, mode="PERMISSIVE", multiLine=True, escape='"').csv(p),
     "tsv": lambda s, p, enc: s.read.options(header=True, encoding=enc, mode="PERMISSIVE", sep="\t").csv(p),
     "txt": lambda s, p, enc: s.read.options(header=True, encoding=enc, mode="PERMISSIVE", sep="|").csv(p),
     "json": lambda s, p, enc: s.read.options(multiLine=True, encoding=enc, mode="PERMISSIVE").json(p),
-    "parquet": lambda s, p, enc: s.read.parquet(p),
+    "parquet": lambda s, p, enc: s.read.option("mergeSchema", True).parquet(*p),
 }
-#: Tried in this order.
-ENCODINGS = ("UTF-8", "ISO-8859-1")
+#: Of text files. Spark has no reader for windows-1252: it is read as ISO-8859-1, and its own letters are put right.
+ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
+_C1 = {chr(b): bytes([b]).decode("cp1252", "replace") for b in range(0x80, 0xA0)}
 
 
 def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
@@ -32,10 +33,29 @@ def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     return sorted((f.getPath().toString(), f.getLen()) for f in fs.listStatus(path) if f.isFile() or f.getPath().getName().endswith(".parquet"))
 
 
-def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless some line is not valid in it."""
-    bad = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
-    return ENCODINGS[1] if bad else ENCODINGS[0]
+def encodings_of(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The encoding of each file, by one scan over all: UTF-8 unless a line is not valid in it; then windows-1252 if there are bytes that ISO-8859-1 has no letters for."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    bad = lines.where(~F.is_valid_utf8("value"))
+    found = bad.groupBy("path").agg(F.max(F.hex(F.col("value").cast("binary")).rlike("^(..)*[89]")).alias("c1")).collect()  # a row for each such file
+    by_name = {r.path.split(":", 1)[-1].lstrip("/"): ENCODINGS[1] if r.c1 else ENCODINGS[2] for r in found}
+    return {p: by_name.get(_plain(spark, p), ENCODINGS[0]) for p in paths}
+
+
+def _plain(spark: SparkSession, path: str) -> str:
+    """The path as Spark's file metadata has it, without its scheme."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString().split(":", 1)[-1].lstrip("/")
+
+
+def first_line(spark: SparkSession, path: str, encoding: str, most: int = 1 << 16) -> str:
+    """A text file's first line, of its first bytes alone."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        raw = bytes(stream.readNBytes(most))
+    finally:
+        stream.close()
+    return raw.decode(encoding, "replace").lstrip("\ufeff").split("\n", 1)[0].rstrip("\r")
 
 
 def with_source(df: DataFrame) -> DataFrame:
@@ -48,7 +68,7 @@ def with_source(df: DataFrame) -> DataFrame:
 def scan_folder(spark: SparkSession, folder: str, *, normalise: Callable[[str], str] = header_budget, errors: list[tuple[str, str]] | None = None) -> DataFrame:
     """SRC1, SRC2, SRC3 and SRC6: all readable files of a folder by their extension, as one table of texts with provenance.
 
-    Files of one extension are one scan if their headers agree (csv) or can be merged (json, parquet). A kind that cannot be read is noted in `errors` and left out. Sheets of workbooks have to be exported first: there is no reader for them here.
+    Files of one extension, encoding and (of delimited texts) header are one scan. A kind that cannot be read is noted in `errors` and left out. Sheets of workbooks have to be exported first: there is no reader for them here.
     """
     by_kind: dict[str, list[str]] = {}
     for path, _ in list_files(spark, folder):
@@ -57,15 +77,21 @@ def scan_folder(spark: SparkSession, folder: str, *, normalise: Callable[[str],
             by_kind.setdefault(kind, []).append(path)
     frames = []
     for kind, paths in sorted(by_kind.items()):
+        encodings = encodings_of(spark, paths) if kind != "parquet" else dict.fromkeys(paths, ENCODINGS[0])
+        alike: dict[tuple[str, str], list[str]] = {}
         for path in paths:
+            header = first_line(spark, path, encodings[path]) if kind in ("csv", "tsv", "txt") else ""
+            alike.setdefault((encodings[path], header), []).append(path)
+        for (encoding, _), group in sorted(alike.items()):
             try:
-                enc = encoding_of(spark, path) if kind != "parquet" else "UTF-8"
-                df = with_source(READERS[kind](spark, path, enc))
-                frames.append(df.select(*(F.col(f"`{c}`").cast("string").alias(normalise(c) if not c.startswith("_") else c) for c in df.columns)))
-            except Exception as e:  # one bad file does not stop the scan; the caller sees which
+                windows = encoding == ENCODINGS[1]
+                df = with_source(READERS[kind](spark, group, ENCODINGS[2] if windows else encoding))
+                read = lambda c: F.translate(F.col(f"`{c}`").cast("string"), "".join(_C1), "".join(_C1.values())) if windows else F.col(f"`{c}`").cast("string")  # noqa: B023, E731
+                frames.append(df.select(*(F.col(f"`{c}`").cast("string").alias(c) if c.startswith("_") else read(c).alias(normalise(c.lstrip("\ufeff").translate(str.maketrans(_C1)) if windows else c.lstrip("\ufeff"))) for c in df.columns)))
+            except Exception as e:  # one bad group of files does not stop the scan; the caller sees which
                 if errors is None:
                     raise
-                errors.append((path, str(e).splitlines()[0]))
+                errors += [(path, str(e).splitlines()[0]) for path in group]
     if not frames:
         raise FileNotFoundError(f"nothing readable in {folder}")
     return union_all(*frames)

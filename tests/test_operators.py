@@ -287,3 +287,37 @@ def test_event_values(spark):
     gone = {"data": {"oldValue": {"fields": {"upid": {"stringValue": "u"}}}}}
     df = spark.createDataFrame([(json.dumps(e), datetime(2024, 1, 1)), (json.dumps(gone), datetime(2024, 1, 1))], "value string, ts timestamp")
     assert [tuple(r)[:3] for r in changes.event_values(df).collect()] == [("u", "e", False), ("u", None, True)]
+
+
+def test_upserts_follow_one_another(spark, tmp_path):
+    from caudal.sources import sinks
+
+    path = str(tmp_path / "t")
+    write = lambda *rows: sinks.write_upsert(spark.createDataFrame(rows, "k long, v string"), path, "k", identity="id")
+    assert write((1, "a"), (2, "b")) == 1
+    assert write((2, "c"), (3, "d")) == 2
+    (tmp_path / "t" / "v9").mkdir()  # a version that was never finished
+    assert sorted(map(tuple, sinks.read_current(spark, path).select("k", "v", "id").collect())) == [(1, "a", 1), (2, "c", 2), (3, "d", 3)]
+    assert write((4, "e")) == 3 and not (tmp_path / "t" / "v1").exists()
+    assert sinks.read_current(spark, path).count() == 4
+
+
+def test_scan_tells_encodings_and_headers(spark, tmp_path):
+    from caudal.sources import files
+
+    for name, encoding, text in (("a 2024.csv", "utf-8", "Región\nBogotá\n"), ("b 2024.csv", "latin-1", "Región\nCúcuta\n"), ("c 2024.csv", "cp1252", "Región\nCali “vieja”\n"), ("d 2024.csv", "utf-8", "Otra,Región\n1,Ñame\n"), ("e 2024.csv", "utf-8", "﻿Región\nQuibdó\n")):
+        (tmp_path / name).write_bytes(text.encode(encoding))
+    got = files.scan_folder(spark, str(tmp_path))
+    assert sorted(r.region for r in got.collect()) == ["Bogotá", "Cali “vieja”", "Cúcuta", "Quibdó", "Ñame"]
+
+
+def test_steps_are_logged():
+    from caudal.operators.relational import logged
+
+    said = []
+
+    class Frame:
+        columns = ["a", "b"]
+
+    logged("x", said.append)(lambda d: d)(Frame())
+    assert said[0].startswith("x: 2 columns")
