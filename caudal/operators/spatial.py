@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.coords import haversine_m
 from ..shared import cut, drop
 
-CELL = 0.02  # degrees
+CELL = 0.005  # degrees: some 500 m, so that a town is thousands of keys
 
 
 def crossings(ring: Column, x: Column, y: Column) -> Column:

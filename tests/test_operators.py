@@ -321,3 +321,61 @@ def test_steps_are_logged():
 
     logged("x", said.append)(lambda d: d)(Frame())
     assert said[0].startswith("x: 2 columns")
+
+
+def _workbook(sheets):
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    out, shared = io.BytesIO(), []
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", '<workbook xmlns="m" xmlns:r="r"><sheets>' + "".join(f'<sheet name="{n}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, 1)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", "<R>" + "".join(f'<Relationship Id="rId{i}" Target="worksheets/s{i}.xml"/>' for i in range(1, len(sheets) + 1)) + "</R>")
+        for i, rows_ in enumerate(sheets.values(), 1):
+            body = ""
+            for r, row in enumerate(rows_, 1):
+                body += f'<row r="{r}">'
+                for c, v in enumerate(row):
+                    if isinstance(v, str):
+                        shared.append(v)
+                        body += f'<c r="{chr(65 + c)}{r}" t="s"><v>{len(shared) - 1}</v></c>'
+                    elif v is not None:
+                        body += f'<c r="{chr(65 + c)}{r}"><v>{v}</v></c>'
+                body += "</row>"
+            z.writestr(f"xl/worksheets/s{i}.xml", f'<worksheet xmlns="m"><sheetData>{body}</sheetData></worksheet>')
+        z.writestr("xl/sharedStrings.xml", '<sst xmlns="m">' + "".join(f"<si><t>{escape(v)}</t></si>" for v in shared) + "</sst>")
+    return out.getvalue()
+
+
+def test_workbooks(spark, tmp_path):
+    from caudal.sources import archives
+
+    sheets = {"Notas": [["nada"], [1]], "DEFINITIVO": [["Informe & más"], [None, None], ["BPIN", "Nombre Proyecto", "Valor"], [2024, "Colegio ñ", 10.5], [None, None, None], [2025, None, 7]]}
+    for n in ("a", "b"):
+        (tmp_path / f"{n}.xlsx").write_bytes(_workbook(sheets))
+    got = archives.read_sheet(spark, str(tmp_path), "DEFINITIVO")
+    assert got.columns == ["_archivo_origen", "_fila", "bpin", "nombre_proyecto", "valor"]
+    assert rows(got, "_archivo_origen", "_fila") == [(f"{n}.xlsx", r, *v) for n in ("a", "b") for r, v in ((4, ("2024", "Colegio ñ", "10.5")), (6, ("2025", None, "7")))]
+    assert rows(archives.read_sheet(spark, str(tmp_path)), "_archivo_origen", "_fila") == rows(got, "_archivo_origen", "_fila")
+
+
+def test_kmz_and_shape_files(spark, tmp_path):
+    import io
+    import struct
+    import zipfile
+
+    from caudal.sources import archives
+
+    kml = '<kml xmlns="k"><Document><Placemark><name>A</name><Point><coordinates>-76.5,3.4,0</coordinates></Point></Placemark><Placemark><name>B</name><LineString><coordinates>0,0 1,1</coordinates></LineString></Placemark></Document></kml>'
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        z.writestr("doc.kml", kml)
+    (tmp_path / "a.kmz").write_bytes(packed.getvalue())
+    assert rows(archives.read_kmz(spark, str(tmp_path)).select("name", "kind", "coordinates"), "name") == [("A", "Point", [[-76.5, 3.4]]), ("B", "LineString", [[0.0, 0.0], [1.0, 1.0]])]
+    point = struct.pack("<i2d", 1, -76.5, 3.4)
+    ring = [(0, 0), (1, 0), (1, 1), (0, 0)]
+    polygon = struct.pack("<i4d2i", 5, 0, 0, 1, 1, 1, 4) + struct.pack("<i", 0) + b"".join(struct.pack("<2d", *p) for p in ring)
+    body = b"".join(struct.pack(">ii", i, len(x) // 2) + x for i, x in enumerate((point, polygon), 1))
+    (tmp_path / "s.shp").write_bytes(b"\0" * 100 + body)
+    assert rows(archives.read_shapes(spark, str(tmp_path)).select("name", "kind", "coordinates"), "name") == [("1", "Point", [[-76.5, 3.4]]), ("2", "Polygon", [[float(x), float(y)] for x, y in ring])]
