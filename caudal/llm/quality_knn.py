@@ -10,7 +10,8 @@ their similarity.
 Nulls and edge cases: a text that is null, or has no word, has no neighbours and
 gets score 0. Labels that are null, or of documents that are not in the table,
 teach nothing; of several labels of a document the greatest counts. Without
-labelled rows every score is 0. Repeated rows are scored each on its own. Extra
+labelled rows every score is 0. Of neighbours of equal cosine at the last place
+those of the smaller id vote. Repeated rows are scored each on its own. Extra
 columns are ignored.
 """
 
@@ -134,9 +135,11 @@ def score(docs: DataFrame, model: Model, *, voters: int = VOTERS, cut: float = C
             z = _scaled(np.stack([got[i] for i in has]), model.idf) @ model.basis
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
             c = z @ model.vectors
-            at = np.argpartition(-c, k - 1, axis=1)[:, :k]
-            w = np.maximum(np.take_along_axis(c, at, 1), 0.0) ** POWER
-            s[has] = np.clip((w * model.labels[at]).sum(1) / np.maximum(w.sum(1), 1e-300), 0, 1)
+            last = np.partition(c, len(model.labels) - k, axis=1)[:, len(model.labels) - k, None]  # the k-th greatest
+            ties = c == last
+            votes = (c > last) | (ties & (np.cumsum(ties, 1) <= k - (c > last).sum(1, keepdims=True)))
+            w = np.where(votes, np.maximum(c, 0.0), 0.0) ** POWER
+            s[has] = np.clip(w @ model.labels / np.maximum(w.sum(1), 1e-300), 0, 1)
             near[has] = c.max(1)
         return [pa.array(s), pa.array((s >= cut).astype(np.int32)), pa.array(near)]
 

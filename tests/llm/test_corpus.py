@@ -245,6 +245,15 @@ def test_neighbour_votes_match_brute_force(spark, docs):
     assert abs(got[33].score - want) < 1e-4
 
 
+def test_tied_neighbours_vote_in_order_of_their_ids(spark):
+    rng = random.Random(3)
+    same, other = words(rng, 60), words(rng, 60, "klmnop")
+    docs = spark.createDataFrame([(i, same) for i in range(8)] + [(i, other) for i in range(8, 12)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i < 3 or i >= 8)) for i in range(12)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality_knn.score(docs, quality_knn.train(docs, labels), voters=4).collect()}
+    assert all(abs(got[i] - 0.75) < 1e-6 for i in range(8)) and abs(got[9] - 1) < 1e-6
+
+
 # --- language model ------------------------------------------------------------
 
 
