@@ -69,13 +69,16 @@ def any_key(left: DataFrame, right: DataFrame, left_keys: list[Column], right_ke
 def keyword_overlap(left: DataFrame, right: DataFrame, left_id: str, left_text: str, right_id: str, right_text: str, least: int = 2, shortest: int = 5) -> DataFrame:
     """JN16: for each left row the right row that holds most of its words, from `least` on; ties go to the smallest right id.
 
-    Words have `shortest` letters at least. Whole words are compared (an equi-join on words, counted by pair), of all
-    words of the left text.
+    Words have `shortest` letters at least; whole words are compared. Of a left text's words that the right side has,
+    the least - 1 most frequent ones make no pairs: a pair that shares `least` words shares one of the others, too. So
+    the commonest words are joined only by texts that have hardly any other, and the words of a pair are counted on it.
     """
-    words = lambda c: F.explode(F.filter(F.array_distinct(F.split(F.lower(F.col(c)), r"\s+")), lambda w: F.length(w) >= shortest))
-    a = left.select(left_id, words(left_text).alias("_w"))
-    b = right.select(right_id, words(right_text).alias("_w"))
-    hits = a.join(b, "_w").groupBy(left_id, right_id).agg(F.count("*").alias("hits")).where(F.col("hits") >= least)
+    words = lambda c: F.filter(F.array_distinct(F.split(F.lower(F.col(c)), r"\s+")), lambda w: F.length(w) >= shortest)
+    b = right.select(right_id, words(right_text).alias("_theirs")).select(right_id, "_theirs", F.explode("_theirs").alias("_w"))
+    often = b.groupBy("_w").agg(F.count("*").alias("_n"))
+    a = left.select(left_id, F.explode(words(left_text)).alias("_w")).join(often, "_w").groupBy(left_id).agg(F.sort_array(F.collect_list(F.struct("_n", "_w")), asc=False)["_w"].alias("_own"))
+    a = a.where(F.size("_own") >= least).select(left_id, "_own", F.explode(F.slice("_own", least, F.size("_own"))).alias("_w"))
+    hits = a.join(b, "_w").select(left_id, right_id, F.size(F.array_intersect("_own", "_theirs")).cast("long").alias("hits")).where(F.col("hits") >= least)
     return hits.groupBy(left_id).agg(F.max_by(F.struct(right_id, "hits"), F.struct(F.col("hits"), -F.col(right_id))).alias("_b")).select(left_id, f"_b.{right_id}", "_b.hits")
 
 
