@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import M1, WordHashes, annotate, mix, slices
 
@@ -245,20 +246,22 @@ def blocks(benchmark: DataFrame, share: float, repeats: int, bits: int, block: i
 
 def find(docs: DataFrame, benchmark: DataFrame, *, max_share: float = MAX_SHARE, repeats: int = REPEATS, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """doc_id, item_id, distance (in words), item_words and start_word (about where, from 0) for each item that a row of docs (doc_id, text) leaks."""
-    out = None
+    out, doc_kind, item_kind = None, docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
+    item_type = to_arrow_type(item_kind)
     for items in blocks(benchmark, max_share, repeats, bits, block):
 
         def run(batches, items=items):
             hashes = WordHashes()
-            for b in batches:
-                rows = []
-                for part in slices(b, 1):
-                    for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                        for i, (d, p) in leaks(hashes.of(plain_words(text)), items).items():
-                            rows.append((doc, items.ids[i], d, len(items.words[i]), p))
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["doc_id", "item_id", "distance", "item_words", "start_word"])
-
-        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, item_id long, distance int, item_words int, start_word int")
+            for b in (part for batch in batches for part in slices(batch, 1)):
+                at, rows = [], []
+                for k, text in enumerate(b.column(1).to_pylist()):
+                    for i, (d, p) in leaks(hashes.of(plain_words(text)), items).items():
+                        at.append(k)
+                        rows.append((items.ids[i], d, len(items.words[i]), p))
+                columns = [pa.array([r[j] for r in rows], t) for j, t in enumerate((item_type, pa.int32(), pa.int32(), pa.int32()))]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *columns], names=["doc_id", "item_id", "distance", "item_words", "start_word"])
+
+        part = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {doc_kind.simpleString()}, item_id {item_kind.simpleString()}, distance int, item_words int, start_word int")
         out = part if out is None else out.union(part)
     return out
 

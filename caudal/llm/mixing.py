@@ -101,7 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, *, columns: tuple[str, ...] = ("qu
                 got = [features(ws, words) if (ws := lower_words(t)) else None for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *(pa.array([None if g is None else g[j].astype(k).tobytes() for g in got], pa.binary()) for j, k in ((0, np.uint16), (1, np.float32)))], names=["doc_id", "domain", "at", "v"])
 
-    got = sorted(seen.mapInArrow(sparse, "doc_id long, domain string, at binary, v binary").where("at is not null").collect())
+    got = sorted(seen.mapInArrow(sparse, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, domain string, at binary, v binary").where("at is not null").collect())
     domains = sorted({r.domain for r in got})
     if len(domains) < 2:
         return Model(domains or ["all"], words, np.zeros((len(words) + 10, max(1, len(domains))), np.float32), np.zeros(max(1, len(domains)), np.float32))

@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", per_lab
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([None if g is None else g.astype(np.float32).tobytes() for g in got], pa.binary())], names=["doc_id", "label", "x"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "_label")
-    got = rows.mapInArrow(features, "doc_id long, label int, x binary").where("x is not null").collect()
+    got = rows.mapInArrow(features, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, x binary").where("x is not null").collect()
     got.sort(key=lambda r: (r.doc_id, r.label, bytes(r.x)))
     if not got:
         return Model(np.ones(DIMS, np.float32), np.zeros((DIMS, 1), np.float32), np.zeros((1, 0), np.float32), np.zeros(0))

@@ -675,6 +675,17 @@ def test_licence_plan_runs_no_python(spark, notices):
 # --- empty tables ---------------------------------------------------------------------------------
 
 
+def test_text_ids(spark, docs):
+    """Ids may be texts, too, where no contract asks for integers."""
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    labels = spark.createDataFrame([(f"d{i}", int(i >= 60), 0) for i in range(120)], "doc_id string, quality int, toxic int")
+    bench = spark.createDataFrame([("q", docs.where("doc_id = 12").first().text)], "item_id string, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find(named, bench).collect()} == {("d12", "q")}
+    assert mixing.weigh(named, labels).where("doc_id = 'd3'").count() == 1
+    scores = {r.doc_id: r.predicted for r in quality_knn.score(named, quality_knn.train(named, labels)).collect()}
+    assert (scores["d3"], scores["d70"]) == (0, 1)
+
+
 def test_empty_tables(spark, none, notices, model):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([], "item_id long, text string")
