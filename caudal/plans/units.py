@@ -12,6 +12,7 @@ from ..operators import windows as W
 from ..operators.fuzzy import fuzzy_clusters, match_catalog
 from ..operators.quality import validate_units
 from ..operators.spatial import points_in_polygons, proximity_clusters, split_clusters, validation_label
+from ..shared import cut
 
 UNIT = ("nombre_up", "nombre_up_detalle", "direccion", "tipo_equipamiento", "clase_up", "comuna_corregimiento", "barrio_vereda", "nombre_centro_gestor")
 WORK = ("estado", "tipo_intervencion", "fuente_financiacion", "presupuesto_base", "avance_obra", "ano", "fecha_inicio", "fecha_fin", "referencia_contrato", "referencia_proceso", "frente_activo")
@@ -94,6 +95,9 @@ def located(df: DataFrame, districts: DataFrame, quarters: DataFrame, key: str =
 
 
 def run(raw: DataFrame, equipment: list[str], mode: str = "blocked") -> tuple[DataFrame, DataFrame]:
-    """QD12: raw records (with _row_id) to units and their quality issues."""
-    units = to_units(with_upids(grouped(clean(raw), mode=mode)))
+    """QD12: raw records (with _row_id) to units and their quality issues.
+
+    Cleaned records and their clusters are written, as grouping and numbering each read them several times.
+    """
+    units = to_units(with_upids(cut(grouped(cut(clean(raw), "clean"), mode=mode), "grouped")))
     return units, validate_units(units, equipment)

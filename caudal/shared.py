@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_cut: list[DataFrame] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or what SparkContext.setCheckpointDir got; a local master without either, as in tests, gets a folder of its own, a cluster an error."""
@@ -28,13 +31,25 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._caudal_path = path
+    _cut.append(out)
     return out
 
 
 def drop(df: DataFrame) -> None:
-    """Deletes what cut() wrote, once nothing reads it any more."""
+    """Deletes what cut() wrote, once nothing reads it any more; what is left goes at the end of the driver."""
     path = getattr(df, "_caudal_path", None)
+    _cut[:] = [x for x in _cut if x is not df]
     if path:
         spark = df.sparkSession
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _tidy() -> None:
+    for df in list(_cut):
+        try:
+            if df.sparkSession.sparkContext._jsc is not None:
+                drop(df)
+        except Exception:  # the session may be gone already; the folder is then the cluster's to clean
+            return
