@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 UNKNOWN = "unknown"
-#: What a line must have to be looked at: a word.
-ANCHORS = r"(?i)[a-z0-9]"
+#: What a line must have to be classified: a word, without which it has no n-gram.
+HAS_WORD = r"(?i)[a-z0-9]"
 TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 CONFIRM, MOST_FALSE, SLOTS = 0.6, 0.005, 1024
 
@@ -244,8 +244,8 @@ def scan(docs: DataFrame, model: Model | None = None, *, confirm: float = CONFIR
     weight = _weights(m)
     once = lambda df, *keep, **made: df.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in made.items())))))  # noqa: E731  a generator's row, so that no lambda computes it again
     empty = F.array().cast("array<string>")
-    rows = docs.select("doc_id", "text").where(F.col("text").rlike(ANCHORS)).withColumn("row", F.monotonically_increasing_id())
-    rows = once(rows, "row", "doc_id", lines=F.transform(F.split("text", "\n", -1), lambda x: F.when(x.rlike(ANCHORS), _words(x)).otherwise(empty)))
+    rows = docs.select("doc_id", "text").where(F.col("text").rlike(HAS_WORD)).withColumn("row", F.xxhash64("text"))
+    rows = once(rows, "row", "doc_id", lines=F.transform(F.split("text", "\n", -1), lambda x: F.when(x.rlike(HAS_WORD), _words(x)).otherwise(empty)))
     pairs = lambda w: F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
     # zip_with pads the shorter array with null, so the last "pair" is the last word alone: array_distinct drops it.
     own = lambda w: F.filter(F.array_distinct(F.concat(w, pairs(w))), lambda g: weight(g).isNotNull())
@@ -271,10 +271,12 @@ def scan(docs: DataFrame, model: Model | None = None, *, confirm: float = CONFIR
     words = F.flatten(F.slice("lines", F.col("first") + 1, F.col("size")))
     share = F.array_max(F.transform(known[F.col("family")], lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
     found = found.select("row", "doc_id", "first", "size", "family", "probability", share.alias("similarity"))
-    of = W.partitionBy("row", "family")
+    # Rows are told apart by id and text, so that a task that runs again after a lost executor names them alike. Repeated
+    # rows share their islands, and their best runs tie: no other run of an island starts where the best one does.
+    of = W.partitionBy("doc_id", "row", "family")
     before = F.max(F.col("first") + F.col("size")).over(of.orderBy("first", "size").rowsBetween(W.unboundedPreceding, -1))
     found = found.withColumn("opens", F.when(F.col("first") < before, 0).otherwise(1)).withColumn("island", F.sum("opens").over(of.orderBy("first", "size").rowsBetween(W.unboundedPreceding, 0)))
-    group = W.partitionBy("row", "family", "island")
-    found = found.withColumn("alone", F.min("size").over(group) == 1).withColumn("place", F.row_number().over(group.orderBy(F.desc("similarity"), F.desc("probability"), F.desc("first"))))
+    group = W.partitionBy("doc_id", "row", "family", "island")
+    found = found.withColumn("alone", F.min("size").over(group) == 1).withColumn("place", F.rank().over(group.orderBy(F.desc("similarity"), F.desc("probability"), F.desc("first"))))
     found = found.where(F.when(F.col("alone"), F.col("size") == 1).otherwise(F.col("place") == 1))
     return found.select("doc_id", F.col("first").alias("paragraph"), "family", "probability", "similarity").withColumn("confirmed", F.col("similarity") >= confirm)
