@@ -123,14 +123,18 @@ def letter_keys(text: str, least: float) -> list[str]:
     return [f"{ch}{-n}" for n, ch in sorted(marks)[: len(text) - must + 1]]
 
 
-def letter_pairs(texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b), a < b, of texts (k, t), of which none is left out whose ratio is least (over 0) or more."""
-
+def letter_keys_udf(least: float):
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def keys(t: pd.Series) -> pd.Series:
         return t.map(lambda x: letter_keys(x, least))
 
-    own = texts.select("k", F.length("t").alias("n"), F.explode(keys("t")).alias("w"))
+    return keys
+
+
+def letter_pairs(texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, of texts (k, t), of which none is left out whose ratio is least (over 0) or more."""
+
+    own = texts.select("k", F.length("t").alias("n"), F.explode(letter_keys_udf(least)("t")).alias("w"))
     both = own.select(F.col("k").alias("a"), F.col("n").alias("na"), "w").join(own.select(F.col("k").alias("b"), F.col("n").alias("nb"), "w"), "w").where("a < b")
     return both.where(F.least("na", "nb") * (200.0 - least) >= F.greatest("na", "nb") * least - 1e-6).select("a", "b").distinct()
 
@@ -207,12 +211,18 @@ def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str
 
 
 def match_cascade(left: DataFrame, right: DataFrame, key: str, other: str, address: str, name: str, area: list[str], cutoff: float = 0.85) -> DataFrame:
-    """JN17: (key, other, match_type): 0 equal address, 1 equal name, 2 names of a block ratio over cutoff within the area, 3 the only candidate of the area."""
+    """JN17: (key, other, match_type): 0 equal address, 1 equal name, 2 names of a block ratio over cutoff (0 or more) within the area, 3 the only candidate of the area.
+
+    Of an area only names that can be so alike by their letters are compared, each pair of different names once.
+    """
     from ..functions.text import address_key
     from .joins import first_of, only_candidate
 
     a = left.select(key, address_key(address).alias("_ad"), plain_upper(name).alias("_na"), *area)
     b = right.select(other, address_key(address).alias("_ad"), plain_upper(name).alias("_na"), *area)
     by = lambda c: a.where(f"{c} != ''").join(b.where(f"{c} != ''"), c).select(key, other)
-    near = a.join(b.withColumnRenamed("_na", "_nb").drop("_ad"), area).where(sequence_ratio_udf("_na", "_nb") > cutoff).select(key, other)
+    # Matching blocks are a common subsequence.
+    names = lambda df, c: df.where("_na != ''").select(*area, F.col("_na").alias(c)).distinct().withColumn("_w", F.explode(letter_keys_udf(100.0 * cutoff)(c)))
+    alike = names(a, "_na").join(names(b, "_nb"), [*area, "_w"]).select(*area, "_na", "_nb").distinct().where(sequence_ratio_udf("_na", "_nb") > cutoff)
+    near = a.join(alike, [*area, "_na"]).join(b.withColumnRenamed("_na", "_nb"), [*area, "_nb"]).select(key, other)
     return first_of([by("_ad"), by("_na"), near, only_candidate(a, b, key, other, area)], key, other)

@@ -379,3 +379,28 @@ def test_kmz_and_shape_files(spark, tmp_path):
     body = b"".join(struct.pack(">ii", i, len(x) // 2) + x for i, x in enumerate((point, polygon), 1))
     (tmp_path / "s.shp").write_bytes(b"\0" * 100 + body)
     assert rows(archives.read_shapes(spark, str(tmp_path)).select("name", "kind", "coordinates"), "name") == [("1", "Point", [[-76.5, 3.4]]), ("2", "Polygon", [[float(x), float(y)] for x, y in ring])]
+
+
+def test_match_cascade_matches_brute_force(spark):
+    rng = random.Random(3)
+    name = lambda: None if rng.random() < 0.05 else "".join(rng.choice("aábcde ") for _ in range(rng.randint(0, 9)))
+    side = lambda n: [(i, rng.choice([None, "", f"Calle {rng.randint(1, 40)}"]), name(), rng.randint(1, 4)) for i in range(n)]
+    left, right = side(60), [*side(60), (60, None, "solo", 9)]
+    left.append((60, None, "otro", 9))
+    a = spark.createDataFrame(left, "k long, address string, name string, area int")
+    b = spark.createDataFrame(right, "o long, address string, name string, area int")
+    upper = lambda x: " ".join((x or "").replace("á", "a").upper().split())
+    only = {z: [o for o, _, _, y in right if y == z] for z in range(10)}
+    for cutoff in (0.0, 0.5, 0.85):
+        want = []
+        for k, ad, na, z in left:
+            for o, bd, nb, y in right:
+                x = (upper(na), upper(nb))
+                kinds = [ad and ad == bd, x[0] and x[0] == x[1], z == y and any(x) and SequenceMatcher(None, *x).ratio() > cutoff, only[z] == [o]]
+                want += [(k, i, o) for i, yes in enumerate(kinds) if yes]
+        best = {}
+        for k, i, o in sorted(want):
+            best.setdefault(k, (o, i))
+        got = fuzzy.match_cascade(a, b, "k", "o", "address", "name", ["area"], cutoff)
+        assert rows(got, "k") == sorted((k, *v) for k, v in best.items())
+        assert best[60] == (60, 3 if cutoff else 2)
