@@ -57,6 +57,13 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder's path in the shared folder, for files that are not tables; it is deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/caudal-{tag}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def discard(df: DataFrame) -> None:
     """Deletes what materialise() wrote, once nothing reads it any more."""
     path = getattr(df, "_caudal_path", None)
