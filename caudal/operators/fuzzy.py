@@ -1,22 +1,23 @@
 """Text similarity, matching to catalogs, and fuzzy groups.
 
-Similarities have no JVM form, so they run as Arrow-batched pandas UDFs over
-candidate pairs, or over distinct values only.
+Similarities have no JVM form: alike.py joins by arrays, catalogs are matched over
+distinct values only.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import plain_lower, plain_upper
+from ..shared import cut
+from .alike import greedy, sequence_join, similarity_join
 from .spatial import connected
+from .windows import global_ids
 
 
 def common_subsequence(a: str, b: str) -> int:
@@ -59,17 +60,6 @@ def similarity(a: str | None, b: str | None) -> float:
     return 0.4 * ratio(a, b) + 0.6 * token_set(a, b) if a and b else 0.0
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    """0 to 1, by matching blocks."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() if x or y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
 def best_match(value: str, keys: list[str], cutoff: float) -> str | None:
     """The key of the greatest block ratio from cutoff on; ties go to the greatest key."""
     best = None
@@ -109,111 +99,52 @@ def _upper(text: str) -> str:
     return " ".join(text.translate(str.maketrans(MARKED, PLAIN)).upper().split())
 
 
-def letter_keys(text: str, least: float) -> list[str]:
-    """Keys of which two texts share one if their ratio can be least (> 0) or more.
-
-    Letters, numbered by occurrence, form a set, and the longest common subsequence is no longer than what two such sets share. A text of n letters must share at least n * least / (200 - least) of them, so of its letters in one order for all texts those before that many last ones hold a common one.
-    """
-    seen: dict[str, int] = {}
-    marks = []
-    for ch in text:
-        seen[ch] = seen.get(ch, 0) + 1
-        marks.append((-seen[ch], ch))
-    must = max(1, math.ceil(len(text) * least / (200.0 - least) - 1e-9))
-    return [f"{ch}{-n}" for n, ch in sorted(marks)[: len(text) - must + 1]]
-
-
-def letter_keys_udf(least: float):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def keys(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: letter_keys(x, least))
-
-    return keys
-
-
-def letter_pairs(texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b), a < b, of texts (k, t), of which none is left out whose ratio is least (over 0) or more."""
-
-    own = texts.select("k", F.length("t").alias("n"), F.explode(letter_keys_udf(least)("t")).alias("w"))
-    both = own.select(F.col("k").alias("a"), F.col("n").alias("na"), "w").join(own.select(F.col("k").alias("b"), F.col("n").alias("nb"), "w"), "w").where("a < b")
-    return both.where(F.least("na", "nb") * (200.0 - least) >= F.greatest("na", "nb") * least - 1e-6).select("a", "b").distinct()
-
-
-def _with_texts(pairs: DataFrame, t: DataFrame) -> DataFrame:
-    return pairs.join(t.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a").join(t.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
-
-
 def fuzzy_pairs(df: DataFrame, key: str, text: str, least: float, most: float = 100.1, shared: int = 0) -> DataFrame:
-    """JN15: pairs (a, b, similarity), a < b, with least <= similarity < most; with shared, only among texts that share so many words.
-
-    Texts without a common word have the ratio of their words in order as word-set part, so one of the two ratios reaches least if the similarity does: such pairs are looked for by letters, in both forms.
-    """
+    """JN15: pairs (a, b, similarity), a < b, with least <= similarity < most; with shared, only among texts that share so many words. Null and empty texts have no pairs."""
     t = df.select(F.col(key).alias("k"), plain_lower(text).alias("t")).where("t != ''")
-    words = t.select("k", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
-    pairs = words.select(F.col("k").alias("a"), "w").join(words.select(F.col("k").alias("b"), "w"), "w").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= shared).select("a", "b")
-    if shared < 1 and least <= 0:
-        pairs = t.select(F.col("k").alias("a")).crossJoin(t.select(F.col("k").alias("b"))).where("a < b")  # all pairs are asked for
-    elif shared < 1:
-        ordered = t.select("k", F.array_join(F.array_sort(F.array_distinct(F.split("t", " "))), " ").alias("t"))
-        pairs = pairs.union(letter_pairs(t, least)).union(letter_pairs(ordered, least)).distinct()
-    return _with_texts(pairs, t).select("a", "b", similarity_udf("ta", "tb").alias("similarity")).where((F.col("similarity") >= least) & (F.col("similarity") < most))
+    return similarity_join(t, least, shared).where(F.col("similarity") < most)
 
 
 def potential_duplicates(df: DataFrame, key: str, text: str, least: float = 0.8) -> DataFrame:
-    """JN22: pairs (a, b, similarity), a < b, of texts in lower case whose block ratio is over least (over 0) and under 1. Null and empty texts have no pairs."""
-    t = df.select(F.col(key).alias("k"), F.lower(text).alias("t")).where("t != ''")
-    # Matching blocks are a common subsequence.
-    return _with_texts(letter_pairs(t, 100.0 * least), t).select("a", "b", sequence_ratio_udf("ta", "tb").alias("similarity")).where((F.col("similarity") > least) & (F.col("similarity") < 1))
-
-
-def greedy_groups(rows: pd.DataFrame, threshold: float) -> list[int]:
-    """The order-dependent grouping of GE15 over rows (name, address) in order: each row not yet grouped opens a group and takes in all later ones similar to itself."""
-    names, places = rows["name"].tolist(), rows["address"].tolist()
-    group = [-1] * len(names)
-    n = 0
-    for i in range(len(names)):
-        if group[i] >= 0:
-            continue
-        group[i] = n
-        for j in range(i + 1, len(names)):
-            if group[j] < 0:
-                s = similarity(names[i], names[j])
-                if s >= threshold or (s >= 0.7 * threshold and similarity(places[i], places[j]) >= 0.7 * threshold):
-                    group[j] = n
-        n += 1
-    return group
-
-
-def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str, threshold: float = 85.0, mode: str = "blocked") -> DataFrame:
+    """JN22: pairs (a, b, similarity), a < b, of texts in lower case whose block ratio is over least and under 1. Null and empty texts have no pairs."""
+    return sequence_join(df.select(F.col(key).alias("k"), F.lower(text).alias("t")).where("t != ''"), least).where(F.col("similarity") < 1)
+
+
+def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str, threshold: float = 85.0, mode: str = "exact") -> DataFrame:
     """GE15: df with cluster_fuzzy.
 
-    mode 'exact': the order-dependent greedy grouping, in one task by its nature (a row's group depends on all rows before); for thousands of rows. mode 'blocked': connected components of similar pairs, by distinct name and address; scales, and differs from 'exact' where similarity is not transitive. A null name or detail counts as the word 'nan', as in the sources.
+    mode 'exact': the order-dependent greedy grouping by key, its groups numbered from 0 in order of their first rows. mode 'connected': connected components of similar rows, named by their smallest key; differs where similarity is not transitive. Rows are similar if their names are by threshold, or names and addresses by 0.7 of it. A null name or detail counts as the word 'nan', as in the sources; a row without a name is alone.
     """
     text = lambda c: F.coalesce(F.col(c), F.lit("nan"))
-    rows = df.select(F.col(key).alias("k"), plain_lower(F.concat_ws(" ", text(name), text(detail))).alias("name"), plain_lower(address).alias("address"))
+    rows = df.select(F.col(key).alias("k"), plain_lower(F.concat_ws(" ", text(name), text(detail))).alias("name"), F.coalesce(plain_lower(address), F.lit("")).alias("address"))
+    # Rows of one name and address are linked alike: the first stands for all of them.
+    same = cut(rows.where("name != ''").groupBy("name", "address").agg(F.min("k").alias("k")), "same")
+    names, places = (same.groupBy(F.col(c).alias("t")).agg(F.min("k").alias("k")) for c in ("name", "address"))
+    near = cut(similarity_join(names, 0.7 * threshold), "near-names")
+    strong = near.where(F.col("similarity") >= threshold).select("a", "b")
+    at = similarity_join(places.where("t != ''"), 0.7 * threshold).select("a", "b")
+    at = cut(at.union(at.select("b", "a")).union(places.where("t != ''").select("k", "k")), "near-places")
+    nodes = same.join(names.select(F.col("t").alias("name"), F.col("k").alias("u")), "name").join(places.select(F.col("t").alias("address"), F.col("k").alias("p")), "address").select("k", "u", "p")
+    nodes = cut(nodes, "nodes")
+    node = lambda k, u, p: nodes.select(F.col("k").alias(k), F.col("u").alias(u), F.col("p").alias(p))
+    weak = near.where(F.col("similarity") < threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    weak = weak.join(node("x", "u", "p"), "u").join(at.select(F.col("a").alias("p"), F.col("b").alias("q")), "p").join(node("y", "v", "q"), ["v", "q"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
     if mode == "exact":
-
-        def run(g: pd.DataFrame) -> pd.DataFrame:
-            g = g.sort_values("k")
-            return pd.DataFrame({"k": g["k"], "cluster_fuzzy": greedy_groups(g, threshold)})
-
-        found = rows.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(run, "k long, cluster_fuzzy long")
+        found = greedy(nodes, strong, weak).select(F.col("k").alias("n"), F.col("opener").alias("c"))
     else:
-        same = rows.where("name != ''").groupBy("name", "address").agg(F.min("k").alias("k"))
-        close = fuzzy_pairs(same, "k", "name", 0.7 * threshold)
-        place = same.select("k", F.col("address").alias("p"))
-        close = close.join(place.withColumnsRenamed({"k": "a", "p": "pa"}), "a").join(place.withColumnsRenamed({"k": "b", "p": "pb"}), "b")
-        links = close.where((F.col("similarity") >= threshold) | (similarity_udf("pa", "pb") >= 0.7 * threshold)).select("a", "b")
-        comp = connected(links)
-        named = same.join(comp, F.col("k") == F.col("node"), "left").select(F.col("name").alias("_n"), F.col("address").alias("_p"), F.coalesce("comp", "k").alias("c"))
-        found = rows.join(named, F.col("name").eqNullSafe(F.col("_n")) & F.col("address").eqNullSafe(F.col("_p")), "left").select("k", F.coalesce("c", "k").alias("cluster_fuzzy"))
-    return df.join(found.withColumnRenamed("k", key), key, "left")
+        found = connected(nodes.select(F.col("k").alias("a"), F.col("u").alias("b")).union(strong).union(weak)).select(F.col("node").alias("n"), F.col("comp").alias("c"))
+    named = same.join(found, F.col("k") == F.col("n")).select("name", "address", "c")
+    out = rows.join(named, ["name", "address"], "left").select("k", F.coalesce("c", "k").alias("c"))
+    if mode == "exact":
+        out = cut(out, "groups")
+        out = out.join(global_ids(out.select("c").distinct(), ["c"], "cluster_fuzzy", -1), "c").select("k", "cluster_fuzzy")
+    return df.join(out.select(F.col("k").alias(key), F.col("cluster_fuzzy" if mode == "exact" else "c").alias("cluster_fuzzy")), key, "left")
 
 
 def match_cascade(left: DataFrame, right: DataFrame, key: str, other: str, address: str, name: str, area: list[str], cutoff: float = 0.85) -> DataFrame:
     """JN17: (key, other, match_type): 0 equal address, 1 equal name, 2 names of a block ratio over cutoff (0 or more) within the area, 3 the only candidate of the area.
 
-    Of an area only names that can be so alike by their letters are compared, each pair of different names once.
+    Different names are compared once, whatever their areas.
     """
     from ..functions.text import address_key
     from .joins import first_of, only_candidate
@@ -221,8 +152,7 @@ def match_cascade(left: DataFrame, right: DataFrame, key: str, other: str, addre
     a = left.select(key, address_key(address).alias("_ad"), plain_upper(name).alias("_na"), *area)
     b = right.select(other, address_key(address).alias("_ad"), plain_upper(name).alias("_na"), *area)
     by = lambda c: a.where(f"{c} != ''").join(b.where(f"{c} != ''"), c).select(key, other)
-    # Matching blocks are a common subsequence.
-    names = lambda df, c: df.where("_na != ''").select(*area, F.col("_na").alias(c)).distinct().withColumn("_w", F.explode(letter_keys_udf(100.0 * cutoff)(c)))
-    alike = names(a, "_na").join(names(b, "_nb"), [*area, "_w"]).select(*area, "_na", "_nb").distinct().where(sequence_ratio_udf("_na", "_nb") > cutoff)
-    near = a.join(alike, [*area, "_na"]).join(b.withColumnRenamed("_na", "_nb"), [*area, "_nb"]).select(key, other)
+    names = a.select("_na").union(b.select("_na")).where("_na != ''").distinct().select(F.col("_na").alias("k"), F.col("_na").alias("t"))
+    alike = sequence_join(names, cutoff, both_ways=True).select(F.col("a").alias("_na"), F.col("b").alias("_nb"))
+    near = a.join(alike, "_na").join(b.withColumnRenamed("_na", "_nb"), [*area, "_nb"]).select(key, other)
     return first_of([by("_ad"), by("_na"), near, only_candidate(a, b, key, other, area)], key, other)

@@ -52,7 +52,7 @@ def standard_categories(df: DataFrame, catalogs: dict[str, list[str]]) -> DataFr
     return df
 
 
-def grouped(df: DataFrame, key: str = "_row_id", metres: float = 40.0, threshold: float = 85.0, mode: str = "blocked") -> DataFrame:
+def grouped(df: DataFrame, key: str = "_row_id", metres: float = 40.0, threshold: float = 85.0, mode: str = "exact") -> DataFrame:
     """GE16 and GE17: each record with its cluster: near records of equal names, then similar texts, and records that stand alone."""
     groupable = R.not_in("clase_up", *ALONE_CLASSES) & R.not_in("nombre_centro_gestor", *ALONE_CENTRES)
     yes, no = R.divide(df, groupable)
@@ -94,7 +94,7 @@ def located(df: DataFrame, districts: DataFrame, quarters: DataFrame, key: str =
     return out.withColumn("validacion", validation_label(F.col("in_district"), F.col("comuna_corregimiento"), F.col("in_quarter"), F.col("barrio_vereda")))
 
 
-def run(raw: DataFrame, equipment: list[str], mode: str = "blocked") -> tuple[DataFrame, DataFrame]:
+def run(raw: DataFrame, equipment: list[str], mode: str = "exact") -> tuple[DataFrame, DataFrame]:
     """QD12: raw records (with _row_id) to units and their quality issues.
 
     Cleaned records and their clusters are written, as grouping and numbering each read them several times.

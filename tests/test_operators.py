@@ -144,7 +144,7 @@ def test_similarity():
 def test_fuzzy_clusters(spark):
     data = [(1, "Parque del Perro", "sede a", "CR 1"), (2, "Parque del Pero", "sede a", "CR 1"), (3, "Escuela Norte", "x", "CL 9"), (4, "Escuela Norte", "x", "CL 9")]
     df = spark.createDataFrame(data, "k long, n string, d string, p string")
-    for mode in ("exact", "blocked"):
+    for mode in ("exact", "connected"):
         c = {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(df, "k", "n", "d", "p", mode=mode).collect()}
         assert c[1] == c[2] and c[3] == c[4] and c[1] != c[3]
     m = fuzzy.match_catalog(spark.createDataFrame([("construcion",), ("Salud",), ("zzz",), (None,)], "v string"), "v", ["Construcción", "SALUD"], "std")
@@ -168,8 +168,8 @@ def test_fuzzy_pairs_without_a_common_word(spark):
 def test_fuzzy_clusters_without_a_common_word(spark):
     data = [(1, "colegio", "sur", "CR 1"), (2, "colegios", "surs", "CR 1"), (3, "museo", "x", None), (4, "museo", "x", None), (5, "", "", "y"), (6, "", "", "y")]
     df = spark.createDataFrame(data, "k long, n string, d string, p string")
-    c = {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(df, "k", "n", "d", "p").collect()}
-    assert c == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6}
+    c = {mode: {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(df, "k", "n", "d", "p", mode=mode).collect()} for mode in ("exact", "connected")}
+    assert c == {"exact": {1: 0, 2: 0, 3: 1, 4: 1, 5: 2, 6: 3}, "connected": {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6}}
 
 
 def raw_units(spark):
