@@ -115,13 +115,98 @@ def connected(links: DataFrame) -> DataFrame:
             return label.select(F.col("a").alias("node"), "comp")
 
 
+#: A cell is split into SPLIT by SPLIT boxes a level; after DEEP levels a box is a place.
+SPLIT, DEEP = 8, 5
+
+
+def _box_metres(near: bool) -> Column:
+    """The least (near) or greatest distance of two boxes of columns a_ and b_; of two places their distance."""
+    c = F.col
+    gap = lambda lo, hi: F.greatest(F.lit(0.0), c(f"b_{lo}") - c(f"a_{hi}"), c(f"a_{lo}") - c(f"b_{hi}"))
+    reach = lambda lo, hi: F.greatest(c(f"b_{hi}") - c(f"a_{lo}"), c(f"a_{hi}") - c(f"b_{lo}"))
+    dy, dx = (gap if near else reach)("y1", "y2"), (gap if near else reach)("x1", "x2")
+    # The nearer the pole, the shorter a degree of longitude.
+    far = lambda s: F.greatest(F.abs(c(f"{s}_y1")), F.abs(c(f"{s}_y2")))
+    low = lambda s: F.when((c(f"{s}_y1") <= 0) & (c(f"{s}_y2") >= 0), 0.0).otherwise(F.least(F.abs(c(f"{s}_y1")), F.abs(c(f"{s}_y2"))))
+    at = far if near else low
+    half = lambda d: F.pow(F.sin(F.radians(d) / 2), F.lit(2))
+    return 2 * 6371000.0 * F.asin(F.sqrt(F.least(F.lit(1.0), half(dy) + F.cos(F.radians(at("a"))) * F.cos(F.radians(at("b"))) * half(dx))))
+
+
+def _cells_within(points: DataFrame, metres: float) -> DataFrame:
+    """points (k, y, x) with their cell (band, col), whose points are all within so many metres of each other, and their box of the finest level (v, u) in it."""
+    side = metres / math.sqrt(2) * (1 - 1e-9) / 6371000.0 * 180 / math.pi
+    fine = SPLIT**DEEP
+    p = points.withColumn("band", F.floor(F.col("y") / side).cast("long"))
+    p = p.withColumn("wide", side / _narrowest(F.col("band"), side))
+    p = p.withColumn("col", F.floor(F.col("x") / F.col("wide")).cast("long"))
+    part = lambda v, first, size: F.least(F.lit(fine - 1), F.greatest(F.lit(0), F.floor((v - first * size) / size * fine).cast("int")))
+    return p.select("k", "y", "x", "band", "col", part(F.col("y"), F.col("band"), F.lit(side)).alias("v"), part(F.col("x"), F.col("col"), F.col("wide")).alias("u"))
+
+
+def _narrowest(band: Column, side: float) -> Column:
+    """The cosine of a band's latitude nearest the equator."""
+    return F.cos(F.radians(F.least(F.lit(89.9), F.least(F.abs(band), F.abs(band + 1)) * side)))
+
+
+def _boxes(p: DataFrame, level: int, side: str) -> DataFrame:
+    """The boxes of a level with their extents, under names of one side, and their parents."""
+    shift = lambda c, n: F.shiftright(c, 3 * (DEEP - n)) if n <= DEEP else F.col(c)
+    ids = ["band", "col", shift("v", level - 1).alias("pv"), shift("u", level - 1).alias("pu"), shift("v", level).alias("cv"), shift("u", level).alias("cu")]
+    if level > DEEP:  # places
+        ids += [F.col("y").alias("cy"), F.col("x").alias("cx")]
+    out = p.groupBy(*ids).agg(F.min("y").alias("y1"), F.max("y").alias("y2"), F.min("x").alias("x1"), F.max("x").alias("x2"))
+    return out.select(*(F.col(c).alias(f"{side}_{c}") for c in ("band", "col", "pv", "pu", "cv", "cu", "y1", "y2", "x1", "x2")))
+
+
+def _cell_links(p: DataFrame, cells: DataFrame, metres: float) -> DataFrame:
+    """(a, b): cells, by their first keys, of which a point of one is within so many metres of a point of the other.
+
+    Boxes around the cells' points decide most pairs: near enough as a whole, or
+    too far. The others are looked at box by box, a level deeper each round, until
+    boxes are places. No pair of points is made but at the last level, for boxes
+    of which only their very places can decide.
+    """
+    side = metres / math.sqrt(2) * (1 - 1e-9) / 6371000.0 * 180 / math.pi
+    reach = metres / 6371000.0 * 180 / math.pi
+    names = ("band", "col", "n", "y1", "y2", "x1", "x2")
+    a, b = (cells.select(*(F.col(c).alias(f"{s}_{c}") for c in names)) for s in "ab")
+    a = a.withColumn("to", F.explode(F.sequence(F.col("a_band"), F.col("a_band") + 2)))
+    wide = side / _narrowest(F.col("to"), side)
+    more = reach / F.cos(F.radians(F.least(F.lit(89.9), F.greatest(F.abs(F.col("a_band")), F.abs(F.col("to") + 1)) * side + side))) * 1.0001
+    a = a.withColumn("at", F.explode(F.sequence(F.floor((F.col("a_x1") - more) / wide).cast("long"), F.floor((F.col("a_x2") + more) / wide).cast("long"))))
+    pairs = a.join(b, (F.col("to") == F.col("b_band")) & (F.col("at") == F.col("b_col"))).where((F.col("a_band") < F.col("b_band")) | (F.col("a_col") < F.col("b_col")))
+    keep = ["a_n", "b_n", "near", *(f"{s}_{c}" for s in "ab" for c in ("band", "col", "cv", "cu"))]
+    judged = lambda df: df.where(_box_metres(True) <= metres).withColumn("near", _box_metres(False) <= metres).select(*keep)
+    open_ = cut(judged(pairs.withColumns({f"{s}_{c}": F.lit(0) for s in "ab" for c in ("cv", "cu")})), "cells")
+    links = None
+    for level in range(1, DEEP + 2):
+        near = open_.where("near").select("a_n", "b_n").distinct()
+        links = near if links is None else links.union(near)
+        rest = open_.join(near, ["a_n", "b_n"], "left_anti")
+        if not rest.limit(1).count():
+            return links.select(F.col("a_n").alias("a"), F.col("b_n").alias("b"))
+        for s in "ab":
+            parent = [f"{s}_band", f"{s}_col", f"{s}_pv", f"{s}_pu"]
+            rest = rest.withColumnsRenamed({f"{s}_cv": f"{s}_pv", f"{s}_cu": f"{s}_pu"}).join(_boxes(p, level, s), parent)
+        open_ = cut(judged(rest), "cells")
+    return links.union(open_.where("near").select("a_n", "b_n").distinct()).select(F.col("a_n").alias("a"), F.col("b_n").alias("b"))
+
+
 def proximity_clusters(points: DataFrame, key: str, lat: str, lon: str, metres: float = 40.0) -> DataFrame:
-    """GE12: points with cluster_geo: the smallest key of all points that a chain of steps of so many metres leads to; null without coordinates. Points of equal place are one node of the graph."""
-    placed = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    nodes = placed.groupBy(F.col(lat).alias("_y"), F.col(lon).alias("_x")).agg(F.min(key).alias("_n"))
-    comp = connected(near_pairs(nodes, "_n", "_y", "_x", metres))
-    named = nodes.join(comp, F.col("_n") == F.col("node"), "left").select("_y", "_x", F.coalesce("comp", "_n").alias("cluster_geo"))
-    return points.join(named, (F.col(lat) == F.col("_y")) & (F.col(lon) == F.col("_x")), "left").drop("_y", "_x")
+    """GE12: points with cluster_geo: the smallest key of all points that a chain of steps of so many metres leads to; null without coordinates.
+
+    Points of one cell, whose diagonal is that distance, are one node of the graph,
+    however many they are; neighbouring cells are linked by _cell_links. Points on
+    either side of the date line are not linked.
+    """
+    placed = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(key).alias("k"), F.col(lat).cast("double").alias("y"), F.col(lon).cast("double").alias("x"))
+    p = cut(_cells_within(placed, metres), "points")
+    cells = cut(p.groupBy("band", "col").agg(F.min("k").alias("n"), *(f(c).alias(f"{c}{i}") for c in "yx" for i, f in ((1, F.min), (2, F.max)))), "cell-boxes")
+    comp = connected(_cell_links(p, cells, metres))
+    of_cell = cells.join(comp, F.col("n") == F.col("node"), "left").select("band", "col", F.coalesce("comp", "n").alias("cluster_geo"))
+    named = p.join(of_cell, ["band", "col"]).select(F.col("k").alias(key), "cluster_geo")
+    return points.join(named.distinct(), key, "left")
 
 
 def split_clusters(clustered: DataFrame, key: str, *names: str) -> DataFrame:
