@@ -1,14 +1,18 @@
 """Points, lines and polygons: joins by grid cell, proximity clusters, validation.
 
 Polygons are rows with `rings`: array of rings, each an array of [lon, lat] whose
-last point is the first; holes are further rings. Joins go by equality of grid
-cells, then by the exact test; nothing is compared with everything.
+last point is the first; holes are further rings. Joins go by equality of
+quadtree cells, of which each holds only the edges that touch it, then by the
+exact test; nothing is compared with everything.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,66 +20,153 @@ from pyspark.sql import functions as F
 from ..functions.coords import haversine_m
 from ..shared import cut, drop
 
-CELL = 0.005  # degrees: some 500 m, so that a town is thousands of keys
+#: Quadtree of polygon covers: the widest cell in degrees and the number of levels. The grid starts off any round number, so that no vertex lies on its lines.
+ROOT, LEVELS, ORIGIN = 0.64, 8, -0.0037281946352817
+#: Edges of a cell from which on it is split.
+EDGES = 8
 
 
-def crossings(ring: Column, x: Column, y: Column) -> Column:
-    """How many edges of the ring a ray from (x, y) to the east crosses."""
-
-    def edge(i: Column) -> Column:
-        a, b = ring[i], ring[i + 1]
-        spans = (a[1] > y) != (b[1] > y)
-        return F.when(spans & (x < (b[0] - a[0]) * (y - a[1]) / F.nullif(b[1] - a[1], F.lit(0.0)) + a[0]), 1).otherwise(0)
-
-    n = F.size(ring)
-    return F.when(n >= 2, F.aggregate(F.sequence(F.lit(0), n - 2), F.lit(0), lambda acc, i: acc + edge(i))).otherwise(0)
-
-
-def contains(rings: Column, x: Column, y: Column) -> Column:
-    """Whether (x, y) is in the polygon; holes count by parity."""
-    return F.coalesce(F.aggregate(rings, F.lit(0), lambda acc, r: acc + crossings(r, x, y)) % 2 == 1, F.lit(False))
-
-
-def _segments_cross(p, q, a, b) -> Column:
-    side = lambda u, v, w: (v[0] - u[0]) * (w[1] - u[1]) - (v[1] - u[1]) * (w[0] - u[0])
-    return (side(p, q, a) * side(p, q, b) <= 0) & (side(a, b, p) * side(a, b, q) <= 0)
-
-
-def crosses(rings: Column, line: Column) -> Column:
-    """Whether the line (array of [lon, lat]) meets the polygon: a vertex inside, or a segment that crosses an edge. Segments on one line with an edge count if their boxes meet."""
-    inside = F.exists(line, lambda p: contains(rings, p[0], p[1]))
-    pairs = lambda a: F.when(F.size(a) >= 2, F.sequence(F.lit(0), F.size(a) - 2)).otherwise(F.array().cast("array<int>"))
-    hit = F.exists(rings, lambda r: F.exists(pairs(r), lambda i: F.exists(pairs(line), lambda j: _segments_cross(line[j], line[j + 1], r[i], r[i + 1]))))
-    return F.coalesce(inside | hit, F.lit(False))
-
-
-def _range(values: Column) -> tuple[Column, Column]:
-    return F.array_min(values), F.array_max(values)
+class Cover:
+    """Quadtree cover of one polygon: cells wholly inside, and cells with the edges that touch them.
 
+    Of a cell without edges all points are in or all are out. Elsewhere a point is
+    led within its cell to the corner in the south-east, whose side is known:
+    east to the cell's side, then south along it. Each edge crossed on the way changes the side, and
+    all of these touch the cell.
+    """
 
-def _cells(points: Column) -> Column:
-    """Cells of the box around an array of [lon, lat]."""
-    (a, b), (c, d) = _range(F.transform(points, lambda p: p[0])), _range(F.transform(points, lambda p: p[1]))
-    cell = lambda v: F.floor(v / CELL).cast("long")
-    xs, ys = F.sequence(cell(a), cell(b)), F.sequence(cell(c), cell(d))
-    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+    def __init__(self, rings: list) -> None:
+        ends = [(*a[:2], *b[:2]) for r in rings if r is not None for a, b in zip(r[:-1], r[1:], strict=True)]
+        self.e = np.array(ends, float).reshape(-1, 4)
+        self.cells: list[tuple] = []
+        if not len(self.e):
+            return
+        x, y = self.e[:, [0, 2]], self.e[:, [1, 3]]
+        at = lambda v: int(np.floor((v - ORIGIN) / ROOT))
+        for cx in range(at(x.min()), at(x.max()) + 1):
+            for cy in range(at(y.min()), at(y.max()) + 1):
+                x0, y0 = ORIGIN + cx * ROOT, ORIGIN + cy * ROOT
+                odd = self._east(np.arange(len(self.e)), x0 + ROOT, y0, math.inf) % 2
+                self._split(0, cx, cy, np.arange(len(self.e)), odd)
+
+    def _east(self, k: np.ndarray, x: float, y: float, to: float) -> int:
+        """Edges k that a ray from (x, y) east to `to` crosses."""
+        x1, y1, x2, y2 = self.e[k].T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            at = (x2 - x1) * (y - y1) / (y2 - y1) + x1
+            return int((((y1 > y) != (y2 > y)) & (x < at) & (at <= to)).sum())
+
+    def _south(self, k: np.ndarray, x: float, y: float, to: float) -> int:
+        """Edges k that a line from (x, y) south to `to` crosses."""
+        x1, y1, x2, y2 = self.e[k].T
+        with np.errstate(divide="ignore", invalid="ignore"):
+            at = (y2 - y1) * (x - x1) / (x2 - x1) + y1
+            return int((((x1 > x) != (x2 > x)) & (at <= y) & (to < at)).sum())
+
+    def _touching(self, k: np.ndarray, x0: float, y0: float, size: float) -> np.ndarray:
+        x1, y1, x2, y2 = self.e[k].T
+        pad = size * 1e-9
+        box = (np.minimum(x1, x2) <= x0 + size + pad) & (np.maximum(x1, x2) >= x0 - pad) & (np.minimum(y1, y2) <= y0 + size + pad) & (np.maximum(y1, y2) >= y0 - pad)
+        # Corners all on one side of the line leave the box alone.
+        corners = [(x2 - x1) * (v - y1) - (y2 - y1) * (u - x1) for u in (x0 - pad, x0 + size + pad) for v in (y0 - pad, y0 + size + pad)]
+        return k[box & (np.min(corners, 0) <= 0) & (np.max(corners, 0) >= 0)]
+
+    def _split(self, level: int, cx: int, cy: int, k: np.ndarray, odd: int) -> None:
+        size = ROOT / 2**level
+        x0, y0 = ORIGIN + cx * size, ORIGIN + cy * size
+        k = self._touching(k, x0, y0, size)
+        if not len(k):
+            if odd:
+                self.cells.append((level, cx, cy, True, x0 + size, y0, []))
+        elif len(k) <= EDGES or level == LEVELS - 1:
+            self.cells.append((level, cx, cy, bool(odd), x0 + size, y0, self.e[k].tolist()))
+        else:
+            for dx in (0, 1):
+                for dy in (0, 1):
+                    x, y = x0 + (dx + 1) * size / 2, y0 + dy * size / 2
+                    self._split(level + 1, 2 * cx + dx, 2 * cy + dy, k, (odd + self._east(k, x, y, x0 + size) + self._south(k, x0 + size, y, y0)) % 2)
+
+
+def cover(polygons: DataFrame, name: str = "name") -> tuple[DataFrame, list[int]]:
+    """The cells of polygons (name, rings), and the levels that occur: _name, level, cx, cy, side (of its corner), east, south, edges."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(n, *c) for n, rings in zip(b["_name"], b["rings"], strict=True) if rings is not None for c in Cover(rings).cells]
+            yield pd.DataFrame(rows, columns=["_name", "level", "cx", "cy", "side", "east", "south", "edges"])
+
+    kind = polygons.schema[name].dataType.simpleString()
+    found = polygons.select(F.col(name).alias("_name"), "rings").mapInPandas(run, f"_name {kind}, level int, cx long, cy long, side boolean, east double, south double, edges array<array<double>>")
+    found = cut(found, "cover")
+    return found, sorted(r[0] for r in found.select("level").distinct().collect())
+
+
+def _size(level: Column) -> Column:
+    return ROOT / F.pow(F.lit(2.0), level)
+
+
+def _cell(v: Column, level: Column) -> Column:
+    return F.floor((v - ORIGIN) / _size(level)).cast("long")
+
+
+def _in_cell(x: Column, y: Column) -> Column:
+    """Whether a point of a cell of cover() is in its polygon."""
+
+    def crossed(e: Column) -> Column:
+        x1, y1, x2, y2 = (e[i] for i in range(4))
+        east, south = F.col("east"), F.col("south")
+        at = (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
+        down = (y2 - y1) * (east - x1) / F.nullif(x2 - x1, F.lit(0.0)) + y1
+        one = lambda c: F.when(c, 1).otherwise(0)
+        return one(((y1 > y) != (y2 > y)) & (x < at) & (at <= east)) + one(((x1 > east) != (x2 > east)) & (down <= y) & (south < down))
+
+    return F.aggregate("edges", F.when(F.col("side"), 1).otherwise(0), lambda n, e: n + crossed(e)) % 2 == 1
+
+
+def _hits(points: DataFrame, cells: DataFrame, levels: list[int]) -> DataFrame:
+    """points with the _name of each polygon that they (_x, _y) are in."""
+    level = F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>"))
+    p = points.withColumn("level", level)
+    p = p.withColumns({"cx": _cell(F.col("_x"), F.col("level")), "cy": _cell(F.col("_y"), F.col("level"))})
+    return p.join(cells, ["level", "cx", "cy"]).where(_in_cell(F.col("_x"), F.col("_y")))
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, lon: str, lat: str, key: str, name: str = "name", first_only: bool = True) -> DataFrame:
     """JN10, JN13 and GE20: each point with the name of the polygon that it is within, null if none; of several the first by name."""
     p = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(key, F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y"))
-    p = p.withColumns({"cx": F.floor(F.col("_x") / CELL).cast("long"), "cy": F.floor(F.col("_y") / CELL).cast("long")})
-    q = polygons.select(F.col(name).alias("_name"), "rings", F.explode(_cells(F.flatten("rings"))).alias("_c")).select("_name", "rings", "_c.cx", "_c.cy")
-    hits = p.join(q, ["cx", "cy"]).where(contains(F.col("rings"), F.col("_x"), F.col("_y")))
+    hits = _hits(p, *cover(polygons, name))
     hits = hits.groupBy(key).agg(F.min("_name").alias(f"in_{name}")) if first_only else hits.select(key, F.col("_name").alias(f"in_{name}")).distinct()
     return points.join(hits, key, "left")
 
 
+def _segments_cross(p, q, a, b) -> Column:
+    side = lambda u, v, w: (v[0] - u[0]) * (w[1] - u[1]) - (v[1] - u[1]) * (w[0] - u[0])
+    return (side(p, q, a) * side(p, q, b) <= 0) & (side(a, b, p) * side(a, b, q) <= 0)
+
+
 def lines_in_polygons(lines: DataFrame, polygons: DataFrame, line: str, key: str, name: str = "name", first_only: bool = False) -> DataFrame:
-    """JN11, and JN12 with first_only: pairs (key, polygon) of lines, or of points as lines of one vertex, that meet a polygon."""
-    a = lines.where(F.size(line) > 0).select(key, F.col(line).alias("_l"), F.explode(_cells(F.col(line))).alias("_c")).select(key, "_l", "_c.cx", "_c.cy")
-    q = polygons.select(F.col(name).alias("_name"), "rings", F.explode(_cells(F.flatten("rings"))).alias("_c")).select("_name", "rings", "_c.cx", "_c.cy")
-    hits = a.join(q, ["cx", "cy"]).where(crosses(F.col("rings"), F.col("_l")))
+    """JN11, and JN12 with first_only: pairs (key, polygon) of lines, or of points as lines of one vertex, that meet a polygon: a vertex inside, or a segment that crosses an edge. Segments on one line with an edge count if their boxes meet."""
+    cells, levels = cover(polygons, name)
+    own = lines.where(F.size(line) > 0).select(key, F.col(line).alias("_l"))
+    vertices = own.select(key, F.explode("_l").alias("_p")).select(key, F.col("_p")[0].cast("double").alias("_x"), F.col("_p")[1].cast("double").alias("_y"))
+    inside = _hits(vertices, cells, levels).select(key, "_name")
+    steps = F.when(F.size("_l") >= 2, F.sequence(F.lit(0), F.size("_l") - 2)).otherwise(F.array().cast("array<int>"))
+    parts = own.select(key, "_l", F.explode(steps).alias("_i")).select(key, F.col("_l")[F.col("_i")].alias("_p"), F.col("_l")[F.col("_i") + 1].alias("_q"))
+    parts = parts.withColumn("level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    # Along x, the cells over which a segment passes: of each column those between its heights at the column's sides.
+    ((x1, y1), (x2, y2)), level = ((F.col(c)[0], F.col(c)[1]) for c in ("_p", "_q")), F.col("level")
+    lo, hi = F.least(x1, x2), F.greatest(x1, x2)
+    height = lambda x: F.when(x1 == x2, y1).otherwise(y1 + (y2 - y1) * (F.least(F.greatest(x, lo), hi) - x1) / F.nullif(x2 - x1, F.lit(0.0)))
+    parts = parts.withColumn("cx", F.explode(F.sequence(_cell(lo, level), _cell(hi, level))))
+    west = F.col("cx") * _size(level) + ORIGIN
+    a, b = height(west), height(west + _size(level))
+    steep = x1 == x2
+    low, high = F.when(steep, F.least(y1, y2)).otherwise(F.least(a, b)), F.when(steep, F.greatest(y1, y2)).otherwise(F.greatest(a, b))
+    parts = parts.withColumn("cy", F.explode(F.sequence(_cell(low - 1e-9, level), _cell(high + 1e-9, level))))
+    edges = cells.where(F.size("edges") > 0).select("_name", "level", "cx", "cy", "edges")
+    end = lambda e, i: F.array(e[i], e[i + 1])
+    crossing = F.exists("edges", lambda e: _segments_cross(F.col("_p"), F.col("_q"), end(e, 0), end(e, 2)))
+    hits = parts.join(edges, ["level", "cx", "cy"]).where(crossing).select(key, "_name").union(inside)
     if first_only:
         return lines.join(hits.groupBy(key).agg(F.min("_name").alias(f"in_{name}")), key, "left")
     return hits.select(key, F.col("_name").alias(f"in_{name}")).distinct()
