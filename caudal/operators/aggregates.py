@@ -1,7 +1,7 @@
 """Group aggregates, statistics, concentration, nesting and summaries.
 
 Null group keys are dropped where the sources drop them (keyed()); sums of
-nothing are 0. All are plain aggregates: partial in each task, then by key.
+nothing are 0. All but quantiles are plain aggregates: partial in each task, then by key.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .quantiles import with_quantiles
+
 
 def keyed(df: DataFrame, keys: list[str]):
     return df.dropna("any", subset=keys).groupBy(*keys)
@@ -44,7 +46,8 @@ def reconciles(df: DataFrame, rolled: DataFrame, value: str) -> bool:
 
 def describe_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """AG5, AG16 and AG17: count, sum, mean, median, least and greatest."""
-    return keyed(df, keys).agg(F.count(value).alias("n"), sum0(value).alias("total"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"))
+    out = keyed(df, keys).agg(F.count(value).alias("n"), sum0(value).alias("total"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"))
+    return with_quantiles(out, df.dropna("any", subset=keys), keys, value, {"median": 0.5}).select(*keys, "n", "total", "mean", "median", "min", "max")
 
 
 def moments(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -52,10 +55,10 @@ def moments(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     g = keyed(df, keys) if keys else df.groupBy()
     n = F.col("n")
     out = g.agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.var_samp(value).alias("variance"), F.stddev_samp(value).alias("std"),
+        F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("variance"), F.stddev_samp(value).alias("std"),
         F.skewness(value).alias("_g1"), F.kurtosis(value).alias("_g2"), F.min(value).alias("min"), F.max(value).alias("max"),
-        F.percentile(value, F.lit(0.25)).alias("q1"), F.percentile(value, F.lit(0.75)).alias("q3"),
     )
+    out = with_quantiles(out, df.dropna("any", subset=keys) if keys else df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0)))
     kurt = F.when(n > 3, (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0)) * ((n + 1) * F.col("_g2") + 6))
     return out.withColumns({"skewness": skew, "kurtosis": kurt, "cv_pct": F.try_divide(F.col("std") * 100, F.col("mean")), "iqr": F.col("q3") - F.col("q1")}).drop("_g1", "_g2")
@@ -182,8 +185,10 @@ def executive_panel(contracts: DataFrame, payments: DataFrame, reports: DataFram
 
 def cost_performance(df: DataFrame, physical: str, financial: str) -> DataFrame:
     """AG34: one row: mean and median of physical over financial progress."""
-    cpi = F.try_divide(F.col(physical), F.col(financial))
-    return df.agg(F.avg(cpi).alias("cpi_mean"), F.median(cpi).alias("cpi_median"), F.count_if(cpi < 1).alias("behind"), F.count(cpi).alias("n"))
+    df = df.select(F.try_divide(F.col(physical), F.col(financial)).alias("_cpi"))
+    cpi = F.col("_cpi")
+    out = df.agg(F.avg(cpi).alias("cpi_mean"), F.count_if(cpi < 1).alias("behind"), F.count(cpi).alias("n"))
+    return with_quantiles(out, df, [], "_cpi", {"cpi_median": 0.5})
 
 
 def estimate_at_completion(budget: Column, cpi: Column) -> dict[str, Column]:
