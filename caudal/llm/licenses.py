@@ -8,8 +8,9 @@ if the paragraph holds enough of the words of one of the family's templates.
 
 Every line is classified, and so that wrapped notices are found, so is from each
 line on the shortest run of lines that holds as many words as the longest template
-or ends at a line without words. Of a family's overlapping runs the best is
-reported, unless a line of theirs shows the family by itself.
+or ends at a line without words. Of a family's lines and runs that overlap, those
+are reported that confirm it by the most words of a template, then the most similar
+ones; a line is reported rather than a run that shows no more than it.
 
 Nothing is left out before the model. Its weights are a literal of the plan, in
 SLOTS buckets by a hash of the n-gram, so that texts are neither exploded nor
@@ -269,14 +270,24 @@ def scan(docs: DataFrame, model: Model | None = None, *, confirm: float = CONFIR
     found = found.where(F.col("probability") >= m.threshold)
     known = F.create_map(*(x for f in sorted(TEMPLATES) for x in (F.lit(f), F.array(*(F.array(*(F.lit(w) for w in sorted(set(tokens(t))))) for t in TEMPLATES[f])))))
     words = F.flatten(F.slice("lines", F.col("first") + 1, F.col("size")))
-    share = F.array_max(F.transform(known[F.col("family")], lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
-    found = found.select("row", "doc_id", "first", "size", "family", "probability", share.alias("similarity"))
-    # Rows are told apart by id and text, so that a task that runs again after a lost executor names them alike. Repeated
-    # rows share their islands, and their best runs tie: no other run of an island starts where the best one does.
+    met = F.transform(known[F.col("family")], lambda t: F.struct(F.size(F.array_intersect(t, words)).alias("words"), F.size(t).alias("of")))
+    found = found.select("row", "doc_id", "first", "size", "family", "probability", met.alias("met"))
+    found = found.withColumns({"similarity": F.array_max(F.transform("met", lambda t: t["words"] / t["of"])), "matched": F.array_max(F.transform("met", lambda t: F.when(t["words"] / t["of"] >= confirm, t["words"]).otherwise(0)))}).drop("met")
+    # Rows are told apart by id and text, so that a task that runs again after a lost executor names them alike; of repeated
+    # rows each unit is kept once with its number.
+    unit = ("first", "size", "similarity", "matched", "probability")
+    found = found.groupBy("doc_id", "row", "family", *unit).agg(F.count("*").cast("int").alias("copies"))
+    # A run counts only where it shows more of a template, or a longer one, than its first line alone.
+    shows = F.struct("matched", "similarity")
+    line = F.max(F.when(F.col("size") == 1, shows)).over(W.partitionBy("doc_id", "row", "family", "first"))
+    found = found.withColumn("line", line).where((F.col("size") == 1) | F.col("line").isNull() | (shows > F.col("line"))).drop("line")
     of = W.partitionBy("doc_id", "row", "family")
     before = F.max(F.col("first") + F.col("size")).over(of.orderBy("first", "size").rowsBetween(W.unboundedPreceding, -1))
     found = found.withColumn("opens", F.when(F.col("first") < before, 0).otherwise(1)).withColumn("island", F.sum("opens").over(of.orderBy("first", "size").rowsBetween(W.unboundedPreceding, 0)))
-    group = W.partitionBy("doc_id", "row", "family", "island")
-    found = found.withColumn("alone", F.min("size").over(group) == 1).withColumn("place", F.rank().over(group.orderBy(F.desc("similarity"), F.desc("probability"), F.desc("first"))))
-    found = found.where(F.when(F.col("alone"), F.col("size") == 1).otherwise(F.col("place") == 1))
+    # Of the units that overlap one another: those that confirm by the most words first, then the most similar, lines before runs, later starts first; each is taken if it overlaps none taken before.
+    rank = (-F.col("matched"), -F.col("similarity"), F.col("size") > 1, -F.col("first"), -F.col("probability"))
+    ranked = found.groupBy("doc_id", "row", "family", "island").agg(F.array_sort(F.collect_list(F.struct(*(r.alias(f"r{i}") for i, r in enumerate(rank)), *unit, "copies"))).alias("units"))
+    apart = lambda taken, u: ~F.exists(taken, lambda t: (t["first"] < u["first"] + u["size"]) & (u["first"] < t["first"] + t["size"]))
+    taken = F.aggregate("units", F.slice("units", 1, 0), lambda taken, u: F.when(apart(taken, u), F.concat(taken, F.array(u))).otherwise(taken))
+    found = ranked.select("doc_id", "family", F.explode(taken).alias("u")).select("doc_id", "family", "u.*").withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
     return found.select("doc_id", F.col("first").alias("paragraph"), "family", "probability", "similarity").withColumn("confirmed", F.col("similarity") >= confirm)
