@@ -12,7 +12,7 @@ def test_corpus_queries_only_with_their_subpackage():
     if importlib.util.find_spec("caudal.llm") is None:
         assert not names
     else:
-        assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+        assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_entry(spark):
