@@ -14,7 +14,7 @@ from ..operators import spatial
 from ..operators import windows as W
 from ..plans import budget, contracts, units
 from ..shared import shared_folder
-from ..sources import files, sinks
+from ..sources import archives, documents, files, sinks
 from ..streaming import changes
 from . import cents, query, real
 
@@ -196,6 +196,40 @@ def geojson_written(t):
     return back.where("geometry.type = 'Point' and type = 'Feature'").select("properties.*", F.col("geometry.coordinates")[1].alias("lat"), F.col("geometry.coordinates")[0].alias("lon"))
 
 
+@query("select s_nationkey || '.xlsx' book, 'datos' as sheet, s_suppkey, s_name, round(s_acctbal, 2) balance, row_number() over (partition by s_nationkey order by s_suppkey) + 1 as row from supplier union all select 'all.xlsx', 'suppliers', s_suppkey, s_name, round(s_acctbal, 2), row_number() over (order by s_suppkey) + 1 from supplier union all select 'all.xlsx', 'nations', n_nationkey, n_name, null, row_number() over (order by n_nationkey) + 1 from nation")
+def workbooks_written(t):
+    """SNK5, SNK14, SNK19, SRC3, SRC6: a workbook for each nation and one of two sheets, written and read again."""
+    s = t("supplier").select("s_suppkey", "s_name", F.round("s_acctbal", 2).alias("balance"), "s_nationkey")
+    path = _folder(s, "workbooks")
+    documents.write_workbooks_by_key(s, f"{path}/keys", "s_nationkey", "s_nationkey", order="s_suppkey")
+    documents.write_workbook({"suppliers": s.drop("s_nationkey"), "nations": t("nation").select("n_nationkey", "n_name")}, f"{path}/one", "all", {"suppliers": "s_suppkey", "nations": "n_nationkey"})
+    back = R.union_all(*(archives.read_workbooks(s.sparkSession, f"{path}/{k}") for k in ("keys", "one"))).where("row > 1")
+    return back.select(F.element_at(F.split("path", "/"), -1).alias("book"), "sheet", F.get("cells", F.lit(0)).cast("bigint").alias("s_suppkey"), F.get("cells", F.lit(1)).alias("s_name"), F.get("cells", F.lit(2)).cast("double").alias("balance"), F.col("row").cast("bigint").alias("row"))
+
+
+@query("select s_suppkey, s_name, 3.4 + s_suppkey / 10000.0 as lat, -76.5 as lon from supplier")
+def collection_written(t):
+    """SNK1, SNK2, SRC13: one GeoJSON file, written by many tasks and read again."""
+    s = t("supplier").repartition(5).select("s_suppkey", "s_name", (3.4 + F.col("s_suppkey") / 10000.0).alias("lat"), F.lit(-76.5).alias("lon"))
+    path = _folder(s, "collection")
+    documents.write_collection(s, path)
+    back = files.read_geojson(s.sparkSession, f"{path}/features.geojson")
+    return back.select(F.col("properties.s_suppkey").cast("bigint").alias("s_suppkey"), F.col("properties.s_name").cast("string").alias("s_name"), F.col("geometry.coordinates")[1].cast("double").alias("lat"), F.col("geometry.coordinates")[0].cast("double").alias("lon"))
+
+
+@query("select c_custkey, c_name, round(c_acctbal, 2) balance, case c_custkey % 3 when 0 then 'Point' when 1 then 'LineString' else 'Polygon' end kind, case c_custkey % 3 when 0 then 1 when 1 then 3 else 5 end::bigint vertices, c_custkey / 1000.0 x from customer")
+def shapes_written(t):
+    """SRC15, SRC16, SNK15: shape files with attributes, written by many tasks and read again by ranges of records."""
+    k = F.col("c_custkey")
+    p = lambda x, y: F.array((k / 1000.0 + x).cast("double"), F.lit(float(y)))
+    rings = F.when(k % 3 == 0, F.array(F.array(p(0, 3)))).when(k % 3 == 1, F.array(F.array(p(0, 3), p(1, 4)), F.array(p(2, 5)))).otherwise(F.array(F.array(p(0, 3), p(0, 4), p(1, 4), p(1, 3), p(0, 3))))
+    s = t("customer").repartition(4).select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("account_balance"), F.when(k % 3 == 0, "Point").when(k % 3 == 1, "LineString").otherwise("Polygon").alias("kind"), rings.alias("rings"))
+    path = _folder(s, "shapes")
+    documents.write_shapes(s, path, "customers", 'GEOGCS["GCS_WGS_1984"]')
+    back = documents.read_shape_records(s.sparkSession, path, 100)
+    return back.select(F.col("attributes.c_custkey").cast("bigint").alias("c_custkey"), F.col("attributes.c_name").alias("c_name"), F.col("attributes.account_ba").cast("double").alias("balance"), "kind", F.size(F.flatten("rings")).cast("bigint").alias("vertices"), F.get(F.get(F.get("rings", F.lit(0)), F.lit(0)), F.lit(0)).alias("x"))
+
+
 @query("select 'json' as sink, count(*) n, sum(c_custkey) as keys from customer union all select 'gzip', count(*), sum(c_custkey) from customer union all select 'by_key', count(*), sum(c_custkey) from customer union all select 'sheets', count(*), sum(c_custkey) from customer union all select 'latest', count(*), sum(c_custkey) from customer union all select 'replaced', count(*), sum(c_custkey) from customer")
 def tables_written(t):
     """SNK3, SNK4, SNK5, SNK9, SNK12, SNK14, SNK17, SNK18, SNK19: what each writer leaves, read again."""

@@ -68,14 +68,34 @@ def with_source(df: DataFrame) -> DataFrame:
 def scan_folder(spark: SparkSession, folder: str, *, normalise: Callable[[str], str] = header_budget, errors: list[tuple[str, str]] | None = None) -> DataFrame:
     """SRC1, SRC2, SRC3 and SRC6: all readable files of a folder by their extension, as one table of texts with provenance.
 
-    Files of one extension, encoding and (of delimited texts) header are one scan. A kind that cannot be read is noted in `errors` and left out. Sheets of workbooks have to be exported first: there is no reader for them here.
+    Files of one extension, encoding and (of delimited texts) header are one scan; of each workbook the sheet that looks most like a table is read. A file that cannot be read, or of a kind that has no reader, is noted in `errors` and left out; without `errors` it raises. Marks of file systems (names that begin with . or _) are no files.
     """
+    from .archives import read_sheet
+
     by_kind: dict[str, list[str]] = {}
+    frames = []
+
+    def failed(paths: list[str], why: str) -> None:
+        if errors is None:
+            raise ValueError(f"{paths[0]}: {why}")
+        errors.extend((p, why) for p in paths)
+
     for path, _ in list_files(spark, folder):
-        kind = path.rsplit(".", 1)[-1].lower()
+        name = path.rsplit("/", 1)[-1]
+        kind = name.rsplit(".", 1)[-1].lower()
+        if name.startswith((".", "_")):
+            continue
         if kind in READERS:
             by_kind.setdefault(kind, []).append(path)
-    frames = []
+        elif kind == "xlsx":
+            try:
+                book = read_sheet(spark, path, normalise=normalise)
+                name = F.col("_archivo_origen")
+                frames.append(book.drop("_fila").withColumns({"_archivo_origen": F.url_decode(name), "_mes_asociado": dates.file_month(F.url_decode(name)), "_vigencia_asociada": dates.file_year(F.url_decode(name))}).select(*(F.col(f"`{c}`").cast("string") for c in (*(c for c in book.columns if c not in ("_fila", "_archivo_origen")), "_archivo_origen", "_mes_asociado", "_vigencia_asociada"))))
+            except Exception as e:  # one bad workbook does not stop the scan; the caller sees which
+                failed([path], str(e).splitlines()[0])
+        else:
+            failed([path], "no reader for this kind of file")
     for kind, paths in sorted(by_kind.items()):
         encodings = encodings_of(spark, paths) if kind != "parquet" else dict.fromkeys(paths, ENCODINGS[0])
         alike: dict[tuple[str, str], list[str]] = {}
@@ -91,7 +111,7 @@ def scan_folder(spark: SparkSession, folder: str, *, normalise: Callable[[str],
             except Exception as e:  # one bad group of files does not stop the scan; the caller sees which
                 if errors is None:
                     raise
-                errors += [(path, str(e).splitlines()[0]) for path in group]
+                failed(group, str(e).splitlines()[0])
     if not frames:
         raise FileNotFoundError(f"nothing readable in {folder}")
     return union_all(*frames)
