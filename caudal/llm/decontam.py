@@ -7,19 +7,21 @@ words) of max_share of the item's length from the whole item.
 2. Windows worth a look follow from the q-gram lemma, which loses nothing: an
    item of L words within distance k shares at least L - 1 - 2k word pairs with
    the L + k words from the true start on.
-3. Each such window of an item of at most WALKED words, and the item, are
-   embedded by CGK random walks: step j shows the current word and moves on by a
-   random bit of (j, word), so a small edit distance becomes a small Hamming
-   distance. Each of `repeats` walks samples `bits` places of the embedding;
-   windows that agree with an item in all sampled places of a walk are candidates.
-   The walks of longer texts drift apart, so all windows of longer items are
-   candidates.
+3. Each such window, and the item, are embedded by CGK random walks: step j shows
+   the current word and moves on by a random bit of (j, word), so a small edit
+   distance becomes a small Hamming distance. Each of `repeats` walks samples
+   `bits` places of the embedding; windows that agree with an item in all sampled
+   places of a walk are candidates.
 4. Candidates are verified by exact edit distance, with free ends.
 
-Items of over WALKED words are so found without loss. Of a shorter item at the
-threshold about 0.65 of the places agree, by which a leak would be missed with a
-probability of (1 - 0.65 ** bits) ** repeats: 8e-5 with the defaults. A window
-is only held against items of which it has the pairs of step 2.
+The walks of long texts drift apart, so an item is cut into pieces of at most PIECE
+words, as equal as may be; steps 2 and 3 are about pieces, and step 4 verifies the
+whole item around a piece that agrees. Of a leaked item one piece at least is
+within max_share of its own length, as the edits are shared out among the pieces.
+
+At the threshold about 0.65 of a piece's places agree, by which it would be missed
+with a probability of (1 - 0.65 ** bits) ** repeats: 8e-5 with the defaults. A window
+is only held against pieces of which it has the pairs of step 2.
 
 Items reach the tasks in blocks of at most about `block` (a proven bound for
 what is broadcast), each block against all documents.
@@ -45,7 +47,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import M1, WordHashes, annotate, mix, slices
 
-MAX_SHARE, REPEATS, BITS, BLOCK, WALKED = 0.2, 48, 4, 4000, 100
+MAX_SHARE, REPEATS, BITS, BLOCK, PIECE = 0.2, 48, 4, 4000, 100
 _PLAIN = bytes(b if (48 <= b <= 57 or 97 <= b <= 122 or b >= 0x80) else 32 for b in range(256))
 _FILTER_BITS = 22
 PAD = np.uint64(0)
@@ -79,15 +81,23 @@ class Items:
 
     def __post_init__(self) -> None:
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
+        #: Pieces: (item, words before it in the item), and their words.
+        self.pieces: list[tuple[int, int]] = []
+        self.part: list[np.ndarray] = []
         for i, w in enumerate(self.words):
             if len(w) == 1:
                 self.of_word[int(w[0])].append(i)
                 continue
-            pairs = np.unique(pairs_of(w))
-            self.seen[(pairs >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-            for p in pairs.tolist():
-                self.of_pair[p].append(i)
-            self.by_length[len(w)].append(i)
+            offset = 0
+            for part in np.array_split(w, -(-len(w) // PIECE)):
+                pairs = np.unique(pairs_of(part))
+                self.seen[(pairs >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+                for p in pairs.tolist():
+                    self.of_pair[p].append(len(self.pieces))
+                self.by_length[len(part)].append(len(self.pieces))
+                self.pieces.append((i, offset))
+                self.part.append(part)
+                offset += len(part)
         #: For groups of near lengths: the fewest pairs, and the span they are in.
         self.coarse, lengths = [], sorted(self.by_length)
         while lengths:
@@ -96,17 +106,17 @@ class Items:
             self.coarse.append((min(self.need(x) for x in group), max(x + edits(x, self.share) for x in group)))
 
     def need(self, length: int) -> int:
-        """Fewest positions whose pair is one of the item's; a repeated pair counts at each."""
+        """Fewest positions whose pair is one of the piece's; a repeated pair counts at each."""
         return max(1, length - 1 - 2 * edits(length, self.share))
 
-    def kinds(self, i: int) -> int:
-        """Fewest different pairs of item i that the span must show: an edit takes two of them at most."""
-        if i not in self.different:
-            self.different[i] = max(1, len(set(pairs_of(self.words[i]).tolist())) - 2 * edits(len(self.words[i]), self.share))
-        return self.different[i]
+    def kinds(self, u: int) -> int:
+        """Fewest different pairs of piece u that the span must show: an edit takes two of them at most."""
+        if u not in self.different:
+            self.different[u] = max(1, len(set(pairs_of(self.part[u]).tolist())) - 2 * edits(len(self.part[u]), self.share))
+        return self.different[u]
 
     def table(self, length: int) -> dict[int, list[int]]:
-        """The items of that length by the sampled places of each walk; made when first needed."""
+        """The pieces of that length by the sampled places of each walk; made when first needed."""
         if length not in self.tables:
             rng = np.random.default_rng(1000 + length)
             steps, k = 3 * length, min(self.bits, 3 * length)
@@ -116,9 +126,9 @@ class Items:
             self.places[length] = [np.flatnonzero(x) for x in sampled]
             own = self.by_length[length]
             t: dict[int, list[int]] = defaultdict(list)
-            for keys in self.walk(np.concatenate([self.words[i] for i in own]), np.arange(len(own)) * length, length):
-                for i, key in zip(own, keys.tolist(), strict=True):
-                    t[key].append(i)
+            for keys in self.walk(np.concatenate([self.part[u] for u in own]), np.arange(len(own)) * length, length):
+                for u, key in zip(own, keys.tolist(), strict=True):
+                    t[key].append(u)
             self.tables[length] = t
         return self.tables[length]
 
@@ -169,10 +179,6 @@ def fit(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row.min()), int(row.argmin())
 
 
-def fit_distance(item: np.ndarray, text: np.ndarray) -> int:
-    return fit(item, text)[0]
-
-
 def leaks(w: np.ndarray, items: Items) -> dict[int, tuple[int, int]]:
     """Of a document's word hashes: for each leaked item (by position in items) its least distance and the window's first word."""
     found: dict[int, tuple[int, int]] = {}
@@ -189,46 +195,45 @@ def leaks(w: np.ndarray, items: Items) -> dict[int, tuple[int, int]]:
         return found
     places: dict[int, list[int]] = defaultdict(list)
     for p in np.flatnonzero(hit).tolist():
-        for i in items.of_pair.get(int(pairs[p]), ()):
-            places[i].append(p)
+        for u in items.of_pair.get(int(pairs[p]), ()):
+            places[u].append(p)
     windows: dict[int, set[int]] = {}
     lengths: dict[int, set[int]] = defaultdict(set)
-    for i, at in places.items():
-        length = len(items.words[i])
+    for u, at in places.items():
+        length = len(items.part[u])
         need, k = items.need(length), edits(length, items.share)
         if len(at) < need:
             continue
         a = np.array(at)
         first, last = a[: len(a) - need + 1], a[need - 1 :]
-        close = last - first < length + k  # the span holds that many pairs of the item
+        close = last - first < length + k  # the span holds that many pairs of the piece
         own: set[int] = set()
         for f, t in zip(first[close].tolist(), last[close].tolist(), strict=True):
             own.update(range(max(0, t - length - k + 1), f + 1))
-        own = several(sorted(own), at, [int(pairs[p]) for p in at], length + k, items.kinds(i))
-        if length > WALKED:
-            for group in np.split(s := np.array(sorted(own), np.int64), np.flatnonzero(np.diff(s) > length) + 1) if own else ():
-                base = max(0, int(group[0]) - 2 * k)
-                d, end = fit(items.words[i], w[base : int(group[-1]) + length + 2 * k + 1])
-                hit = (d, max(0, base + end - length))
-                if d <= k and hit < found.get(i, (k + 1, 0)):
-                    found[i] = hit
-        elif own:
-            windows[i] = own
+        own = several(sorted(own), at, [int(pairs[p]) for p in at], length + k, items.kinds(u))
+        if own:
+            windows[u] = own
             lengths[length] |= own
+    tried: set[tuple[int, int]] = set()
     for length, starts in lengths.items():
         s = np.array(sorted(starts))
-        table, k = items.table(length), edits(length, items.share)
-        tried: set[tuple[int, int]] = set()
+        table = items.table(length)
         for part in range(0, len(s), 2048):
             keys = items.walk(w, s[part : part + 2048], length)
             for start, column in zip(s[part : part + 2048].tolist(), keys.T.tolist(), strict=True):
-                for i in {i for key in column for i in table.get(key, ()) if start in windows.get(i, ())}:
-                    if (i, start // max(1, k)) in tried or found.get(i, (1,))[0] == 0:
+                for u in {u for key in column for u in table.get(key, ()) if start in windows.get(u, ())}:
+                    i, offset = items.pieces[u]
+                    item = items.words[i]
+                    k, begin = edits(len(item), items.share), start - offset  # about where the item begins: within k of it
+                    if (i, begin // max(1, k)) in tried or found.get(i, (1,))[0] == 0:
                         continue
-                    tried.add((i, start // max(1, k)))
-                    d = fit_distance(items.words[i], w[max(0, start - 2 * k) : start + length + 2 * k + 1])
-                    if d <= k and (d, start) < found.get(i, (k + 1, 0)):
-                        found[i] = (d, start)
+                    tried.add((i, begin // max(1, k)))
+                    slack = 2 * k if len(item) == length else 4 * k
+                    base = max(0, begin - slack)
+                    d, end = fit(item, w[base : max(0, begin + len(item) + slack + 1)])
+                    hit = (d, start if len(item) == length else max(0, base + end - len(item)))
+                    if d <= k and hit < found.get(i, (k + 1, 0)):
+                        found[i] = hit
     return found
 
 
