@@ -30,14 +30,19 @@ from __future__ import annotations
 import io
 import json
 import os
+import re
 import struct
+import sys
+import types
 import uuid
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +56,9 @@ BLOCK = 65_536
 #: Characters of text that a shard holds, about; a table of few characters still gets a shard for each core.
 SHARD_CHARS = 64 << 20
 #: Marks that end a word of ASCII letters without joining its last token. No quote and no backslash: a quote may begin a suffix.
-TAIL = b'!"#$%&()*+,-./:;=>?@[]^_`{|}~'
+TAIL = '!"#$%&()*+,-./:;=>?@[]^_`{|}~'
+#: Words of letters that composition leaves alone and of which each has one lower-case form.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 
 
 # --- texts to ids ------------------------------------------------------------
@@ -60,52 +67,121 @@ TAIL = b'!"#$%&()*+,-./:;=>?@[]^_`{|}~'
 class WordIds(dict):
     """Ids of words (runs of anything but ASCII white space), each made by the tokenizer once while it is remembered.
 
-    Right for tokenizers that drop white space, lower-case and let no token join letters or digits with the marks after
-    them, as word_bpe_49k does; a word's ids are then the same in any text.
+    Right for tokenizers that compose, drop white space, lower-case, and let no token join letters or digits with the
+    marks after them, as word_bpe_49k does; a word's ids are then the same in any text. Words are cut into a core and
+    its marks. A core of Latin letters passes all of that but case, so the model itself is asked, in the byte alphabet
+    that such vocabularies are written in; other pieces go through the whole tokenizer.
     """
 
-    MOST = 1_000_000
+    #: Words, and pieces of words, that are remembered at once.
+    MOST_WORDS, MOST_PIECES = 400_000, 1_200_000
 
-    def __init__(self, tokenizer, dtype) -> None:
+    def __init__(self, tokenizer, dtype: str) -> None:
         super().__init__()
-        self.tokenizer, self.dtype, self.pieces = tokenizer, dtype, {b"": b""}
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(self.pieces) > self.MOST:
-            self.clear()
-            self.pieces = {b"": b""}
-        cut = {}
+        self.tokenizer, self.dtype, self.kind = tokenizer, dtype, "H" if dtype == "<u2" else "I"
+        self.pieces: dict[str, bytes] = {"": b""}
+        # The byte alphabet: printable bytes stand for themselves, the others for the letters from U+0100 on, in order.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [x for x in range(256) if x not in shown]
+        self.letters = {b: chr(256 + hidden.index(b)) for b in hidden}
+        probe = ("the", "a", "zxqv", "internationalisation", "niño", "façade", "öäß")
+        self.direct = all(self._model(w) == self._ids(tokenizer.encode(w, add_special_tokens=False).ids) for w in probe)
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return array(self.kind, ids).tobytes()
+
+    def _model(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return self._ids([t.id for t in self.tokenizer.model.tokenize(shown)])
+
+    def learn(self, words: set[str]) -> None:
+        cut, pieces, plain, other = [], self.pieces, set(), set()
         for w in words:
-            if w not in self:
-                plain = w.isascii() and b"<" not in w  # "<" may begin a special token; beyond ASCII, case and composition may interact
-                key = w.lower() if plain else w
-                core = key.rstrip(TAIL) if plain else key
-                cut[w] = (core, key[len(core) :]) if core[-1:].isalnum() else (key, b"")
-        new = list({p for pair in cut.values() for p in pair} - self.pieces.keys())
+            core, tail = w, ""
+            if "<" not in w:  # else it may hold a special token
+                core = w.rstrip(TAIL)
+                if LATIN(core):
+                    tail, core = w[len(core) :], core.lower()
+                    if core not in pieces:
+                        plain.add(core)
+                elif core[-1:].isascii() and core[-1:].isalnum():
+                    tail = w[len(core) :]
+                else:
+                    core = w
+            if core not in pieces and core not in plain:
+                other.add(core)
+            if tail not in pieces:
+                other.add(tail)
+            cut.append((w, core, tail))
+        if self.direct:
+            for p in plain:
+                pieces[p] = self._model(p)
+        else:
+            other |= plain
+        new = list(other)
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in part], add_special_tokens=False), strict=True):
-                self.pieces[p] = np.array(e.ids, self.dtype).tobytes()
-        for w, (a, b) in cut.items():
-            self[w] = self.pieces[a] + self.pieces[b]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                pieces[p] = self._ids(e.ids)
+        for w, a, b in cut:
+            self[w] = pieces[a] + pieces[b]
+
+    def of(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some different words."""
+        if len(self) > self.MOST_WORDS:
+            self.clear()
+        if len(self.pieces) > self.MOST_PIECES:
+            self.pieces = {"": b""}
+        found = list(map(self.get, words))
+        new = {w for w, x in zip(words, found, strict=True) if x is None} if None in found else ()
+        if new:
+            self.learn(new)
+            found = list(map(self.__getitem__, words))
+        return found
+
 
+def _held() -> dict:
+    """The tokenizer and the words that this process knows already, for the tasks that it runs one after another: only a cache.
 
-def encoder(tokenizer_json: str, end_id: int, by_words: bool) -> tuple[Callable[[list], list[bytes]], str]:
-    """A function from texts to their ids as bytes, and the ids' numpy type: two bytes where the vocabulary allows."""
+    This package travels with each task, so its own globals do not last.
+    """
+    return sys.modules.setdefault("caudal_held", types.SimpleNamespace(tokenizers={})).tokenizers
+
+
+def encoder(tokenizer_json: str, end_id: int, by_words: bool) -> tuple[Callable[[pa.Array], pa.Array], str]:
+    """A function from an Arrow array of texts to their ids as binary, and the ids' numpy type: two bytes where the vocabulary allows."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
+    held = _held()
+    name = (zlib.crc32(tokenizer_json.encode()), len(tokenizer_json))
+    if name not in held:
+        held.clear()  # one tokenizer at a time
+        held[name] = [Tokenizer.from_str(tokenizer_json), None]
+    tokenizer = held[name][0]
     dtype = "<u2" if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-    end = np.array([end_id], dtype).tobytes()
+    end = np.array([end_id], dtype)
     if not by_words:
-        return lambda texts: [np.array(e.ids, dtype).tobytes() + end for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)], dtype
-    ids = WordIds(tokenizer, dtype)
-
-    def encode(texts: list) -> list[bytes]:
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        ids.learn(set().union(*split))
-        return [b"".join(map(ids.__getitem__, words)) + end for words in split]
+        return lambda texts: pa.array([np.array([*e.ids, end_id], dtype).tobytes() for e in tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)], pa.binary()), dtype
+    if held[name][1] is None or held[name][1].dtype != dtype:
+        held[name][1] = WordIds(tokenizer, dtype)
+    ids = held[name][1]
+
+    def encode(texts: pa.Array) -> pa.Array:
+        """Each different word of the batch is looked up once; the rest is gathering by arrays."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        parts = ids.of(coded.dictionary.to_pylist())
+        flat = np.concatenate([np.frombuffer(b"".join(parts), dtype), end])
+        sizes = np.append(np.fromiter(map(len, parts), np.int64, len(parts)) // end.itemsize, 1)
+        starts = np.cumsum(sizes) - sizes
+        words = np.insert(coded.indices.to_numpy().astype(np.int64), offsets[1:], len(parts))  # each text's end id as a word
+        n = sizes[words]
+        ends = np.cumsum(n)
+        data = flat[np.repeat(starts[words] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        of_text = np.concatenate([[0], ends[offsets[1:] + np.arange(len(texts))]]) if len(texts) else np.zeros(1)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((of_text * end.itemsize).astype(np.int32)), pa.py_buffer(data)])
 
     return encode, dtype
 
@@ -372,10 +448,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 1, by_wor
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, _ = encoder(spec, end_id, by_words)
         for b in batches:
-            for part in slices(b, 1):
+            for part in slices(b, 1, 2048):
                 doc_id, text, h, s = part.columns
                 shard = [bisect_right(cuts, _key(*k)) for k in zip(doc_id.to_pylist(), h.to_pylist(), s.to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([doc_id, h, pa.array(shard, pa.int32()), pa.array(of(text.to_pylist()), pa.binary())], names=["doc_id", "h", "shard", "ids"])
+                yield pa.RecordBatch.from_arrays([doc_id, h, pa.array(shard, pa.int32()), of(text)], names=["doc_id", "h", "shard", "ids"])
 
     schema = T.StructType([docs.schema["doc_id"], *T.StructType().add("h", "long").add("shard", "integer").add("ids", "binary").fields])
     dealt = docs.mapInArrow(encode, schema).repartitionById(len(cuts) + 1, "shard").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h").select("doc_id", "ids")
