@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.coords import point
 from ..functions.text import printable
-from ..operators.cdc import changelog, upsert
-from ..operators.relational import keep_last
-from ..operators.windows import global_ids
+from ..operators.cdc import changelog
+from .keyed import current_version, read_current, write_upsert  # noqa: F401  part of this module's interface
 
 
 def features(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -57,45 +56,6 @@ def write_by_key(df: DataFrame, path: str, key: str, *drop: str) -> None:
     df.drop(*drop).write.mode("overwrite").partitionBy(key).option("header", True).csv(path)
 
 
-def current_version(spark, path: str) -> int:
-    """The newest complete version of a keyed table, 0 if there is none. A version counts once Spark has committed it (_SUCCESS), so a run that fails half way is not seen."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
-    names = [f.getPath().getName() for f in fs.listStatus(root) if f.isDirectory()]
-    done = lambda n: fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
-    return max((int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and done(n)), default=0)
-
-
-def read_current(spark, path: str) -> DataFrame:
-    """The newest version of a keyed table."""
-    return spark.read.parquet(f"{path}/v{current_version(spark, path)}")
-
-
-def write_upsert(df: DataFrame, path: str, key: str, *, keep: int = 2, identity: str | None = None, order: str | None = None) -> int:
-    """SNK6, SNK7, SNK8, SNK10 and SNK21: df's rows into a keyed Parquet table at path, each in place of that of its key; the number of the new version.
-
-    The newest version is read and the next one written beside it, so readers never see half a table; only the last
-    `keep` versions stay. Of several rows of a key in df the one of the greatest `order` counts (else any). With `identity`,
-    a key keeps the number that the table has for it, and new keys get numbers that go on from the greatest (SNK8).
-    """
-    spark, now = df.sparkSession, current_version(df.sparkSession, path)
-    new = keep_last(df, [key], order) if order else df.dropDuplicates([key])
-    old = read_current(spark, path) if now else None
-    if identity:
-        new = new.drop(identity)
-        known = new.join(old.select(key, identity), key, "left") if old is not None else new.withColumn(identity, F.lit(None).cast("long"))
-        start = (old.agg(F.max(identity)).first()[0] or 0) if old is not None else 0
-        fresh = global_ids(known.where(F.col(identity).isNull()).drop(identity), [key], identity, start)
-        new = known.where(F.col(identity).isNotNull()).unionByName(fresh)
-    (new if old is None else upsert(old, new, key)).write.mode("overwrite").parquet(f"{path}/v{now + 1}")
-    if now >= keep:
-        gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/v{now + 1 - keep}")
-        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
-    return now + 1
-
-
 def replace_all(df: DataFrame, path: str) -> None:
     """SNK9 and SNK18."""
     df.write.mode("overwrite").parquet(path)
