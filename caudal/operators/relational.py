@@ -23,6 +23,14 @@ def pipe(df: DataFrame, *steps: Step) -> DataFrame:
     return reduce(lambda d, f: f(d), steps, df)
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with columns that are computed once a row, however often later steps name them: the optimiser does not merge a generator into what follows, as it does a projection."""
+    names = [f"_once_{i}" for i in range(len(columns))]
+    made = df.select("*", F.inline(F.array(F.struct(*(v.alias(n) for n, v in zip(names, columns.values(), strict=True))))))
+    new = dict(zip(columns, names, strict=True))
+    return made.select(*(F.col(new.pop(c)).alias(c) if c in new else F.col(f"`{c}`") for c in df.columns), *(F.col(n).alias(c) for c, n in new.items()))
+
+
 def rename_present(mapping: dict[str, str]) -> Step:
     """PF1: only columns that are there and whose new name is free."""
     return lambda df: reduce(lambda d, kv: d.withColumnRenamed(*kv) if kv[0] in d.columns and kv[1] not in d.columns else d, mapping.items(), df)
