@@ -74,11 +74,14 @@ def keyword_overlap(left: DataFrame, right: DataFrame, left_id: str, left_text:
     the commonest words are joined only by texts that have hardly any other, and the words of a pair are counted on it.
     """
     words = lambda c: F.filter(F.array_distinct(F.split(F.lower(F.col(c)), r"\s+")), lambda w: F.length(w) >= shortest)
-    b = right.select(right_id, words(right_text).alias("_theirs")).select(right_id, "_theirs", F.explode("_theirs").alias("_w"))
+    theirs = right.select(right_id, words(right_text).alias("_theirs"))
+    b = theirs.select(right_id, F.explode("_theirs").alias("_w"))
     often = b.groupBy("_w").agg(F.count("*").alias("_n"))
-    a = left.select(left_id, F.explode(words(left_text)).alias("_w")).join(often, "_w").groupBy(left_id).agg(F.sort_array(F.collect_list(F.struct("_n", "_w")), asc=False)["_w"].alias("_own"))
-    a = a.where(F.size("_own") >= least).select(left_id, "_own", F.explode(F.slice("_own", least, F.size("_own"))).alias("_w"))
-    hits = a.join(b, "_w").select(left_id, right_id, F.size(F.array_intersect("_own", "_theirs")).cast("long").alias("hits")).where(F.col("hits") >= least)
+    own = left.select(left_id, F.explode(words(left_text)).alias("_w")).join(often, "_w").groupBy(left_id).agg(F.sort_array(F.collect_list(F.struct("_n", "_w")), asc=False)["_w"].alias("_own"))
+    own = own.where(F.size("_own") >= least)
+    # Pairs are found by ids alone; the words come to those that are left.
+    pairs = own.select(left_id, F.explode(F.slice("_own", least, F.size("_own"))).alias("_w")).join(b, "_w").select(left_id, right_id).distinct()
+    hits = pairs.join(theirs, right_id).join(own, left_id).select(left_id, right_id, F.size(F.array_intersect("_own", "_theirs")).cast("long").alias("hits")).where(F.col("hits") >= least)
     return hits.groupBy(left_id).agg(F.max_by(F.struct(right_id, "hits"), F.struct(F.col("hits"), -F.col(right_id))).alias("_b")).select(left_id, f"_b.{right_id}", "_b.hits")
 
 

@@ -31,7 +31,7 @@ class Rule:
     dimension: str
     severity: str
     field: str
-    violated: Column
+    violated: Column | None
     current: Column
 
 
@@ -94,7 +94,7 @@ def strict_rules(catalogs: dict[str, list[str]], today: Column, ring: str | None
         Rule("LC003", "logical_consistency", CRITICAL, "avance_obra", ~blank("avance_obra") & p.isNull(), _text("avance_obra")),
         Rule("LC004", "logical_consistency", HIGH, "presupuesto_base", ~blank("presupuesto_base") & F.coalesce(number(_text("presupuesto_base")) < 0, F.lit(True)), _text("presupuesto_base")),
         Rule("LC005", "logical_consistency", HIGH, "cantidad", ~blank("cantidad") & F.coalesce(number(_text("cantidad")) <= 0, F.lit(True)), _text("cantidad")),
-        *([Rule("LC006", "logical_consistency", HIGH, "geometry", ring_problem(F.col(ring)).isNotNull(), ring_problem(F.col(ring)))] if ring else []),
+        *([Rule("LC006", "logical_consistency", HIGH, "geometry", None, ring_problem(F.col(ring)))] if ring else []),
         Rule("LC007", "logical_consistency", HIGH, "ano", ~blank("ano") & ~F.coalesce(number(_text("ano")).between(2020, 2030), F.lit(False)), _text("ano")),
         *(Rule("CO001", "completeness", CRITICAL, f, blank(f), null) for f in ("nombre_up", "estado", "clase_up", "tipo_intervencion", "tipo_equipamiento", "nombre_centro_gestor", "comuna_corregimiento", "barrio_vereda")),
         Rule("CO002", "completeness", HIGH, "geometry", ~blank("direccion") & (lat.isNull() | lon.isNull()), null),
@@ -120,8 +120,17 @@ def strict_rules(catalogs: dict[str, list[str]], today: Column, ring: str | None
 
 
 def issues(df: DataFrame, rules: list[Rule], keys: list[str], level: str = "registro") -> DataFrame:
-    """A row for each violation: the keys, rule_id, dimension, severity, field_name, current_value and level. A null condition is no violation."""
-    each = F.array(*(F.when(F.coalesce(r.violated, F.lit(False)), F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.dimension).alias("dimension"), F.lit(r.severity).alias("severity"), F.lit(r.field).alias("field_name"), r.current.alias("current_value"))) for r in rules))
+    """A row for each violation: the keys, rule_id, dimension, severity, field_name, current_value and level. A null condition is no violation; a rule without a condition is violated where it has a current value."""
+
+    def issue(r: Rule, value: Column) -> Column:
+        return F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.dimension).alias("dimension"), F.lit(r.severity).alias("severity"), F.lit(r.field).alias("field_name"), value.alias("current_value"))
+
+    def found(r: Rule) -> Column:
+        if r.violated is not None:
+            return F.when(F.coalesce(r.violated, F.lit(False)), issue(r, r.current))
+        return F.get(F.transform(F.array(r.current), lambda v: F.when(v.isNotNull(), issue(r, v))), F.lit(0))  # the value is computed once
+
+    each = F.array(*map(found, rules))
     return df.select(*keys, F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select(*keys, "x.*", F.lit(level).alias("level"))
 
 

@@ -19,7 +19,7 @@ def prepared(raw: DataFrame) -> DataFrame:
     """Typed rows: few nulls, amounts as whole pesos, codes, and the period's last day. raw has _row_id, dataframe_origen and anio."""
     df = R.few_nulls(0.8)(raw)
     money = {c: numbers.whole_number(F.col(c).cast("string")) for c in (*MOVEMENTS, *EXECUTION) if c in df.columns}
-    df = df.withColumns(money | {"bpin": numbers.digits_only(F.col("bpin").cast("string")), "periodo_corte": dates.period_end("dataframe_origen", "anio")})
+    df = R.once(df, money | {"bpin": numbers.digits_only(F.col("bpin").cast("string")), "periodo_corte": dates.period_end("dataframe_origen", "anio")})
     return df.withColumn("bp", text.budget_code("bp")) if "bp" in df.columns else df
 
 

@@ -27,7 +27,7 @@ def clean(raw: DataFrame) -> DataFrame:
     raw = raw.select(*(F.col(c).cast("string").alias(c) if t == "void" else F.col(c) for c, t in raw.dtypes))
 
     def numbers_and_dates(df: DataFrame) -> DataFrame:
-        return df.withColumns({
+        return R.once(df, {
             "presupuesto_base": numbers.money_column("presupuesto_base", as_integer=True), "avance_obra": numbers.progress("avance_obra"), "ano": numbers.budget_year("ano"),
             "fecha_inicio": dates.date_search("fecha_inicio"), "fecha_fin": dates.date_search("fecha_fin"), "referencia_contrato": nested.references("referencia_contrato"), "referencia_proceso": nested.references("referencia_proceso"),
             "bpin": numbers.bpin("bpin")["bpin"], "_c": coords.pair("lat", "lon"), "comuna_corregimiento": text.district("comuna_corregimiento"),

@@ -132,7 +132,7 @@ _STRICT_RULES = [
     ("LC002", "avance_obra", "p > 100"), ("LC004", "presupuesto_base", "b < 0"), ("LC005", "cantidad", "k % 13 = 0 or k % 7 = 0"), ("LC006", "geometry", "g = 0"), ("LC007", "ano", "ano not between 2020 and 2030"),
     ("CO001", "nombre_up", "nombre_up is null"), ("CO001", "barrio_vereda", "true"), ("CO003", "identificador", "k % 17 = 0"), ("CO004", "fechas", "estado in ('En ejecución', 'Terminado') and k % 19 = 0"), ("CO005", "referencias", "estado in ('En ejecución', 'Terminado') and k % 3 <> 0"), ("CO006", "direccion", "k % 23 = 0"),
     ("PA001", "geometry", "not (lat between 3.35 and 3.56 and lon between -76.60 and -76.40)"), ("TA001", "estado", "estado = 'Inaugurado'"), ("TA005", "url_proceso", "k % 29 = 0"), ("TA006", "comunas", "k % 31 = 0"),
-    ("TQ001", "fechas", "ini >= fin and k % 19 <> 0"), ("TQ002", "fecha_inicio", "k % 37 = 0 and k % 19 <> 0"), ("TQ003", "fecha_fin", "year(fin) > 2030"), ("TQ004", "fecha_fin", "estado = 'Terminado' and fin > date '2020-01-01'"), ("TQ005", "fechas", "k % 19 <> 0 and (fin - ini > 1825 or fin - ini < 1)"),
+    ("TQ001", "fechas", "ini >= fin and k % 19 <> 0"), ("TQ002", "fecha_inicio", "k % 37 = 0 and k % 19 <> 0"), ("TQ003", "fecha_inicio", "k % 19 <> 0 and k % 37 <> 0 and (year(ini) < 2015 or year(ini) > 2025)"), ("TQ003", "fecha_fin", "year(fin) > 2030"), ("TQ004", "fecha_fin", "estado = 'Terminado' and fin > date '2020-01-01'"), ("TQ005", "fechas", "k % 19 <> 0 and (fin - ini > 1825 or fin - ini < 1)"),
 ]
 
 
@@ -162,7 +162,7 @@ def strict_rule_counts(t):
     )
     catalogs = {"estado": ["En alistamiento", "En ejecución", "Terminado"], **{c: ["x"] for c in ("tipo_intervencion", "plataforma", "unidad", "clase_up", "tipo_equipamiento", "fuente_financiacion")}}
     found = Q.issues(df, Q.strict_rules(catalogs, F.lit("2020-01-01").cast("date"), "ring"), ["o_orderkey"])
-    found = found.where(~((F.col("rule_id") == "TQ003") & (F.col("field_name") == "fecha_inicio"))).withColumn("field_name", F.when(F.col("rule_id") == "TA006", "comunas").otherwise(F.col("field_name")))
+    found = found.withColumn("field_name", F.when(F.col("rule_id") == "TA006", "comunas").otherwise(F.col("field_name")))
     return Q.counts_by(found, "rule_id", "field_name")
 
 
