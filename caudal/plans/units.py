@@ -101,3 +101,15 @@ def run(raw: DataFrame, equipment: list[str], mode: str = "exact") -> tuple[Data
     """
     units = to_units(with_upids(cut(grouped(cut(clean(raw), "clean"), mode=mode), "grouped")))
     return units, validate_units(units, equipment)
+
+
+def extract(spark, folder: str, keep: str | None = None, rename: dict[str, str] | None = None) -> DataFrame:
+    """SRC29: the records of a folder's files, in memory or also written as Parquet to `keep`; numbered, with columns renamed where they are present."""
+    from ..sources.files import scan_folder
+
+    rows = R.rename_present(rename or {})(scan_folder(spark, folder))
+    rows = W.global_ids(rows, ["_archivo_origen", *(c for c in rows.columns if not c.startswith("_"))], "_row_id")
+    if keep:
+        rows.write.mode("overwrite").parquet(keep)
+        return spark.read.parquet(keep)
+    return rows

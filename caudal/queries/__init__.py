@@ -34,6 +34,6 @@ def real(c: Column, digits: int = 4) -> Column:
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    from . import aggregation, cleaning, entities, lookups, plans, series, variants  # noqa: F401  they register themselves
+    from . import aggregation, cleaning, entities, ingest, lookups, plans, series, variants  # noqa: F401  they register themselves
 
     return REGISTRY, SQL

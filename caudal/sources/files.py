@@ -227,3 +227,21 @@ def typed_amounts(df: DataFrame, money: list[str]) -> DataFrame:
 def valid_references(df: DataFrame, column: str) -> DataFrame:
     """SRC26: rows with a reference that is not blank."""
     return df.where(F.nullif(F.trim(F.col(column)), F.lit("")).isNotNull())
+
+
+def load_collections(spark: SparkSession, root: str, schemas: dict[str, str], errors: list[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
+    """SRC20: the named collections of a folder as tables: JSON or Parquet under the collection's name; one that is missing or cannot be read is empty, with its schema, and noted in `errors`."""
+    out = {}
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name, schema in schemas.items():
+        found = None
+        for kind in ("parquet", "json"):
+            for path in (f"{root}/{name}.{kind}", f"{root}/{name}"):
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                fs = where.getFileSystem(conf)
+                if found is None and fs.exists(where) and (path.endswith(kind) or any(f.getPath().getName().endswith((f".{kind}", f".{kind}.gz")) for f in fs.listStatus(where))):
+                    found = spark.read.schema(schema).format(kind).load(path)
+        if found is None and errors is not None:
+            errors.append((name, "no such collection"))
+        out[name] = spark.createDataFrame([], schema) if found is None else found
+    return out
