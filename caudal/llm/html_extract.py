@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from .common import annotate
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SKIP = frozenset("script style noscript template svg math iframe object select textarea canvas head title button".split())
+_SKIP = frozenset("script style noscript template svg math iframe object select textarea canvas head title".split())
 _RAW = frozenset("script style textarea title noscript iframe".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 #: A start tag of the key closes an open element of the values that is not beyond one of the stops.
@@ -57,12 +57,14 @@ _KINDS = {"a": "link", "nav": "nav", "footer": "edge", "header": "edge", "aside"
 
 
 class Node:
-    __slots__ = ("tag", "parent", "hints", "under", "own", "text", "linked")
+    __slots__ = ("tag", "parent", "hints", "under", "own", "text", "linked", "place", "inline")
 
     def __init__(self, tag: str, parent: int, hints: tuple[str, ...], under: frozenset[str] = frozenset()) -> None:
         """under: hints and telling tags of the elements around."""
         self.tag, self.parent, self.hints, self.under = tag, parent, hints, under
         self.own = self.text = self.linked = 0
+        self.place: tuple = ()
+        self.inline = ""  # the tag that a button within running text counts as
 
 
 class _Tags:
@@ -217,24 +219,62 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
         n, up = nodes[i], nodes[nodes[i].parent]
         up.text += n.text
         up.linked += n.text if n.tag == "a" else n.linked
+    _place(nodes)
     return nodes, events
 
 
+#: Elements that are told apart by how they stand beside their siblings, and what names an article (fixed values).
+_BOXES = frozenset("div section article aside td main table tbody tr".split())
+_NAMED = frozenset("article main content post entry story".split())
+#: Characters of a paragraph that a layout has and a table of figures has not.
+_PROSE = 80
+
+
+def _place(nodes: list[Node]) -> None:
+    """How an element stands: whether a sibling of it, or of one around it, is named as the article; for boxes also the share of their parent's text, whether a sibling box has much more, how many siblings are of their kind, and for parts of tables whether they hold prose."""
+    largest, alike, named, prose = [0] * len(nodes), defaultdict(int), [0] * len(nodes), [False] * len(nodes)
+    aside = [False] * len(nodes)
+    own_name = [n.tag in ("article", "main") or not _NAMED.isdisjoint(n.hints) for n in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        n = nodes[i]
+        named[n.parent] += own_name[i]
+        if n.tag in _BOXES and n.text:
+            largest[n.parent] = max(largest[n.parent], n.text)
+            alike[n.parent, n.tag] += 1
+        if prose[i] or (n.tag in ("p", "h1") and n.text >= _PROSE):
+            prose[i] = prose[n.parent] = True
+    for i in range(1, len(nodes)):
+        n = nodes[i]
+        beside = aside[i] = aside[n.parent] or (named[n.parent] > 0 and not own_name[i])
+        if n.tag == "button" and nodes[n.parent].own:
+            n.inline = "span"
+        if n.tag in _BOXES and n.text:
+            same = alike[n.parent, n.tag]
+            table = n.tag in ("table", "tbody", "tr", "td")
+            n.place = (beside, "cell" if table else "box", min(3, 4 * n.text // max(1, nodes[n.parent].text)), min(3, same.bit_length() - 1), largest[n.parent] > 3 * n.text, prose[i] if table else None)
+        elif beside:
+            n.place = (True,)
+
+
 def _size(n: int) -> int:
     return 0 if not n else min(5, 1 + int(math.log10(n) * 1.5))
 
 
 def look(n: Node) -> tuple:
     """What features() rests on; elements that look alike share their potential."""
-    return n.tag, 4 * n.linked // max(1, n.text) if n.text else -1, _size(n.text), _size(n.own), n.hints, n.under
+    return n.inline or n.tag, 4 * n.linked // max(1, n.text) if n.text else -1, _size(n.text), _size(n.own), n.hints, n.under, n.place
 
 
 def features(n: Node) -> list[str]:
     return _features(*look(n))
 
 
-def _features(tag: str, dense: int, size: int, own: int, hints: tuple[str, ...], under: frozenset[str]) -> list[str]:
-    return ["element", f"tag {tag}", f"links {dense}", f"size {size}", *((f"{tag} holds {own}",) if tag in _ROOTS else ()), *(f"hint {h}" for h in sorted(set(hints))), *(f"under {h}" for h in sorted(under))]
+def _features(tag: str, dense: int, size: int, own: int, hints: tuple[str, ...], under: frozenset[str], place: tuple = ()) -> list[str]:
+    beside = ["beside the article"] if place and place[0] else []
+    if len(place) > 1:
+        _, what, share, alike, more, prose = place
+        beside += [f"{what} share {share}", f"{what} alike {alike}", *((f"{what} beside more", f"{what} links {dense} beside more") if more else ()), *((f"{tag} prose {prose}",) if prose is not None else ())]
+    return [*beside, "element", f"tag {tag}", f"links {dense}", f"size {size}", *((f"{tag} holds {own}",) if tag in _ROOTS else ()), *(f"hint {h}" for h in sorted(set(hints))), *(f"under {h}" for h in sorted(under))]
 
 
 def kind(n: Node) -> str:
@@ -315,7 +355,7 @@ def train(pages: list[tuple[str, str]], *, shrink: float = 0.3, rounds: int = 12
     return m
 
 
-def labelled_pages(n: int = 800, seed: int = 10) -> list[tuple[str, str]]:
+def labelled_pages(n: int = 1600, seed: int = 10) -> list[tuple[str, str]]:
     """Made-up pages, each with a mark for each element in page order: 1 for content."""
     rng = random.Random(seed)
     out = []
@@ -335,8 +375,11 @@ def labelled_pages(n: int = 800, seed: int = 10) -> list[tuple[str, str]]:
         def links(tag: str, k: int, on: int = 0) -> None:
             el(tag, on, lambda: [el("li", on, lambda: el("a", on, words(rng.randint(1, 3)), 'href="/x"')) for _ in range(k)])
 
+        def button() -> None:
+            el("button", 0, words(rng.choice([1, 1, 2])), rng.choice(["", 'type="submit"']))
+
         def furniture() -> None:
-            rng.choice([lambda: el("nav", 0, lambda: [el("a", 0, words(1), 'href="/x"') for _ in range(rng.randint(1, 4))]), lambda: links("nav", rng.randint(1, 5)), lambda: el("form", 0, lambda: (el("label", 0, words(1)), el("p", 0, words(4)) if rng.random() < 0.3 else None)), lambda: el("div", 0, lambda: [el("a", 0, words(1), 'href="/x"') for _ in range(rng.randint(1, 4))], 'class="share"')])()
+            rng.choice([button, lambda: el("form", 0, lambda: (el("label", 0, words(2)), button())), lambda: el("nav", 0, lambda: [el("a", 0, words(1), 'href="/x"') for _ in range(rng.randint(1, 4))]), lambda: links("nav", rng.randint(1, 5)), lambda: el("form", 0, lambda: (el("label", 0, words(1)), el("p", 0, words(4)) if rng.random() < 0.3 else None)), lambda: el("div", 0, lambda: [el("a", 0, words(1), 'href="/x"') for _ in range(rng.randint(1, 4))], 'class="share"')])()
 
         def content() -> None:
             if rng.random() < 0.85:
@@ -344,7 +387,7 @@ def labelled_pages(n: int = 800, seed: int = 10) -> list[tuple[str, str]]:
             for _ in range(rng.choice([0, 1, 1, 1, 2, 3, 5, 8, 12])):
                 x = rng.random()
                 if x < 0.72:
-                    el("p", 1, lambda: (html.append(words(rng.choice([1, 1, 3, 12, 40, 120]))), [el(rng.choice(["b", "i", "em", "strong", "span", "a"]), 1, words(rng.randint(1, 12))) for _ in range(rng.choice([0, 0, 1, 2]))]))
+                    el("p", 1, lambda: (html.append(words(rng.choice([1, 1, 3, 12, 40, 120]))), [el(rng.choice(["b", "i", "em", "strong", "span", "a", "button"]), 1, words(rng.randint(1, 12))) for _ in range(rng.choice([0, 0, 1, 2]))]))
                 elif x < 0.78:
                     el(rng.choice(["h2", "h3", "h4"]), 1, words(4))
                 elif x < 0.84:
@@ -372,10 +415,30 @@ def labelled_pages(n: int = 800, seed: int = 10) -> list[tuple[str, str]]:
         def comments() -> None:
             el(rng.choice(["div", "section", "ul", "ol"]), 0, lambda: [el(rng.choice(["div", "div", "div", "p", "p", "p", "li", "li", "li", "article"]), 0, lambda: (el("p", 0, words(rng.choice([2, 10, 30]))), html.append(words(2))), rng.choice(['class="comment"', 'class="reply"', ""])) for _ in range(rng.randint(1, 4))], rng.choice(['class="comments"', 'id="comments"', 'class="comment list"']))
 
+        def remarks() -> None:
+            """Comments of readers that nothing names: boxes alike, each a name and a short text."""
+            tag = rng.choice(["div", "div", "li"])
+            one = lambda: el(tag, 0, lambda: (el(rng.choice(["b", "strong", "span", "p", "h4"]), 0, words(rng.randint(1, 2))), el(rng.choice(["p", "p", "div"]), 0, words(rng.choice([3, 8, 15, 30]))), button() if rng.random() < 0.3 else None), rng.choice(["", 'id="r1"', 'class="item"']))
+            el("ol" if tag == "li" else rng.choice(["div", "section"]), 0, lambda: (el(rng.choice(["h3", "h2"]), 0, words(rng.randint(1, 3))) if rng.random() < 0.5 else None, [one() for _ in range(rng.randint(2, 6))]), rng.choice(['id="respond"', 'id="thread"', 'class="talk"', ""]))
+
+        def rail() -> None:
+            """A side column that nothing names: links, or short boxes."""
+            el("div", 0, lambda: [rng.choice([lambda: links("ul", rng.randint(2, 7)), lambda: el("p", 0, lambda: el("a", 0, words(3), 'href="/x"')), lambda: (el("h3", 0, words(2)), el("p", 0, words(rng.choice([3, 8])))), lambda: el("div", 0, lambda: el("a", 0, words(2), 'href="/x"'))])() for _ in range(rng.randint(1, 4))], rng.choice(['id="rail"', 'id="left"', 'class="col"', ""]))
+
+        def columns() -> None:
+            """The article in the middle of plain columns, or of a table's cells."""
+            if rng.random() < 0.4:
+                body_of = lambda: (rail() if rng.random() < 0.6 else None, el("div", 1, content, rng.choice(['id="main-content"', 'class="content"', 'id="main"', 'id="article"'])), rail() if rng.random() < 0.6 else None)
+                el("div", 0, body_of, rng.choice(["", 'id="page"', 'class="wrap"']))
+            else:
+                cell = lambda: el("td", 0, lambda: [rng.choice([lambda: el("a", 0, words(2), 'href="/x"'), lambda: el("p", 0, lambda: el("a", 0, words(2), 'href="/x"'))])() for _ in range(rng.randint(2, 8))])
+                row = lambda: el("tr", 0, lambda: (cell() if rng.random() < 0.8 else None, el("td", 1, content), cell() if rng.random() < 0.3 else None))
+                el("table", 0, row if rng.random() < 0.5 else lambda: el("tbody", 0, row))
+
         def box(tag: str, hint: str) -> None:
             el(tag, 0, lambda: rng.choice([lambda: html.append(words(rng.choice([2, 8, 20]))), lambda: links("ul", rng.randint(1, 7)), lambda: el("p", 0, words(rng.choice([3, 15]))), lambda: (el("h3", 0, words(2)), el("p", 0, words(12)))])(), f'class="{hint}"' if hint else "")
 
-        def around(before: bool) -> None:
+        def around(before: bool, enclosed: bool = False) -> None:
             if before:
                 if rng.random() < 0.75:
                     el("nav", 0, lambda: links("ul", rng.randint(2, 9)))
@@ -388,6 +451,8 @@ def labelled_pages(n: int = 800, seed: int = 10) -> list[tuple[str, str]]:
             if not before:
                 if rng.random() < 0.3:
                     comments()
+                elif enclosed and rng.random() < 0.25:
+                    remarks()
                 if rng.random() < 0.8:
                     el("footer", 0, lambda: (html.append(words(rng.choice([3, 12, 25]))), el("p", 0, words(6)) if rng.random() < 0.4 else None), rng.choice(["", 'class="footer"']))
 
@@ -395,13 +460,15 @@ def labelled_pages(n: int = 800, seed: int = 10) -> list[tuple[str, str]]:
             around(True)
             tag, attrs = rng.choice([("article", ""), ("article", ""), ("article", ""), ("article", ""), ("article", 'class="post"'), ("div", 'class="content"'), ("div", 'id="article"'), ("div", 'class="entry content"'), ("main", ""), ("section", 'class="story"')])
             wrap = rng.random()
-            if wrap < 0.2:
+            if rng.random() < 0.35:
+                columns()
+            elif wrap < 0.2:
                 el("main" if tag != "main" else "div", 0, lambda: el(tag, 1, content, attrs))
             elif wrap < 0.35:
                 el("div", 0, lambda: (el(tag, 1, content, attrs), box("aside", "sidebar")), rng.choice(['class="container"', ""]))
             else:
                 el(tag, 1, content, attrs)
-            around(False)
+            around(False, enclosed=True)
 
         def flat(tag: str, on: int) -> None:
             """An article that no element of its own encloses."""
