@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Callable
 from functools import reduce
 
@@ -68,7 +69,7 @@ def with_source(df: DataFrame) -> DataFrame:
 def scan_folder(spark: SparkSession, folder: str, *, normalise: Callable[[str], str] = header_budget, errors: list[tuple[str, str]] | None = None) -> DataFrame:
     """SRC1, SRC2, SRC3 and SRC6: all readable files of a folder by their extension, as one table of texts with provenance.
 
-    Files of one extension, encoding and (of delimited texts) header are one scan; of each workbook the sheet that looks most like a table is read. A file that cannot be read, or of a kind that has no reader, is noted in `errors` and left out; without `errors` it raises. Marks of file systems (names that begin with . or _) are no files.
+    Files of one extension, encoding and (of delimited texts) header are one scan; of each workbook the sheet that looks most like a table is read. A file that cannot be read is noted in `errors` and left out, without `errors` it raises; one of a kind that has no reader is noted, or else warned of. Marks of file systems (names that begin with . or _) are no files.
     """
     from .archives import read_sheet
 
@@ -94,6 +95,8 @@ def scan_folder(spark: SparkSession, folder: str, *, normalise: Callable[[str],
                 frames.append(book.drop("_fila").withColumns({"_archivo_origen": F.url_decode(name), "_mes_asociado": dates.file_month(F.url_decode(name)), "_vigencia_asociada": dates.file_year(F.url_decode(name))}).select(*(F.col(f"`{c}`").cast("string") for c in (*(c for c in book.columns if c not in ("_fila", "_archivo_origen")), "_archivo_origen", "_mes_asociado", "_vigencia_asociada"))))
             except Exception as e:  # one bad workbook does not stop the scan; the caller sees which
                 failed([path], str(e).splitlines()[0])
+        elif errors is None:
+            warnings.warn(f"{path}: no reader for this kind of file", stacklevel=2)
         else:
             failed([path], "no reader for this kind of file")
     for kind, paths in sorted(by_kind.items()):
