@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..shared import cut
+
 TO_HERE = (W.unboundedPreceding, W.currentRow)
 
 
@@ -56,9 +58,11 @@ def global_ids(df: DataFrame, order: list[str], name: str = "id", start: int | C
     """W8 and SNK8: consecutive numbers over all rows by order, from start + 1 on, without a single-task sort.
 
     Rows are range-partitioned and numbered within each partition; the partitions' sizes, one row each, give the offsets.
+    The partitioned rows are written once and read for both: ranges are sampled and joined anew in every plan, so sizes
+    that are counted in a plan of their own are those of other partitions.
     """
     cols = [F.col(c).asc_nulls_last() for c in order]
-    part = df.repartitionByRange(*cols).withColumn("_gid_part", F.spark_partition_id())
+    part = cut(df.repartitionByRange(*cols).withColumn("_gid_part", F.spark_partition_id()), "ranges")
     part = part.withColumn("_gid_n", F.row_number().over(W.partitionBy("_gid_part").orderBy(*cols)))
     sizes = part.groupBy("_gid_part").agg(F.count("*").alias("_gid_size"))
     offsets = sizes.withColumn("_gid_before", F.coalesce(F.sum("_gid_size").over(W.orderBy("_gid_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_gid_part", "_gid_before")

@@ -64,6 +64,12 @@ def test_trends(spark):
     assert [r.id for r in ids.orderBy("x").collect()] == list(range(101, 111))
 
 
+def test_global_ids_over_ranges_that_are_read_with_other_columns(spark):
+    df = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("t"))
+    r = W.global_ids(df, ["id"], "n").agg(F.max("t"), F.count("*").alias("rows"), F.count_if(F.col("n") != F.col("id") + 1).alias("wrong")).first()
+    assert (r.rows, r.wrong) == (40_000, 0)
+
+
 def test_pareto_and_hhi(spark):
     df = spark.createDataFrame([("a", 50.0), ("b", 30.0), ("c", 20.0)], "k string, v double")
     assert [r.vital for r in W.pareto(df, "v", "k").orderBy("rank").collect()] == [True, True, False]
