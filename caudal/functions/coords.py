@@ -10,6 +10,8 @@ from .numbers import after_last, col, number, swap, without
 EARTH_M = 6371000.0
 #: The boxes differ by module on purpose: (least lat, greatest lat, least lon, greatest lon).
 BOX_RULES, BOX_LIVE, BOX_SWAP, BOX_POINT, BOX_EXPORT = (3.35, 3.56, -76.60, -76.40), (3.3, 3.6, -76.7, -76.4), (3.25, 3.65, -76.70, -76.35), (2.5, 4.5, -77.5, -75.5), (2.0, 5.0, -78.0, -75.0)
+#: Where GE2 to GE4 take a latitude for one, and a longitude without its sign.
+BOX_SIGN = (2.5, 4.5, -77.5, -76.0)
 
 
 def within(lat: Column | str, lon: Column | str, box: tuple[float, float, float, float]) -> Column:
@@ -35,30 +37,30 @@ def decimal_separator(c: Column | str) -> Column:
     return number(swap(F.trim(col(c)), ",", "."))
 
 
-def longitude(lon: Column | str) -> Column:
-    """GE2: 76.0 to 77.5 loses its sign; -7.65 was -76.65."""
+def longitude(lon: Column | str, box=BOX_SIGN) -> Column:
+    """GE2: 76.0 to 77.5, or what the box says, has lost its sign; -7.65 was -76.65."""
     x = col(lon)
     rebuilt = number(F.concat(F.lit("-76."), after_last(F.abs(x).cast("string"), ".")))
     short = (x > -10) & (x < 0) & F.abs(x).cast("string").rlike(r"^\d\.\d+$")
-    return F.when(x.between(76.0, 77.5), -x).when(short & rebuilt.between(-77.5, -75.5), rebuilt).otherwise(x)
+    return F.when(x.between(-box[3], -box[2]), -x).when(short & rebuilt.between(-77.5, -75.5), rebuilt).otherwise(x)
 
 
-def latitude(lat: Column | str) -> Column:
-    """GE3: null outside 2.5 to 4.5."""
-    return F.when(col(lat).between(2.5, 4.5), col(lat))
+def latitude(lat: Column | str, box=BOX_SIGN) -> Column:
+    """GE3: null outside 2.5 to 4.5, or what the box says."""
+    return F.when(col(lat).between(box[0], box[1]), col(lat))
 
 
-def pair(lat: Column | str, lon: Column | str) -> Column:
+def pair(lat: Column | str, lon: Column | str, box=BOX_SIGN) -> Column:
     """GE4: struct(lat, lon), each normalised."""
-    return F.struct(latitude(decimal(lat)).alias("lat"), longitude(decimal(lon)).alias("lon"))
+    return F.struct(latitude(decimal(lat), box).alias("lat"), longitude(decimal(lon), box).alias("lon"))
 
 
-def corrected(lat: Column | str, lon: Column | str) -> Column:
-    """GE5: struct(lat, lon, corrections, warnings, is_valid); a swapped pair is turned."""
+def corrected(lat: Column | str, lon: Column | str, box=BOX_SWAP) -> Column:
+    """GE5: struct(lat, lon, corrections, warnings, is_valid); a pair that lies in the box once it is turned is swapped."""
     a, b = decimal_separator(lat), decimal_separator(lon)
     null = a.isNull() | b.isNull()
     absurd = (F.abs(a) > 1000) | (F.abs(b) > 1000)
-    inverted = within(b, a, BOX_SWAP)
+    inverted = within(b, a, box)
     x, y = F.when(inverted, b).otherwise(a), F.when(inverted, a).otherwise(b)
     changed = (col(lat).cast("string") != a.cast("string")) | (col(lon).cast("string") != b.cast("string"))
     some = lambda *cs: F.filter(F.array(*(F.when(F.coalesce(w, F.lit(False)), F.lit(n)) for w, n in cs)), lambda v: v.isNotNull())
@@ -67,7 +69,7 @@ def corrected(lat: Column | str, lon: Column | str) -> Column:
         F.when(ok, x).alias("lat"),
         F.when(ok, y).alias("lon"),
         some((changed, "decimal_separator"), (ok & inverted, "inverted_coordinates")).alias("corrections"),
-        some((null, "null"), (absurd, "absurd"), (ok & (F.abs(a) > 90), "lat_out_of_range"), (ok & (F.abs(b) > 180), "lon_out_of_range"), (ok & ~within(x, y, BOX_SWAP), "outside_area")).alias("warnings"),
+        some((null, "null"), (absurd, "absurd"), (ok & (F.abs(a) > 90), "lat_out_of_range"), (ok & (F.abs(b) > 180), "lon_out_of_range"), (ok & ~within(x, y, box), "outside_area")).alias("warnings"),
         ok.alias("is_valid"),
     )
 
@@ -108,8 +110,8 @@ def from_dms(c: Column | str, kind: str) -> Column:
 
 
 def point(lat: Column | str, lon: Column | str, box=BOX_POINT) -> Column:
-    """GE9: a GeoJSON-like point, null outside the box."""
-    return F.when(within(lat, lon, box), F.struct(F.lit("Point").alias("type"), F.array(col(lon).cast("double"), col(lat).cast("double")).alias("coordinates")))
+    """GE9: a GeoJSON-like point, null outside the box; box None: of any place."""
+    return F.when(within(lat, lon, box) if box else col(lat).isNotNull() & col(lon).isNotNull(), F.struct(F.lit("Point").alias("type"), F.array(col(lon).cast("double"), col(lat).cast("double")).alias("coordinates")))
 
 
 def haversine_m(lat1: Column | str, lon1: Column | str, lat2: Column | str, lon2: Column | str) -> Column:

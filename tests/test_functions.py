@@ -81,6 +81,13 @@ def test_coordinates(spark, check):
     check(lambda c: coords.wkt("Point", F.array(c, c)), [(1.5, "POINT (1.5 1.5)")], "double")
 
 
+def test_coordinates_of_another_box(spark):
+    box = (0.0, 90.0, -180.0, 0.0)
+    df = spark.createDataFrame([("12,4", "85.5"), ("-12,4", "-85.5")], "a string, b string").select(coords.pair("a", "b", box).alias("p"), coords.corrected(F.lit("-85.5"), F.lit("12.4"), box).alias("c"))
+    assert [(r.p.lat, r.p.lon) for r in df.collect()] == [(12.4, -85.5), (None, -85.5)]
+    assert {(r.c.lat, r.c.lon, *r.c.corrections, *r.c.warnings) for r in df.collect()} == {(12.4, -85.5, "inverted_coordinates")}
+
+
 def test_references(check):
     check(nested.references, [('["a", " b "]', ["a", "b"]), ("a, b,", ["a", "b"]), ("http://x/a,b", ["http://x/a,b"]), ("one", ["one"]), ("nan", None), ("", None), (None, None), ("[1, 2", ["[1", "2"])])
     check(nested.comma_list, [("a, ,b", ["a", "b"]), (None, None)])
