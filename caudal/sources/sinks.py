@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coords import point
+from ..functions.coords import BOX_POINT, point
 from ..functions.text import printable
 from ..operators.cdc import changelog
 from .keyed import current_version, read_current, write_upsert  # noqa: F401  part of this module's interface
 
 
-def features(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """SNK1 and SNK2: one GeoJSON feature as text for each row; a missing geometry is built from lat and lon."""
+def features(df: DataFrame, lat: str = "lat", lon: str = "lon", box=BOX_POINT) -> DataFrame:
+    """SNK1 and SNK2: one GeoJSON feature as text for each row; a missing geometry is built from lat and lon within the box (None: anywhere)."""
     has = "geometry" in df.columns
-    made = point(lat, lon) if lat in df.columns and lon in df.columns else F.lit(None).cast("struct<type:string,coordinates:array<double>>")
+    made = point(lat, lon, box) if lat in df.columns and lon in df.columns else F.lit(None).cast("struct<type:string,coordinates:array<double>>")
     geometry = F.coalesce(F.to_json("geometry"), F.to_json(made)) if has else F.to_json(made)
     rest = [c for c in df.columns if c != "geometry"]
     body = F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(F.struct(*(F.col(f"`{c}`") for c in rest)), {"ignoreNullFields": "false"}), F.lit(',"geometry":'), F.coalesce(geometry, F.lit("null")), F.lit("}"))
     return df.select(body.alias("value"))
 
 
-def write_geojson(df: DataFrame, path: str, kinds: list[str] | None = None) -> None:
-    """SNK1 and SNK2: features, one a line (GeoJSON text sequence), so that the file can be split; only geometries of `kinds` if given."""
+def write_geojson(df: DataFrame, path: str, kinds: list[str] | None = None, box=BOX_POINT) -> None:
+    """SNK1 and SNK2: features, one a line (GeoJSON text sequence), so that the file can be split; only geometries of `kinds` if given; box as in features()."""
     if kinds:
         df = df.where(F.col("geometry.type").isin(*kinds))
-    features(df).write.mode("overwrite").text(path)
+    features(df, box=box).write.mode("overwrite").text(path)
 
 
 def as_one_file(spark, folder: str, target: str) -> None:
