@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from ..functions.coords import BOX_POINT
 from ..operators.windows import global_ids
 from ..shared import cut
 from .sinks import features, short_names
@@ -270,11 +271,11 @@ class CollectionSource(DataSource):
         return CollectionWriter(dict(self.options), schema)
 
 
-def write_collection(df: DataFrame, path: str, file: str = "features.geojson", kinds: list[str] | None = None) -> None:
-    """SNK1 and SNK2: one GeoJSON FeatureCollection in the folder path; only geometries of `kinds` if given. An empty table gives an empty collection."""
+def write_collection(df: DataFrame, path: str, file: str = "features.geojson", kinds: list[str] | None = None, box=BOX_POINT) -> None:
+    """SNK1 and SNK2: one GeoJSON FeatureCollection in the folder path; only geometries of `kinds` if given; box as in features(). An empty table gives an empty collection."""
     if kinds:
         df = df.where(F.col("geometry.type").isin(*kinds))
-    _written(features(df), CollectionSource, path, file=file)
+    _written(features(df, box=box), CollectionSource, path, file=file)
 
 
 # --- shape files ------------------------------------------------------------------

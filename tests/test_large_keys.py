@@ -25,6 +25,6 @@ def test_coordinate_repair(same):
     same("coordinate_repair", "customer", [(k,) for k in (0, 1, 20_000, 20_001, 33_364, 100_001, 110_002, 899_998, 899_999, 8_999_998)], "c_custkey long")
 
 
-@pytest.mark.parametrize("name", ["geojson_written"])
+@pytest.mark.parametrize("name", ["geojson_written", "collection_written"])
 def test_places_outside_the_box_are_written(same, name):
     same(name, "supplier", [(k, f"Supplier#{k:09d}") for k in (0, 10_999, 11_001, 59_999, 2_000_000)], "s_suppkey long, s_name string")
