@@ -288,6 +288,21 @@ def test_status_stream(spark, tmp_path):
     assert got == sorted([("u1", "NEW", None, "a"), ("u2", "NEW", None, "x"), ("u1", "UPDATE", "a", "b"), ("u3", "NEW", None, "n")], key=str)
 
 
+def test_status_stream_keeps_units_by_buckets(spark, tmp_path):
+    at = lambda s: datetime(2024, 1, 1, 0, 0, s)
+    many = [(f"u{i}", "a", False, at(0)) for i in range(200)]
+    batches = [[*many, ("u1", "c", False, at(2)), ("u1", "b", False, at(1)), ("u2", None, True, at(1))], [("u2", "d", False, at(3)), ("u3", None, False, at(3)), ("u4", None, True, at(3)), ("u5", "a", False, at(3)), (None, "n", False, at(3))], [("u4", "a", False, at(4)), ("u3", "e", False, at(4)), (None, "m", False, at(4))]]
+    for b in batches:
+        df = spark.createDataFrame(b, "upid string, estado string, deleted boolean, ts timestamp")
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        query = changes.run_once(changes.status_changes(stream, buckets=4), lambda df, _: df.write.mode("append").parquet(str(tmp_path / "out")), str(tmp_path / "cp"))
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 5
+    got = sorted(rows(spark.read.parquet(str(tmp_path / "out"))), key=str)
+    more = [("u1", "UPDATE", "a", "b"), ("u1", "UPDATE", "b", "c"), ("u2", "NEW", None, "d"), ("u3", "UPDATE", "a", None), (None, "NEW", None, "n"), ("u4", "NEW", None, "a"), ("u3", "UPDATE", None, "e"), (None, "UPDATE", "n", "m")]
+    assert got == sorted([*((u, "NEW", None, "a") for u, *_ in many), *more], key=str)
+
+
 def test_event_values(spark):
     e = {"data": {"value": {"fields": {"upid": {"stringValue": "u"}, "estado": {"stringValue": "e"}}}}}
     gone = {"data": {"oldValue": {"fields": {"upid": {"stringValue": "u"}}}}}
