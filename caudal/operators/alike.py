@@ -36,21 +36,29 @@ STEP = 1 << 16
 # --- arrays ------------------------------------------------------------------
 
 
+def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all letters of some texts the code point, the number of the text and the place in it; and the texts' lengths."""
+    sizes = np.array(list(map(len, texts)), np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes, np.repeat(np.arange(len(texts)), sizes), np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes), sizes
+
+
 def subsequences(left: list[str], right: list[str], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Lengths of the longest common subsequences of left[i] and right[j], for all pairs at once by bit vectors."""
     out = np.zeros(len(i), np.int64)
     if not len(i):
         return out
-    codes = {c: n for n, c in enumerate(sorted(set().union(*left)))}
-    none, width = len(codes), max(1, -(-max(map(len, left)) // 64))
+    (used, i), (other, j) = (np.unique(x, return_inverse=True) for x in (i, j))
+    left, right = [left[k] for k in used], [right[k] for k in other]
+    (codes, of, at, _), (others, row, place, sizes) = _letters(left), _letters(right)
+    known, width = np.unique(codes), max(1, -(-max(map(len, left)) // 64))
+    none = len(known)
     where = np.zeros((len(left), none + 1, width), np.uint64)
-    for n, text in enumerate(left):
-        for at, c in enumerate(text):
-            where[n, codes[c], at >> 6] |= np.uint64(1 << (at & 63))
-    sizes = np.array([len(t) for t in right])
+    np.bitwise_or.at(where, (of, np.searchsorted(known, codes), at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
     letters = np.full((len(right), max(1, sizes.max(initial=0))), none, np.int32)
-    for n, text in enumerate(right):
-        letters[n, : len(text)] = [codes.get(c, none) for c in text]
+    if none:
+        found = np.minimum(np.searchsorted(known, others), none - 1)
+        letters[row, place] = np.where(known[found] == others, found, none)
     for a in range(0, len(i), STEP):
         x, y = i[a : a + STEP], j[a : a + STEP]
         state = [np.full(len(x), ~np.uint64(0)) for _ in range(width)]
@@ -79,22 +87,24 @@ class Block:
         self.words = [" ".join(sorted(s)) for s in self.sets]
         self.n, self.n_words, self.n_set = (np.array(list(map(len, x)), np.int64) for x in (texts, self.words, self.sets))
 
-    def counts(self, texts: list[str], letters: dict[str, int]) -> np.ndarray:
-        out = np.zeros((len(letters), len(texts)), np.uint16)
-        for k, t in enumerate(texts):
-            for c in t:
-                n = letters.get(c)
-                if n is not None:
-                    out[n, k] += 1
-        return out
 
+def counts(texts: list[str], letters: np.ndarray, kind: type) -> np.ndarray:
+    """How often each text has each of some sorted letters (code points)."""
+    codes, of, _, _ = _letters(texts)
+    at = np.searchsorted(letters, codes)
+    known = letters[np.minimum(at, len(letters) - 1)] == codes
+    return np.bincount((at * len(texts) + of)[known], minlength=len(letters) * len(texts)).reshape(len(letters), len(texts)).astype(kind)
 
-def in_common(a: Block, b: Block, ta: list[str], tb: list[str]) -> np.ndarray:
+
+def in_common(ta: list[str], tb: list[str]) -> np.ndarray:
     """Letters that each pair of texts has in common, as multisets: never under the longest common subsequence."""
-    letters = {c: n for n, c in enumerate(sorted(set().union(*ta) & set().union(*tb)))}
-    out = np.zeros((len(ta), len(tb)), np.uint32)
-    for x, y in zip(a.counts(ta, letters), b.counts(tb, letters), strict=True):
-        out += np.minimum.outer(x, y)
+    longest = max(map(len, (*ta, *tb)), default=0)
+    kind = np.uint8 if longest < 1 << 8 else np.uint16 if longest < 1 << 16 else np.uint32  # the narrower, the faster
+    letters = np.intersect1d(_letters(ta)[0], _letters(tb)[0])
+    out = np.zeros((len(ta), len(tb)), kind)
+    if len(letters):
+        for x, y in zip(counts(ta, letters, kind), counts(tb, letters, kind), strict=True):
+            out += np.minimum.outer(x, y)
     return out
 
 
@@ -105,11 +115,11 @@ def shared_words(a: Block, b: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray
         for k, s in enumerate(block.sets):
             for w in s:
                 at[w][side].append(k)
-    n, size = (np.zeros((len(a.texts), len(b.texts)), np.int64) for _ in range(2))
+    n, size = (np.zeros((len(a.texts), len(b.texts)), np.int32) for _ in range(2))
     name = np.zeros((len(a.texts), len(b.texts)), np.uint64)
     for w, (x, y) in at.items():
         if x and y:
-            ix = np.ix_(x, y)
+            ix = np.ix_(x, y) if len(x) < len(a.texts) or len(y) < len(b.texts) else (slice(None), slice(None))
             n[ix] += 1
             size[ix] += len(w) + 1
             name[ix] += np.uint64(hash(w) & (2**64 - 1))
@@ -122,34 +132,41 @@ def _percent(c: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def similar(a: Block, b: Block, least: float, same: bool, shared: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (i, j) of a and b whose similarity (fuzzy.similarity) is at least least, and the similarity; of one block with itself those with i < j."""
-    n, size, name = shared_words(a, b)
-    length, words = a.n[:, None] + b.n[None, :], a.n_words[:, None] + b.n_words[None, :]
-    some = (a.n_set[:, None] > 0) & (b.n_set[None, :] > 0)
-    within = some & (n > 0) & ((n == a.n_set[:, None]) | (n == b.n_set[None, :]))
-    alone = np.where(n > 0, np.maximum(_percent(size, size + a.n_words[:, None]), _percent(size, size + b.n_words[None, :])), 0.0)
-    bound = np.where(within, 100.0, np.where(some, np.maximum(alone, _percent(in_common(a, b, a.words, b.words), words)), 0.0))
-    ok = 0.4 * _percent(in_common(a, b, a.texts, b.texts), length) + 0.6 * bound >= least - 1e-9
-    ok &= (a.n[:, None] > 0) & (b.n[None, :] > 0) & (n >= shared)
-    i, j = np.nonzero(np.triu(ok, 1) if same else ok)
-    first = _percent(subsequences(a.texts, b.texts, i, j), length[i, j])
-    left = 0.4 * first + 0.6 * bound[i, j] >= least - 1e-9
-    i, j, first = i[left], j[left], first[left]
-    second = np.where(within[i, j], 100.0, np.where(some[i, j], alone[i, j], 0.0))
-    open_ = np.flatnonzero(some[i, j] & ~within[i, j])
+    common = in_common(a.texts, b.texts)
+    # The word sets give 60 at most, so the letters must give the rest; all else is looked at for the pairs that are left.
+    need = np.maximum(np.ceil((least - 60.0) / 80.0 * np.arange(a.n.max(initial=0) + b.n.max(initial=0) + 1) - 1e-6), 0).astype(np.int32)
+    i, j = np.nonzero(common >= need[a.n[:, None] + b.n[None, :]])
+    keep = (i < j if same else True) & (a.n[i] > 0) & (b.n[j] > 0)
+    i, j = i[keep], j[keep]
+    if not len(i):
+        return i, j, np.zeros(0)
+    n, size, name = (x[i, j] for x in shared_words(a, b))
+    length, words = a.n[i] + b.n[j], a.n_words[i] + b.n_words[j]
+    some = (a.n_set[i] > 0) & (b.n_set[j] > 0)
+    within = some & (n > 0) & ((n == a.n_set[i]) | (n == b.n_set[j]))
+    alone = np.where(n > 0, np.maximum(_percent(size, size + a.n_words[i]), _percent(size, size + b.n_words[j])), 0.0)
+    bound = np.where(within, 100.0, np.where(some, np.maximum(alone, _percent(in_common(a.words, b.words)[i, j], words)), 0.0))
+    left = (0.4 * _percent(common[i, j], length) + 0.6 * bound >= least - 1e-9) & (n >= shared)
+    i, j, size, name, length, words, some, within, alone, bound = (x[left] for x in (i, j, size, name, length, words, some, within, alone, bound))
+    first = _percent(subsequences(a.texts, b.texts, i, j), length)
+    left = 0.4 * first + 0.6 * bound >= least - 1e-9
+    i, j, size, name, words, some, within, alone, first = (x[left] for x in (i, j, size, name, words, some, within, alone, first))
+    second = np.where(within, 100.0, np.where(some, alone, 0.0))
+    open_ = np.flatnonzero(some & ~within)
     # The other words of a text, by the set of shared ones: a pair's common part leads both texts, so only the rest is left to compare.
     rests: tuple[dict, dict] = ({}, {})
     at = np.empty((2, len(open_)), np.int64)
     for k, o in enumerate(open_):
         x, y = i[o], j[o]
-        h = name[x, y]
+        h = name[o]
         for side, (block, me, other) in enumerate(((a, x, b.sets[y]), (b, y, a.sets[x]))):
             key = (me, h)
             if key not in rests[side]:
                 rests[side][key] = (len(rests[side]), " ".join(sorted(block.sets[me] - other)))
             at[side, k] = rests[side][key][0]
     found = subsequences(*([t for _, t in r.values()] for r in rests), at[0], at[1])
-    both = size[i[open_], j[open_]]
-    second[open_] = np.maximum(second[open_], _percent(found + both + (both > 0), words[i[open_], j[open_]]))
+    both = size[open_]
+    second[open_] = np.maximum(second[open_], _percent(found + both + (both > 0), words[open_]))
     score = 0.4 * first + 0.6 * second
     keep = score >= least
     return i[keep], j[keep], score[keep]
@@ -158,7 +175,7 @@ def similar(a: Block, b: Block, least: float, same: bool, shared: int = 0) -> tu
 def of_ratio(a: Block, b: Block, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) whose ratio (fuzzy.ratio) is at least least."""
     length = a.n[:, None] + b.n[None, :]
-    ok = _percent(in_common(a, b, a.texts, b.texts), length) >= least - 1e-9
+    ok = _percent(in_common(a.texts, b.texts), length) >= least - 1e-9
     i, j = np.nonzero(np.triu(ok, 1) if same else ok)
     keep = _percent(subsequences(a.texts, b.texts, i, j), length[i, j]) >= least - 1e-9
     return i[keep], j[keep]

@@ -120,8 +120,10 @@ def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str
     # Rows of one name and address are linked alike: the first stands for all of them.
     same = cut(rows.where("name != ''").groupBy("name", "address").agg(F.min("k").alias("k")), "same")
     names, places = (same.groupBy(F.col(c).alias("t")).agg(F.min("k").alias("k")) for c in ("name", "address"))
-    near = cut(similarity_join(names, 0.7 * threshold), "near-names")
-    strong = near.where(F.col("similarity") >= threshold).select("a", "b")
+    strong = cut(similarity_join(names, threshold).select("a", "b"), "near-names")
+    # Names under the threshold link rows by their addresses only, so names without any need no pairs.
+    placed = same.where("address != ''").select("name").distinct().join(names, F.col("name") == F.col("t")).select("k", "t")
+    near = similarity_join(placed, 0.7 * threshold)
     at = similarity_join(places.where("t != ''"), 0.7 * threshold).select("a", "b")
     at = cut(at.union(at.select("b", "a")).union(places.where("t != ''").select("k", "k")), "near-places")
     nodes = same.join(names.select(F.col("t").alias("name"), F.col("k").alias("u")), "name").join(places.select(F.col("t").alias("address"), F.col("k").alias("p")), "address").select("k", "u", "p")

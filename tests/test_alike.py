@@ -117,3 +117,17 @@ def test_fuzzy_clusters_are_the_greedy_ones(spark, texts):
     number = {o: n for n, o in enumerate(sorted(set(openers)))}
     got = {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(df, "k", "n", "d", "p").collect()}
     assert got == {k: number[o] for k, o in zip(keys, openers, strict=True)}
+
+
+def test_alike_names_without_addresses_make_no_pairs(spark, monkeypatch):
+    made = []
+
+    def joined(*args):
+        out = alike.similarity_join(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(fuzzy, "similarity_join", joined)
+    rows = [(k, f"Supplier#{k:09d}", "sede", "") for k in range(200)] + [(200, "Supplier#000000199", "sede", "calle 5"), (201, "Supplier#000000777", "sede", "calle 5")]
+    got = {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(spark.createDataFrame(rows, "k long, n string, d string, p string"), "k", "n", "d", "p", 97.0).collect()}
+    assert sum(made) < 10 and got == {**{k: k for k in range(200)}, 200: 199, 201: 200}
