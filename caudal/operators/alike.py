@@ -21,7 +21,9 @@ from difflib import SequenceMatcher
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..shared import cut, drop
@@ -130,16 +132,16 @@ def _percent(c: np.ndarray, n: np.ndarray) -> np.ndarray:
     return 200.0 * c / np.maximum(n, 1)
 
 
-def similar(a: Block, b: Block, least: float, same: bool, shared: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i, j) of a and b whose similarity (fuzzy.similarity) is at least least, and the similarity; of one block with itself those with i < j."""
+def similar(a: Block, b: Block, least: float | np.ndarray, same: bool, shared: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (i, j) of a and b whose similarity (fuzzy.similarity) is at least least (a number, or one for each pair), and the similarity; of one block with itself those with i < j."""
     common = in_common(a.texts, b.texts)
     # The word sets give 60 at most, so the letters must give the rest; all else is looked at for the pairs that are left.
-    need = np.maximum(np.ceil((least - 60.0) / 80.0 * np.arange(a.n.max(initial=0) + b.n.max(initial=0) + 1) - 1e-6), 0).astype(np.int32)
-    i, j = np.nonzero(common >= need[a.n[:, None] + b.n[None, :]])
+    i, j = np.nonzero(common >= (least - 60.0) / 80.0 * (a.n[:, None] + b.n[None, :]) - 1e-6)
     keep = (i < j if same else True) & (a.n[i] > 0) & (b.n[j] > 0)
     i, j = i[keep], j[keep]
     if not len(i):
         return i, j, np.zeros(0)
+    least = np.broadcast_to(least, common.shape)[i, j]
     n, size, name = (x[i, j] for x in shared_words(a, b))
     length, words = a.n[i] + b.n[j], a.n_words[i] + b.n_words[j]
     some = (a.n_set[i] > 0) & (b.n_set[j] > 0)
@@ -147,24 +149,19 @@ def similar(a: Block, b: Block, least: float, same: bool, shared: int = 0) -> tu
     alone = np.where(n > 0, np.maximum(_percent(size, size + a.n_words[i]), _percent(size, size + b.n_words[j])), 0.0)
     bound = np.where(within, 100.0, np.where(some, np.maximum(alone, _percent(in_common(a.words, b.words)[i, j], words)), 0.0))
     left = (0.4 * _percent(common[i, j], length) + 0.6 * bound >= least - 1e-9) & (n >= shared)
-    i, j, size, name, length, words, some, within, alone, bound = (x[left] for x in (i, j, size, name, length, words, some, within, alone, bound))
+    i, j, least, size, name, length, words, some, within, alone, bound = (x[left] for x in (i, j, least, size, name, length, words, some, within, alone, bound))
     first = _percent(subsequences(a.texts, b.texts, i, j), length)
     left = 0.4 * first + 0.6 * bound >= least - 1e-9
-    i, j, size, name, words, some, within, alone, first = (x[left] for x in (i, j, size, name, words, some, within, alone, first))
+    i, j, least, size, name, words, some, within, alone, first = (x[left] for x in (i, j, least, size, name, words, some, within, alone, first))
     second = np.where(within, 100.0, np.where(some, alone, 0.0))
     open_ = np.flatnonzero(some & ~within)
     # The other words of a text, by the set of shared ones: a pair's common part leads both texts, so only the rest is left to compare.
-    rests: tuple[dict, dict] = ({}, {})
-    at = np.empty((2, len(open_)), np.int64)
-    for k, o in enumerate(open_):
-        x, y = i[o], j[o]
-        h = name[o]
-        for side, (block, me, other) in enumerate(((a, x, b.sets[y]), (b, y, a.sets[x]))):
-            key = (me, h)
-            if key not in rests[side]:
-                rests[side][key] = (len(rests[side]), " ".join(sorted(block.sets[me] - other)))
-            at[side, k] = rests[side][key][0]
-    found = subsequences(*([t for _, t in r.values()] for r in rests), at[0], at[1])
+    x, y, shares = i[open_], j[open_], np.unique(name[open_], return_inverse=True)[1]
+    rests = []
+    for me, mine, other, others in ((x, a.sets, y, b.sets), (y, b.sets, x, a.sets)):
+        _, where, at = np.unique(me * (len(open_) + 1) + shares, return_index=True, return_inverse=True)
+        rests.append(([" ".join(sorted(mine[me[k]] - others[other[k]])) for k in where], at))
+    found = subsequences(*(t for t, _ in rests), *(at for _, at in rests))
     both = size[open_]
     second[open_] = np.maximum(second[open_], _percent(found + both + (both > 0), words[open_]))
     score = 0.4 * first + 0.6 * second
@@ -201,7 +198,7 @@ def block_join(texts: DataFrame, longest: Callable[[int], float], score: Callabl
 
     def run(key, table):
         i, j = (x.as_py() for x in key)
-        of = {b: table.filter(pa.compute.equal(table.column("block"), b)).sort_by("k") for b in {i, j}}
+        of = {b: table.filter(pc.equal(table.column("block"), b)).sort_by("k") for b in {i, j}}
         blocks = {b: Block(t.column("t").to_pylist()) for b, t in of.items()}
         x, y, s = score(blocks[i], blocks[j], i == j)
         a, b = (of[k].column("k").take(pa.array(v)) for k, v in ((i, x), (j, y)))
@@ -250,7 +247,128 @@ def sequence_join(texts: DataFrame, over: float, both_ways: bool = False, block:
     return pairs.select("a", "b", blocks("ta", "tb").alias("similarity")).where(F.col("similarity") > over)
 
 
-# --- greedy grouping ----------------------------------------------------------
+# --- greedy grouping by similarity ---------------------------------------------
+
+#: Rows that are settled at once: at first, and at most.
+HEAD = (1 << 10, 1 << 14)
+
+
+class Rows:
+    """Names and addresses of rows, each different text once."""
+
+    def __init__(self, table: pa.Table) -> None:
+        (self.name, names), (self.place, places) = (pd.factorize(np.array(table.column(c).to_pylist(), object)) for c in ("name", "address"))
+        self.names, self.places = Block(names.tolist()), Block(places.tolist())
+
+
+def alike_rows(a: Rows, b: Rows, threshold: float) -> np.ndarray:
+    """For each pair of rows whether their names are similar by threshold, or names and addresses by 0.7 of it."""
+    names, near = (np.zeros((len(x.texts), len(y.texts)), bool) for x, y in ((a.names, b.names), (a.places, b.places)))
+    i, j, _ = similar(a.places, b.places, 0.7 * threshold, False)
+    least = threshold
+    if placed := len(i) > 0:
+        near[i, j] = True
+        near = near[a.place[:, None], b.place]
+        some, (i, j) = names.copy(), np.nonzero(near)
+        some[a.name[i], b.name[j]] = True
+        least = np.where(some, 0.7 * threshold, threshold)
+    i, j, s = similar(a.names, b.names, least, False)
+    strong = s >= threshold
+    names[i[strong], j[strong]] = True
+    out = names[a.name[:, None], b.name]
+    if placed:
+        names[i, j] = True
+        out |= near & names[a.name[:, None], b.name]
+    return out
+
+
+def _settle_head(table: pa.Table) -> pa.Table:
+    """Openers of a head's rows, in order. table: for blocks i <= j a bit for each pair of rows, and the keys of block i where i = j."""
+    bits = {(r["i"], r["j"]): r["bits"] for r in table.select(["i", "j", "bits"]).to_pylist()}
+    of = table.filter(pc.equal(table.column("i"), table.column("j"))).sort_by("i").column("keys").combine_chunks()
+    keys, sizes = of.flatten(), of.value_lengths().to_numpy()
+    starts = np.cumsum(sizes) - sizes
+    group = np.full(len(keys), -1)
+    for i, (start, size) in enumerate(zip(starts, sizes, strict=True)):
+        linked = np.hstack([np.unpackbits(np.frombuffer(bits[i, j], np.uint8).reshape(size, -1), axis=1, count=sizes[j]) for j in range(i, len(sizes))]).astype(bool)
+        later = group[start:]
+        for r in range(size):
+            if later[r] < 0:
+                later[r] = start + r
+                later[linked[r] & (later < 0)] = start + r
+    opens = group == np.arange(len(group))
+    return pa.table([keys, keys.take(pa.array(group)), pa.array(np.cumsum(opens) - 1, pa.int64(), mask=~opens)], names=["k", "opener", "nth"])
+
+
+def greedy_alike(rows: DataFrame, threshold: float, head: tuple[int, int] = HEAD, block: int = BLOCK) -> DataFrame:
+    """(k, opener) of the order-dependent grouping of rows (k, name, address) by similarity: by ascending k, a row that no group has taken opens one and takes all later ones that are alike (alike_rows).
+
+    Only openers are held against all later rows. Each round settles the first rows
+    that are left, head[0] at first and twice as many a round up to head[1]: a bit
+    for each pair of them goes to one task, so that alike rows make no pairs. Then
+    their openers take rows from the rest, by blocks; a row leaves a task with its
+    first opener only. The driver gets a number for each head[0] rows of a head's
+    range, at most head[1] a round, and counts.
+    """
+    kind = rows.schema["k"].dataType.simpleString()
+    spark = rows.sparkSession
+    rest = global_ids(rows.select("k", "name", "address"), ["k"], "at").withColumn("at", F.col("at") - 1)
+    rest = cut(rest.withColumn("range", F.floor(F.col("at") / head[0])).withColumn("block", F.floor(F.col("at") / block)), "rest")
+    blocks, end = rest.agg(F.max("block") + 1, F.max("range")).first()
+
+    upto = lambda start, end: F.sequence(F.lit(start).cast("long"), F.lit(end - 1).cast("long"))
+
+    def by_pair(dealt: DataFrame, pairs: int, run: Callable, schema: str) -> DataFrame:
+        """run on each group (i, j). The number of tasks follows that of groups, as these are small and costly."""
+        return dealt.repartition(min(2 * pairs, int(spark.conf.get("spark.sql.shuffle.partitions"))), "i", "j").groupBy("i", "j").applyInArrow(run, schema)
+
+    def within(key, table):
+        i, j = (x.as_py() for x in key)
+        of = {b: table.filter(pc.equal(table.column("block"), b)).sort_by("at") for b in {i, j}}
+        a, b = Rows(of[i]), Rows(of[j])
+        linked = alike_rows(a, b, threshold)
+        bits = np.packbits(np.triu(linked, 1) if i == j else linked, axis=1).tobytes()
+        keys = of[i].column("k").combine_chunks()
+        return pa.table([[i], [j], [bits], pa.array([keys.to_pylist() if i == j else None], pa.list_(keys.type))], names=["i", "j", "bits", "keys"])
+
+    def taken(key, table):
+        some, openers = (table.filter(pc.equal(table.column("opens"), x)) for x in (False, True))
+        if not some.num_rows or not openers.num_rows:
+            return pa.table([table.column("k").slice(0, 0)] * 2, names=["k", "opener"])
+        openers = openers.sort_by("at")
+        linked = alike_rows(Rows(some), Rows(openers), threshold)
+        x = np.flatnonzero(linked.any(axis=1))
+        return pa.table([some.column("k").take(pa.array(x)), openers.column("k").take(pa.array(linked[x].argmax(axis=1)))], names=["k", "opener"])
+
+    out, size = rows.select("k", F.col("k").alias("opener")).limit(0), head[0]
+    while ranges := rest.groupBy("range").count().orderBy("range").limit(size).collect():
+        ends = np.cumsum([r["count"] for r in ranges])
+        n = int(np.searchsorted(ends, size, "right"))
+        last, n = ranges[n - 1]["range"], -(-int(ends[n - 1]) // block)
+        first = rest.where(F.col("range") <= last).withColumn("at", F.row_number().over(W.orderBy("at")) - 1)
+        first = cut(first.select("k", "name", "address", "at", F.floor(F.col("at") / block).alias("block")), "head")
+        dealt = first.withColumn("o", F.explode(upto(0, n))).withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")})
+        tiles = by_pair(dealt, n * (n + 1) // 2, within, f"i long, j long, bits binary, keys array<{kind}>")
+        settled = cut(tiles.groupBy().applyInArrow(_settle_head, f"k {kind}, opener {kind}, nth long"), "settled")
+        out = out.union(settled.select("k", "opener"))
+        if last == end:  # no rows are left
+            break
+        left = rest.where(F.col("range") > last)
+        openers = settled.where("nth is not null").select("k", "nth")
+        n, begin = -(-openers.count() // block), (last + 1) * head[0] // block
+        dealt = left.select(F.lit(False).alias("opens"), F.col("block").alias("i"), F.explode(upto(0, n)).alias("j"), "k", "name", "address", "at")
+        openers = openers.join(first, "k").withColumn("i", F.explode(upto(begin, blocks)))
+        dealt = dealt.union(openers.select(F.lit(True), "i", F.floor(F.col("nth") / block), "k", "name", "address", "nth"))
+        found = cut(by_pair(dealt, n * (blocks - begin), taken, f"k {kind}, opener {kind}").groupBy("k").agg(F.min("opener").alias("opener")), "taken")
+        out = out.union(found)
+        left = cut(left.join(found, "k", "left_anti"), "rest")
+        drop(rest)
+        drop(first)
+        rest, size = left, min(2 * size, head[1])
+    return out
+
+
+# --- greedy grouping by given links ---------------------------------------------
 
 #: Rows and links of a part of the graph that one task settles at most; larger parts are settled by rounds.
 MOST = 200_000

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import plain_lower, plain_upper
 from ..shared import cut
-from .alike import greedy, sequence_join, similarity_join
+from .alike import greedy_alike, sequence_join, similarity_join
 from .spatial import connected
 from .windows import global_ids
 
@@ -119,6 +119,20 @@ def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str
     rows = df.select(F.col(key).alias("k"), plain_lower(F.concat_ws(" ", text(name), text(detail))).alias("name"), F.coalesce(plain_lower(address), F.lit("")).alias("address"))
     # Rows of one name and address are linked alike: the first stands for all of them.
     same = cut(rows.where("name != ''").groupBy("name", "address").agg(F.min("k").alias("k")), "same")
+    if mode == "exact":
+        found = greedy_alike(same, threshold).select(F.col("k").alias("n"), F.col("opener").alias("c"))
+    else:
+        found = connected(_links(same, threshold)).select(F.col("node").alias("n"), F.col("comp").alias("c"))
+    named = same.join(found, F.col("k") == F.col("n")).select("name", "address", "c")
+    out = rows.join(named, ["name", "address"], "left").select("k", F.coalesce("c", "k").alias("c"))
+    if mode == "exact":
+        out = cut(out, "groups")
+        out = out.join(global_ids(out.select("c").distinct(), ["c"], "cluster_fuzzy", -1), "c").select("k", "cluster_fuzzy")
+    return df.join(out.select(F.col("k").alias(key), F.col("cluster_fuzzy" if mode == "exact" else "c").alias("cluster_fuzzy")), key, "left")
+
+
+def _links(same: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of rows (k, name, address), each name and address once, that fuzzy_clusters takes as similar; rows of one name by way of its first row."""
     names, places = (same.groupBy(F.col(c).alias("t")).agg(F.min("k").alias("k")) for c in ("name", "address"))
     strong = cut(similarity_join(names, threshold).select("a", "b"), "near-names")
     # Names under the threshold link rows by their addresses only, so names without any need no pairs.
@@ -131,16 +145,7 @@ def fuzzy_clusters(df: DataFrame, key: str, name: str, detail: str, address: str
     node = lambda k, u, p: nodes.select(F.col("k").alias(k), F.col("u").alias(u), F.col("p").alias(p))
     weak = near.where(F.col("similarity") < threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
     weak = weak.join(node("x", "u", "p"), "u").join(at.select(F.col("a").alias("p"), F.col("b").alias("q")), "p").join(node("y", "v", "q"), ["v", "q"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    if mode == "exact":
-        found = greedy(nodes, strong, weak).select(F.col("k").alias("n"), F.col("opener").alias("c"))
-    else:
-        found = connected(nodes.select(F.col("k").alias("a"), F.col("u").alias("b")).union(strong).union(weak)).select(F.col("node").alias("n"), F.col("comp").alias("c"))
-    named = same.join(found, F.col("k") == F.col("n")).select("name", "address", "c")
-    out = rows.join(named, ["name", "address"], "left").select("k", F.coalesce("c", "k").alias("c"))
-    if mode == "exact":
-        out = cut(out, "groups")
-        out = out.join(global_ids(out.select("c").distinct(), ["c"], "cluster_fuzzy", -1), "c").select("k", "cluster_fuzzy")
-    return df.join(out.select(F.col("k").alias(key), F.col("cluster_fuzzy" if mode == "exact" else "c").alias("cluster_fuzzy")), key, "left")
+    return nodes.select(F.col("k").alias("a"), F.col("u").alias("b")).union(strong).union(weak)
 
 
 def match_cascade(left: DataFrame, right: DataFrame, key: str, other: str, address: str, name: str, area: list[str], cutoff: float = 0.85) -> DataFrame:

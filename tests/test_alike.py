@@ -131,3 +131,59 @@ def test_alike_names_without_addresses_make_no_pairs(spark, monkeypatch):
     rows = [(k, f"Supplier#{k:09d}", "sede", "") for k in range(200)] + [(200, "Supplier#000000199", "sede", "calle 5"), (201, "Supplier#000000777", "sede", "calle 5")]
     got = {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(spark.createDataFrame(rows, "k long, n string, d string, p string"), "k", "n", "d", "p", 97.0).collect()}
     assert sum(made) < 10 and got == {**{k: k for k in range(200)}, 200: 199, 201: 200}
+
+
+@pytest.mark.parametrize("vocabulary, head", [(400, (8, 32)), (8, (16, 16)), (30, alike.HEAD)])
+def test_greedy_groups_of_alike_rows(spark, vocabulary, head):
+    rng = random.Random(vocabulary)
+    some = names(rng, 50, words(rng, vocabulary)) + [f"supplier#{k:09d}" for k in rng.sample(range(10**6), 25)]
+    places = [*names(rng, 10, words(rng, 30)), "", ""]
+    rows = sorted({(t, rng.choice(places)) for t in some + near_copies(rng, some, 40) + rng.choices(some, k=20)})
+    rng.shuffle(rows)
+
+    def linked(i, j):
+        s = fuzzy.similarity(rows[i][0], rows[j][0])
+        return s >= 85 or (s >= 0.7 * 85 and fuzzy.similarity(rows[i][1], rows[j][1]) >= 0.7 * 85)
+
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k long, name string, address string").repartition(3)
+    got = sorted((r.k, r.opener) for r in alike.greedy_alike(df, 85.0, head, 16).collect())
+    assert got == list(enumerate(greedy_groups(linked, len(rows))))
+    assert alike.greedy_alike(df.limit(0), 85.0, head).count() == 0
+
+
+def test_alike_names_are_grouped_without_pairs(spark, monkeypatch):
+    written = []
+
+    def kept(df, tag):
+        out = cut(df, tag)
+        written.append(out.count())
+        return out
+
+    cut = alike.cut
+    for module in (alike, fuzzy):
+        monkeypatch.setattr(module, "cut", kept)
+    rows = [(k, f"Supplier#{k:09d}", "sede", f"calle {k % 7}") for k in range(1500)]
+    got = {r.k: r.cluster_fuzzy for r in fuzzy.fuzzy_clusters(spark.createDataFrame(rows, "k long, n string, d string, p string"), "k", "n", "d", "p").collect()}
+    assert got == dict.fromkeys(range(1500), 0) and max(written) <= 1500
+
+
+def test_the_query_groups_suppliers_as_plain_loops_do(spark):
+    from pathlib import Path
+
+    from caudal.queries import load
+
+    data = "/root/testdata/sf0.01"
+    if not Path(data).exists():
+        pytest.skip("the driver's tables are not here")
+    parts = {r.p_partkey: r.p_name for r in spark.read.parquet(f"{data}/part.parquet").collect()}
+    rows = sorted((r.s_suppkey, f"{r.s_name} {parts[r.s_suppkey]}".lower(), str(r.s_acctbal)) for r in spark.read.parquet(f"{data}/supplier.parquet").collect())
+
+    def linked(i, j):
+        s = fuzzy.similarity(rows[i][1], rows[j][1])
+        return s >= 85 or (s >= 0.7 * 85 and fuzzy.similarity(rows[i][2], rows[j][2]) >= 0.7 * 85)
+
+    openers = greedy_groups(linked, len(rows))
+    number = {o: n for n, o in enumerate(sorted(set(openers)))}
+    assert len(rows) / 10 < len(number) < len(rows) / 2
+    got = {r.k: r.cluster_fuzzy for r in load()[0]["fuzzy_clusters"](spark, data).collect()}
+    assert got == {r[0]: number[o] for r, o in zip(rows, openers, strict=True)}
